@@ -1,0 +1,23 @@
+"""Broadcast only what was measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Text size of all rows: an upper-side estimate, one aggregate over ``df``."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    return size or 0
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast when ``df`` is measured below the limit.
+
+    Above it the frame comes back without a hint: the join then shuffles, and
+    AQE splits the partitions of a hot key.
+    """
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
