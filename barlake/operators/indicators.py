@@ -242,41 +242,42 @@ def with_rsi(bars: DataFrame, n: int = 14, high: float = 70.0, low: float = 30.0
 def with_ema(bars: DataFrame, n: int, column: str = "close_price") -> DataFrame:
     """W-12: exponential moving average, weight 2/(n+1), seeded with the first bar.
 
-    The recurrence is unrolled in blocks of bars: inside a block it is a
-    weighted running sum, and the carry into a block is folded from the closing
-    sums of the blocks before it. That takes time linear in the bars.
+    The recurrence is cut into blocks of bars. Inside a block it is folded over
+    the bars so far; the carry into a block is folded from the closing values of
+    the blocks before it. No fold is longer than a block or the list of blocks,
+    so a long series does not cost the square of its length.
     """
-    name = f"ema_{n}"
-    if n == 1:
-        return bars.withColumn(name, F.col(column))
-    block = 256
-    alpha, decay = 2.0 / (n + 1), 1 - 2.0 / (n + 1)
+    block = 64
+    alpha = 2.0 / (n + 1)
+    decay = 1 - alpha
     ordered = symbol_window()
     numbered = bars.withColumn("_row", F.row_number().over(ordered) - 1).withColumns(
-        {
-            "_block": F.floor(F.col("_row") / block),
-            "_offset": (F.col("_row") % block).cast("double"),
-        }
+        {"_block": F.floor(F.col("_row") / block), "_offset": F.col("_row") % block}
     )
-    weight = F.when(F.col("_row") == 0, 1.0).otherwise(alpha)
-    scaled = weight * F.col(column) * F.pow(F.lit(1 / decay), "_offset")
+    # The first bar enters with full weight.
+    value = F.when(F.col("_row") == 0, F.col(column) / alpha).otherwise(F.col(column))
     in_block = (
         Window.partitionBy("symbol", "_block")
         .orderBy("fetch_date")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     local = numbered.withColumn(
-        "_local", F.sum(scaled).over(in_block) * F.pow(F.lit(decay), "_offset")
+        "_local",
+        F.aggregate(
+            F.collect_list(value).over(in_block),
+            F.lit(0.0),
+            lambda mean, bar: mean * decay + bar * alpha,
+        ),
     )
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     closing = F.when(F.col("_offset") == block - 1, F.col("_local"))
     carry = F.aggregate(
         F.collect_list(closing).over(before),
         F.lit(0.0),
-        lambda carried, block_sum: carried * decay**block + block_sum,
+        lambda carried, closed: carried * decay**block + closed,
     )
     return local.withColumn(
-        name, F.col("_local") + carry * F.pow(F.lit(decay), F.col("_offset") + 1)
+        f"ema_{n}", F.col("_local") + carry * F.pow(F.lit(decay), F.col("_offset") + 1)
     ).drop("_row", "_block", "_offset", "_local")
 
 

@@ -27,7 +27,7 @@ from barlake.operators.star import gold_daily_prices
 from barlake.operators.upsert import merge_upsert, touched_rows
 from barlake.sources.dimensions import generate_dim_date
 from barlake.sources.tables import read_parquet_or_empty, replace_partitions
-from barlake.streaming.ingest import drop_redelivered, write_bronze
+from barlake.streaming.ingest import write_bronze
 
 # The two feeds.
 TOPICS = ["crypto_trades", "stock_trades"]
@@ -73,10 +73,12 @@ class Lake:
         return self._under(f"checkpoints/{job}")
 
 
-def ingest(messages: DataFrame, lake: Lake, deduplicate: bool = True) -> None:
-    """Step 1: drain the message stream into bronze."""
-    if deduplicate:
-        messages = drop_redelivered(messages)
+def ingest(messages: DataFrame, lake: Lake) -> None:
+    """Step 1: drain the message stream into bronze, whole.
+
+    The sink is exactly-once per message. Dropping redelivered messages here
+    would need a watermark, and with it late messages would be lost.
+    """
     write_bronze(messages, lake.bronze, lake.checkpoint("raw_to_bronze")).awaitTermination()
 
 
