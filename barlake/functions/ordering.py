@@ -7,6 +7,7 @@ BIGINT (up to 18 digits) or one DECIMAL(38,0).
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 LONG_DIGITS = 18
 DECIMAL_DIGITS = 38
-MS_PER_DAY = 86_400_000
+MS_PER_DAY = 86_400_000  # 27 bits
+SEQ_BITS = 36
 
 Part = tuple[Column, int]
 
@@ -56,24 +58,62 @@ def pack_order_key(*parts: Part) -> Column:
     return packed.cast("decimal(38,0)")
 
 
-def tick_order_key(
-    trade_time: str = "trade_time", seq: str = "seq", seq_digits: int = 18
-) -> Column:
-    """``(time of day in ms, seq)``: a total order of the ticks of one day."""
-    return pack_order_key(
-        (F.pmod(F.col(trade_time), F.lit(MS_PER_DAY)), 8), (F.col(seq), seq_digits)
+@dataclass(frozen=True)
+class TickOrder:
+    """A total order of the ticks of one symbol and day.
+
+    ``key`` is what the aggregate over ticks compares. ``sources`` are columns
+    that only decide between equal times: the aggregate groups by them too, so
+    that ``key`` fits one BIGINT, and ``widen`` restores the full order on the
+    few rows that remain.
+    """
+
+    key: Column
+    sources: tuple[Part, ...] = field(default=())
+
+    def source_columns(self) -> list[Column]:
+        return [column.cast("bigint").alias(f"source_{i}") for i, (column, _) in self._numbered()]
+
+    def source_names(self) -> list[str]:
+        return [f"source_{i}" for i, _ in self._numbered()]
+
+    def widen(self, key: str) -> Column:
+        """The full order as DECIMAL(38,0): time of day, sources, low sequence bits."""
+        if not self.sources:
+            return F.col(key).cast("decimal(38,0)")
+        sources = [(F.col(f"source_{i}"), digits) for i, (_, digits) in self._numbered()]
+        time = (F.shiftright(key, SEQ_BITS), 8)
+        return pack_order_key(time, *sources, (F.col(key) % (1 << SEQ_BITS), 11))
+
+    def _numbered(self):
+        return list(enumerate(self.sources))
+
+
+def _day_key(trade_time: Column, seq: Column) -> Column:
+    """Time of day in ms above the low bits of the sequence number, in one BIGINT."""
+    time_of_day = F.pmod(trade_time, F.lit(MS_PER_DAY))
+    value = seq.cast("bigint")
+    low = F.when(value >= 0, value.bitwiseAND((1 << SEQ_BITS) - 1)).otherwise(
+        F.raise_error(F.lit("order key part is null or negative"))
+    )
+    return F.shiftleft(time_of_day, SEQ_BITS) + low
+
+
+def by_seq(trade_time: str = "trade_time", seq: str = "seq") -> TickOrder:
+    """``(trade_time, seq)``, for any non-negative ``seq``."""
+    number = F.col(seq).cast("bigint")
+    return TickOrder(
+        _day_key(F.col(trade_time), number), ((F.shiftright(number, SEQ_BITS), 9),)
     )
 
 
-def bronze_order_key(topics: list[str]) -> Column:
-    """``(time of day in ms, topic, partition, offset)`` for bronze ticks."""
-    topic_number = F.array_position(F.array(*[F.lit(t) for t in sorted(topics)]), F.col("topic"))
-    # array_position gives 0 for a topic outside the list, which must not pass
-    # as a valid position.
-    known = F.when(topic_number > 0, topic_number)
-    return pack_order_key(
-        (F.pmod(F.col("trade_time"), F.lit(MS_PER_DAY)), 8),
-        (known, 2),
-        (F.col("partition"), 6),
-        (F.col("offset"), 18),
+def by_offset(topics: list[str]) -> TickOrder:
+    """``(trade_time, topic, partition, offset)`` for bronze ticks."""
+    position = F.array_position(F.array(*[F.lit(t) for t in sorted(topics)]), F.col("topic"))
+    # A topic outside the list gives 0, which must not pass as a position.
+    topic = F.when(position > 0, position)
+    offset = F.col("offset").cast("bigint")
+    return TickOrder(
+        _day_key(F.col("trade_time"), offset),
+        ((topic, 2), (F.col("partition"), 6), (F.shiftright(offset, SEQ_BITS), 9)),
     )

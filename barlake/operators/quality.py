@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake import schemas
+from barlake.functions.parsing import with_parsed
 from barlake.functions.scalars import is_bad_price, is_bad_quantity, is_bad_time
 
 CORRUPT = "_corrupt"
@@ -49,7 +50,7 @@ def classify(messages: DataFrame) -> DataFrame:
     )
     reason = dead_letter_reason(F.col("tick"), F.col("value"))
     return (
-        messages.withColumn("tick", parsed)
+        with_parsed(messages, "tick", parsed)
         .withColumn("reason", reason)
         .withColumn("is_valid", F.col("reason").isNull())
     )

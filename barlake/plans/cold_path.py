@@ -15,11 +15,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake import schemas
-from barlake.functions.ordering import bronze_order_key
+from barlake.functions.ordering import TickOrder, by_offset
 from barlake.functions.scalars import month_key
 from barlake.operators import bars as ops
 from barlake.operators.quality import bars_report, classify, dead_letters, gate, valid_ticks
@@ -85,7 +86,7 @@ def ingest(messages: DataFrame, lake: Lake) -> None:
 def batch_parts(batch: DataFrame, batch_id: int, topics: list[str]) -> DataFrame:
     """Bar parts of one micro-batch of classified messages."""
     ticks = valid_ticks(batch)
-    parts = ops.with_key_of_date(ops.bar_parts(ticks, bronze_order_key(topics)))
+    parts = ops.with_key_of_date(ops.bar_parts(ticks, by_offset(topics)))
     return parts.withColumns(
         {"month_key": month_key(F.col("date_key")), "batch_id": F.lit(batch_id).cast("bigint")}
     ).drop("date_key")
@@ -118,16 +119,17 @@ def silver_batch(lake: Lake, topics: list[str]) -> Callable[[DataFrame, int], No
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        # Both outputs read the parsed batch; only dead letters need its text.
+        # The batch is bounded by the files it takes, and it may spill to disk.
         classified = classify(batch)
-        (
-            dead_letters(classified)
-            .withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .json(lake.dead_letters)
-        )
-        replace_partitions(batch_parts(classified, batch_id, topics), lake.parts, PART_PARTITIONS)
+        classified = classified.withColumn("value", F.when(~F.col("is_valid"), F.col("value")))
+        classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_dead_letters(classified, lake, batch_id)
+            parts = batch_parts(classified, batch_id, topics)
+            replace_partitions(parts, lake.parts, PART_PARTITIONS)
+        finally:
+            classified.unpersist()
         bars = merged_bars(spark, lake, batch_id)
         if not bars.isEmpty():
             upsert_bars(spark, lake, bars)
@@ -135,18 +137,29 @@ def silver_batch(lake: Lake, topics: list[str]) -> Callable[[DataFrame, int], No
     return run
 
 
+def write_dead_letters(classified: DataFrame, lake: Lake, batch_id: int) -> None:
+    """K-9: replace the dead letters of a batch."""
+    (
+        dead_letters(classified)
+        .withColumn("batch_id", F.lit(batch_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .json(lake.dead_letters)
+    )
+
+
 def bronze_to_silver(
     spark: SparkSession,
     lake: Lake,
     topics: list[str] | None = None,
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = 1000,
 ) -> None:
     """Step 2: process the bronze files no earlier run has seen."""
-    reader = spark.readStream.schema(schemas.ENVELOPE_DDL)
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     (
-        reader.json(lake.bronze)
+        spark.readStream.schema(schemas.ENVELOPE_DDL)
+        .option("maxFilesPerTrigger", max_files_per_batch)
+        .json(lake.bronze)
         .writeStream.foreachBatch(silver_batch(lake, topics or TOPICS))
         .option("checkpointLocation", lake.checkpoint("bronze_to_silver"))
         .trigger(availableNow=True)
@@ -210,7 +223,7 @@ def backfill(
     ticks: DataFrame,
     first_day: str,
     last_day: str,
-    order_key=None,
+    order: TickOrder | None = None,
 ) -> None:
     """D-10: rebuild the bars of a date range from ticks and upsert them."""
-    upsert_bars(spark, lake, ops.backfill_bars(ticks, first_day, last_day, order_key))
+    upsert_bars(spark, lake, ops.backfill_bars(ticks, first_day, last_day, order))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.functions.ordering import pack_order_key
+from barlake.functions.ordering import TickOrder, pack_order_key
 
 CRYPTO_TYPES = ("click", "view")
 UNLISTED_TYPE = "signup"
@@ -54,13 +54,15 @@ def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lineitem_order() -> Column:
+def lineitem_order() -> TickOrder:
     """Order of the tied ticks: rows equal in all parts have equal prices."""
-    return pack_order_key(
-        (F.col("l_orderkey"), 12),
-        (F.col("l_linenumber"), 2),
-        (F.round(F.col("l_extendedprice") * 100), 11),
-        (F.col("l_quantity"), 3),
+    return TickOrder(
+        pack_order_key(
+            (F.col("l_orderkey"), 12),
+            (F.col("l_linenumber"), 2),
+            (F.round(F.col("l_extendedprice") * 100), 11),
+            (F.col("l_quantity"), 3),
+        )
     )
 
 

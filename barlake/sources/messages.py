@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake import schemas
+from barlake.functions.parsing import with_parsed
 from barlake.storage import has_files
 
 
@@ -68,7 +69,7 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 def parse_ticks(messages: DataFrame, keep: tuple[str, ...] = ("topic", "partition", "offset")):
     """F-1, F-2: tick columns of every message that names a symbol."""
     return (
-        messages.withColumn("tick", F.from_json("value", schemas.TICK_DDL))
+        with_parsed(messages, "tick", F.from_json("value", schemas.TICK_DDL))
         .select("tick.*", *keep)
         .filter(F.col("symbol").isNotNull())
     )

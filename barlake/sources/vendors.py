@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake import schemas
+from barlake.functions.parsing import with_parsed
 from barlake.functions.sizing import checked_broadcast
 
 
@@ -32,7 +33,7 @@ def crypto_ticks(payloads: DataFrame, aliases: DataFrame, keep: tuple[str, ...]
     trade = F.coalesce(
         F.col("body.data"), F.struct("body.s", "body.p", "body.q", F.col("body.T").alias("T"))
     )
-    trades = payloads.withColumn("body", body).select(trade.alias("trade"), *keep)
+    trades = with_parsed(payloads, "body", body).select(trade.alias("trade"), *keep)
     return trades.join(
         checked_broadcast(aliases), F.col("trade.s") == F.col("raw_symbol"), "inner"
     ).select(
@@ -52,7 +53,7 @@ def stock_ticks(payloads: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """
     chart = F.from_json("value", schemas.STOCK_PAYLOAD_DDL)
     quote = F.get(F.col("body.chart.result"), F.lit(0)).getField("meta")
-    quotes = payloads.withColumn("body", chart).withColumn("quote", quote)
+    quotes = with_parsed(payloads, "body", chart).withColumn("quote", quote)
     seconds = F.coalesce(F.col("quote.regularMarketTime"), F.unix_seconds("timestamp"))
     return quotes.filter(F.col("quote.regularMarketPrice").isNotNull()).select(
         F.col("key").alias("symbol"),
@@ -68,13 +69,13 @@ def daily_payloads(payloads: DataFrame) -> DataFrame:
     body = F.from_json("value", schemas.DAILY_PAYLOAD_DDL)
     chart = F.try_parse_json("body.raw_data")
     return (
-        payloads.withColumn("body", body)
+        with_parsed(with_parsed(payloads, "body", body), "raw_data", chart)
         .select(
             "body.metadata.symbol",
             "body.metadata.name",
             "body.metadata.asset_type",
             F.try_to_timestamp(F.col("body.metadata.fetch_timestamp")).alias("fetch_timestamp"),
-            chart.alias("raw_data"),
+            "raw_data",
         )
         .filter(
             F.col("raw_data").isNotNull()

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from test_streaming import envelopes
 
 from barlake import schemas
-from barlake.functions.ordering import pack_order_key
 from barlake.operators import bars
 from barlake.operators.quality import QualityGateError
 from barlake.plans import cold_path
@@ -88,8 +87,7 @@ def test_backfill_replaces_a_range_and_its_successor(spark, folder):
     data = [("A", float(10 * (d + 1)), 1.0, d * DAY_MS, d) for d in range(4)]
     cold_path.silver_batch(lake, TOPICS)(envelopes(ticks(spark, data)), 0)
     fixed = [("A", 40.0, 2.0, DAY_MS, 9)]
-    key = pack_order_key((F.col("seq"), 18))
-    cold_path.backfill(spark, lake, ticks(spark, fixed), "2024-01-02", "2024-01-02", key)
+    cold_path.backfill(spark, lake, ticks(spark, fixed), "2024-01-02", "2024-01-02")
     got = [(r[1], r[5], r[6], round(r[7], 6)) for r in fact(spark, lake)]
     assert got == [
         (20240101, 10.0, 1, 0.0),

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.functions.ordering import bronze_order_key, pack_order_key
+from barlake.functions.ordering import SEQ_BITS, by_offset, by_seq, pack_order_key
 
 
 def test_small_keys_are_longs_and_large_ones_decimals(spark):
@@ -34,16 +34,30 @@ def test_packed_order_equals_column_order(spark):
     assert [tuple(r) for r in df.orderBy(key).collect()] == sorted(pairs)
 
 
-def test_bronze_key_orders_by_topic_partition_offset(spark):
-    data = [(0, "b", 1, 5), (0, "a", 2, 9), (0, "a", 2, 1), (0, "a", 0, 99), (1, "a", 0, 0)]
-    df = spark.createDataFrame(data, "trade_time BIGINT, topic STRING, partition INT, offset BIGINT")
-    got = [tuple(r) for r in df.orderBy(bronze_order_key(["b", "a"])).collect()]
-    assert got == sorted(data)
+MESSAGE_DDL = "trade_time BIGINT, topic STRING, partition INT, offset BIGINT"
 
 
-def test_unknown_topics_are_errors(spark):
-    df = spark.createDataFrame(
-        [(0, "x", 0, 0)], "trade_time BIGINT, topic STRING, partition INT, offset BIGINT"
-    )
+def full_order(df, order):
+    keyed = df.withColumn("k", order.key).select("*", *order.source_columns())
+    return [tuple(r)[: len(df.columns)] for r in keyed.orderBy(order.widen("k")).collect()]
+
+
+def test_offset_order_is_time_topic_partition_offset(spark):
+    high = 5 << SEQ_BITS
+    data = [(0, "b", 1, 5), (0, "a", 2, 9), (0, "a", 2, high), (0, "a", 0, high + 1), (1, "a", 0, 0)]
+    df = spark.createDataFrame(data, MESSAGE_DDL)
+    assert full_order(df, by_offset(["b", "a"])) == sorted(data)
+
+
+def test_seq_order_holds_for_the_largest_numbers(spark):
+    top = 2**63 - 1
+    data = [(t, s) for t in (0, 86_399_999) for s in (0, 1, 1 << SEQ_BITS, top - 1, top)]
+    df = spark.createDataFrame(data, "trade_time BIGINT, seq BIGINT")
+    assert full_order(df, by_seq()) == sorted(data)
+
+
+@pytest.mark.parametrize("message", [(0, "x", 0, 0), (0, "a", 0, -1), (0, "a", -1, 0)])
+def test_messages_that_cannot_be_ordered_are_errors(spark, message):
+    df = spark.createDataFrame([message], MESSAGE_DDL)
     with pytest.raises(Exception, match="order key part"):
-        df.select(bronze_order_key(["a"])).collect()
+        full_order(df, by_offset(["a"]))

@@ -110,3 +110,9 @@ def test_mismatches_see_nulls(spark):
         (3, "missing_right"),
         (4, "missing_left"),
     ]
+
+
+def test_messages_are_parsed_once(spark):
+    classified = quality.classify(envelopes(spark, ["{}"]))
+    for side in (quality.valid_ticks(classified), quality.dead_letters(classified)):
+        assert plan_of(side).count("from_json(") == 1
