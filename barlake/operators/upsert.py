@@ -96,9 +96,7 @@ def discard_staging(spark: SparkSession, path: str) -> None:
 
 
 def _publish(spark: SparkSession, staged: str, path: str, partition_cols: list[str]) -> None:
-    rows = spark.read.parquet(staged)
-    # Rebalancing splits a large partition over several files and tasks.
-    replace_partitions(rows.hint("rebalance", *partition_cols), path, partition_cols)
+    replace_partitions(spark.read.parquet(staged), path, partition_cols)
 
 
 def complete_pending(spark: SparkSession, path: str, partition_cols: list[str]) -> bool:

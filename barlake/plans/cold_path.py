@@ -3,11 +3,12 @@
 Each step drains what is there and stops; a scheduler outside calls
 ``run_cold_path``. Errors propagate.
 
-Silver is incremental. Every micro-batch of bronze is reduced to mergeable bar
-parts, stored under the id of the batch; the bars it touched are merged from
-their parts, and only those, with their successors, are upserted. The cost
-follows the new ticks, not the size of bronze, and replaying a batch replaces
-its own parts, so nothing is counted twice.
+Silver is incremental. A micro-batch of bronze is reduced to mergeable bar
+parts; they are merged with the stored bars of the same days, and only those
+bars and their successors are upserted. The cost follows the new ticks, not the
+size of bronze. Each stored bar remembers the last batch it took in, and an
+upsert that was staged is completed before anything else, so a replayed batch
+counts nothing twice.
 """
 
 from __future__ import annotations
@@ -20,21 +21,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake import schemas
-from barlake.functions.ordering import TickOrder, by_offset
+from barlake.functions.ordering import TickOrder, by_offset, by_seq
 from barlake.functions.scalars import month_key
 from barlake.operators import bars as ops
 from barlake.operators.quality import bars_report, classify, dead_letters, gate, valid_ticks
 from barlake.operators.star import gold_daily_prices
-from barlake.operators.upsert import merge_upsert, touched_rows
+from barlake.operators.upsert import complete_pending, merge_upsert, touched_rows
 from barlake.sources.dimensions import generate_dim_date
-from barlake.sources.tables import read_parquet_or_empty, replace_partitions
+from barlake.sources.tables import read_parquet_or_empty
+from barlake.storage import materialized
 from barlake.streaming.ingest import write_bronze
 
 # The two feeds.
 TOPICS = ["crypto_trades", "stock_trades"]
 
-PART_PARTITIONS = ["month_key", "batch_id"]
-PART_TABLE_DDL = f"{schemas.BAR_PART_DDL}, month_key INT, batch_id BIGINT"
+FACT_PARTITIONS = ["month_key"]
+NO_BATCH = -1
 
 
 @dataclass(frozen=True)
@@ -54,10 +56,6 @@ class Lake:
     def dead_letters(self) -> str:
         return self._under("bronze/dead_letters")
 
-    @property
-    def parts(self) -> str:
-        return self._under("silver/bar_parts")
-
     @property
     def fact(self) -> str:
         return self._under("silver/fact_daily_prices")
@@ -83,35 +81,52 @@ def ingest(messages: DataFrame, lake: Lake) -> None:
     write_bronze(messages, lake.bronze, lake.checkpoint("raw_to_bronze")).awaitTermination()
 
 
-def batch_parts(batch: DataFrame, batch_id: int, topics: list[str]) -> DataFrame:
-    """Bar parts of one micro-batch of classified messages."""
-    ticks = valid_ticks(batch)
-    parts = ops.with_key_of_date(ops.bar_parts(ticks, by_offset(topics)))
+def batch_parts(ticks: DataFrame, batch_id: int, order: TickOrder) -> DataFrame:
+    """The bars of one batch of ticks, with all that merging needs."""
+    parts = ops.with_key_of_date(ops.combine_parts(ops.bar_parts(ticks, order)))
     return parts.withColumns(
         {"month_key": month_key(F.col("date_key")), "batch_id": F.lit(batch_id).cast("bigint")}
-    ).drop("date_key")
+    )
 
 
-def merged_bars(spark: SparkSession, lake: Lake, batch_id: int) -> DataFrame:
-    """Whole bars for the keys a batch touched, from all their parts."""
-    parts = read_parquet_or_empty(spark, lake.parts, PART_TABLE_DDL)
-    own = parts.filter(F.col("batch_id") == batch_id)
-    same_months = touched_rows(parts, own, ["month_key"])
-    keys = own.select(*ops.BAR_KEYS)
-    return ops.finish_bars(
-        ops.combine_parts(same_months.join(keys, ops.BAR_KEYS, "left_semi"))
+def merge_stored(parts: DataFrame, fact: DataFrame) -> DataFrame:
+    """Whole bars: batch parts merged with the stored bars of the same keys.
+
+    A stored bar that already took in the batch, or a later one, is left alone.
+    """
+    stored = ops.with_fetch_date(touched_rows(fact, parts, FACT_PARTITIONS))
+    known = parts.select(*ops.FACT_KEYS, F.col("batch_id").alias("new_batch")).join(
+        stored, ops.FACT_KEYS, "inner"
     )
+    applied = known.filter(F.col("batch_id") >= F.col("new_batch")).select(*ops.FACT_KEYS)
+    fresh = parts.join(applied, ops.FACT_KEYS, "left_anti")
+    older = known.filter(F.col("batch_id") < F.col("new_batch")).select(*parts.columns)
+    both = fresh.unionByName(older)
+    merged = ops.combine_parts(both, also=[F.max("batch_id").alias("batch_id")])
+    return ops.with_volume(merged)
 
 
 def upsert_bars(spark: SparkSession, lake: Lake, bars: DataFrame) -> None:
-    """Gate whole bars, add returns, and upsert them with their successors."""
-    gate(bars_report(bars))
-    fact = read_parquet_or_empty(spark, lake.fact, schemas.FACT_TABLE_DDL)
-    keyed = ops.with_date_key(bars, generate_dim_date(spark))
-    rows = ops.refresh_fact(keyed, fact).withColumn("month_key", month_key(F.col("date_key")))
-    merge_upsert(
-        spark, lake.fact, rows, ["symbol", "date_key"], ["month_key"], schemas.FACT_TABLE_DDL
-    )
+    """Gate whole bars, add returns, and upsert them with their successors.
+
+    Bars outside the date dimension fall out.
+    """
+    with materialized(bars, "bars") as whole:
+        if whole.isEmpty():
+            return
+        gate(bars_report(whole))
+        fact = stored_fact(spark, lake)
+        keyed = ops.to_fact(whole, generate_dim_date(spark)).withColumn(
+            "month_key", month_key(F.col("date_key"))
+        )
+        rows = ops.refresh_fact(keyed, ops.needed_fact(keyed, fact))
+        merge_upsert(
+            spark, lake.fact, rows, ops.FACT_KEYS, FACT_PARTITIONS, schemas.FACT_TABLE_DDL
+        )
+
+
+def stored_fact(spark: SparkSession, lake: Lake) -> DataFrame:
+    return read_parquet_or_empty(spark, lake.fact, schemas.FACT_TABLE_DDL)
 
 
 def silver_batch(lake: Lake, topics: list[str]) -> Callable[[DataFrame, int], None]:
@@ -119,20 +134,19 @@ def silver_batch(lake: Lake, topics: list[str]) -> Callable[[DataFrame, int], No
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        complete_pending(spark, lake.fact, FACT_PARTITIONS)
+        classified = classify(batch)
         # Both outputs read the parsed batch; only dead letters need its text.
         # The batch is bounded by the files it takes, and it may spill to disk.
-        classified = classify(batch)
         classified = classified.withColumn("value", F.when(~F.col("is_valid"), F.col("value")))
         classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_dead_letters(classified, lake, batch_id)
-            parts = batch_parts(classified, batch_id, topics)
-            replace_partitions(parts, lake.parts, PART_PARTITIONS)
+            parts = batch_parts(valid_ticks(classified), batch_id, by_offset(topics))
+            with materialized(parts, "bar-parts") as stored_parts:
+                upsert_bars(spark, lake, merge_stored(stored_parts, stored_fact(spark, lake)))
         finally:
             classified.unpersist()
-        bars = merged_bars(spark, lake, batch_id)
-        if not bars.isEmpty():
-            upsert_bars(spark, lake, bars)
 
     return run
 
@@ -170,7 +184,7 @@ def bronze_to_silver(
 
 def gold_rows(spark: SparkSession, lake: Lake, since_month: int | None = None) -> DataFrame:
     """Flat rows, from a month on when given (the filter prunes partitions)."""
-    fact = read_parquet_or_empty(spark, lake.fact, schemas.FACT_TABLE_DDL)
+    fact = stored_fact(spark, lake)
     if since_month is not None:
         fact = fact.filter(F.col("month_key") >= since_month)
     assets = read_parquet_or_empty(spark, lake.assets, schemas.DIM_ASSETS_DDL)
@@ -225,5 +239,17 @@ def backfill(
     last_day: str,
     order: TickOrder | None = None,
 ) -> None:
-    """D-10: rebuild the bars of a date range from ticks and upsert them."""
-    upsert_bars(spark, lake, ops.backfill_bars(ticks, first_day, last_day, order))
+    """D-10: rebuild the bars of a date range from all its ticks and upsert them.
+
+    Rebuilt bars keep the number of the last batch they had taken in.
+    """
+    complete_pending(spark, lake.fact, FACT_PARTITIONS)
+    in_range = ops.in_days(ticks, first_day, last_day)
+    parts = batch_parts(in_range, NO_BATCH, order or by_seq())
+    batches = touched_rows(stored_fact(spark, lake), parts, FACT_PARTITIONS).select(
+        *ops.FACT_KEYS, F.col("batch_id").alias("last_batch")
+    )
+    rebuilt = parts.join(batches, ops.FACT_KEYS, "left").withColumn(
+        "batch_id", F.coalesce("last_batch", "batch_id")
+    )
+    upsert_bars(spark, lake, ops.with_volume(rebuilt).drop("last_batch", *ops.FACT_KEYS[1:]))

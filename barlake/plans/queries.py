@@ -400,7 +400,7 @@ def refreshed_returns(spark, sf_dir):
         "close_price", F.col("close_price") * 2
     )
     return rounded(
-        ops.refresh_fact(changed, stored).select("symbol", "date_key", "close_price", "daily_return"),
+        ops.refresh_fact(changed, stored).select(*ops.FACT_KEYS, "close_price", "daily_return"),
         "close_price",
         "daily_return",
     )
@@ -471,7 +471,7 @@ def compacted_table(spark, sf_dir):
     bars = keyed_bars(spark, sf_dir).withColumn(
         "month_key", F.floor(F.col("month_key") / 100).cast("int")
     )
-    tables.append(bars.repartition(8, "symbol", "date_key"), path, ["month_key"])
+    bars.repartition(8, "symbol", "date_key").write.partitionBy("month_key").parquet(path)
     done = maint.maintain(
         spark,
         [("bars", "compact", lambda: maint.compact(spark, path, ["month_key"], KEYED_DDL))],

@@ -43,14 +43,11 @@ FACT_DDL = (
     " close_price DOUBLE, volume BIGINT, daily_return DOUBLE, price_range DOUBLE"
 )
 
-# The stored fact also keeps the volume before truncation and its partition key.
-FACT_TABLE_DDL = f"{FACT_DDL}, volume_exact DOUBLE, month_key INT"
-
-# One row per (symbol, day, batch): everything needed to merge bars later on.
-BAR_PART_DDL = (
-    "symbol STRING, fetch_date DATE, open_price DOUBLE, open_key DECIMAL(38,0),"
-    " high_price DOUBLE, low_price DOUBLE, close_price DOUBLE, close_key DECIMAL(38,0),"
-    " volume_exact DOUBLE, tick_count BIGINT"
+# The stored fact also keeps what later ticks of the same day merge with, the
+# last batch a bar took in, and the partition key.
+FACT_TABLE_DDL = (
+    f"{FACT_DDL}, volume_exact DOUBLE, open_key DECIMAL(38,0), close_key DECIMAL(38,0),"
+    " tick_count BIGINT, batch_id BIGINT, month_key INT"
 )
 
 GOLD_DDL = (

@@ -41,18 +41,30 @@ def read_parquet_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame
 
 def append(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
     """K-2"""
-    df.write.mode("append").partitionBy(*(partition_cols or [])).parquet(path)
+    gathered(df, partition_cols).write.mode("append").partitionBy(*(partition_cols or [])).parquet(
+        path
+    )
+
+
+def gathered(df: DataFrame, partition_cols: list[str] | None) -> DataFrame:
+    """Rows of a table partition brought together, for few files per partition.
+
+    A rebalance, not a repartition: AQE spreads a large partition over tasks.
+    """
+    return df.hint("rebalance", *partition_cols) if partition_cols else df
 
 
 def append_table(df: DataFrame, name: str, partition_cols: list[str] | None = None) -> None:
     """K-2 through the catalog."""
-    df.write.mode("append").format("parquet").partitionBy(*(partition_cols or [])).saveAsTable(name)
+    rows = gathered(df, partition_cols)
+    rows.write.mode("append").format("parquet").partitionBy(*(partition_cols or [])).saveAsTable(name)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
     """K-12: rerunning a batch replaces exactly the partitions it wrote."""
     (
-        df.write.mode("overwrite")
+        gathered(df, partition_cols)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)
         .parquet(path)

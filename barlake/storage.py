@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from barlake.session import shared_dir
 
@@ -41,3 +43,17 @@ def has_files(spark: SparkSession, path: str) -> bool:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def materialized(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back, gone afterwards.
+
+    Unlike a cache it survives the loss of executors.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove_tree(df.sparkSession, path)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from test_streaming import envelopes
 
 from barlake import schemas
-from barlake.operators import bars
+from barlake.operators import bars, upsert
 from barlake.operators.quality import QualityGateError
 from barlake.plans import cold_path
 from barlake.sources import messages, tables
@@ -115,3 +115,33 @@ def test_errors_propagate(spark, folder):
 
     with pytest.raises(RuntimeError, match="down"):
         run(spark, lake, [("A", 1.0, 1.0, 0, 0)], write_gold=failing)
+
+
+def test_a_batch_that_died_while_publishing_is_not_counted_twice(spark, folder, monkeypatch):
+    lake = cold_path.Lake(folder)
+    step = cold_path.silver_batch(lake, TOPICS)
+    step(envelopes(ticks(spark, [("A", 1.0, 5.0, 0, 0)])), 0)
+    second = envelopes(ticks(spark, [("A", 2.0, 7.0, 1, 1), ("B", 3.0, 1.0, 0, 2)]))
+
+    def die(*args):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(upsert, "_publish", die)
+        with pytest.raises(OSError):
+            step(second, 1)
+    assert [r[6] for r in fact(spark, lake)] == [5]
+    step(second, 1)
+    assert [(r[0], r[5], r[6]) for r in fact(spark, lake)] == [("A", 2.0, 12), ("B", 3.0, 1)]
+
+
+def test_later_batches_merge_with_backfilled_bars(spark, folder):
+    lake = cold_path.Lake(folder)
+    step = cold_path.silver_batch(lake, TOPICS)
+    step(envelopes(ticks(spark, [("A", 1.0, 5.0, 10, 0)])), 3)
+    cold_path.backfill(
+        spark, lake, ticks(spark, [("A", 1.5, 6.0, 10, 0)]), "2024-01-01", "2024-01-01"
+    )
+    assert [(r[2], r[6]) for r in fact(spark, lake)] == [(1.5, 6)]
+    step(envelopes(ticks(spark, [("A", 9.0, 1.0, 20, 1), ("A", 8.0, 1.0, 0, 2)])), 4)
+    assert [(r[2], r[5], r[6]) for r in fact(spark, lake)] == [(8.0, 9.0, 8)]
