@@ -17,6 +17,7 @@ LONG_DIGITS = 18
 DECIMAL_DIGITS = 38
 MS_PER_DAY = 86_400_000  # 27 bits
 SEQ_BITS = 36
+SOURCE_DIGITS = 17
 
 Part = tuple[Column, int]
 
@@ -78,12 +79,19 @@ class TickOrder:
         return [f"source_{i}" for i, _ in self._numbered()]
 
     def widen(self, key: str) -> Column:
-        """The full order as DECIMAL(38,0): time of day, sources, low sequence bits."""
+        """The full order as DECIMAL(38,0): time of day, sources, low sequence bits.
+
+        Time stands at the same digits whatever the sources are, so the keys of
+        different orders compare by time.
+        """
         if not self.sources:
             return F.col(key).cast("decimal(38,0)")
         sources = [(F.col(f"source_{i}"), digits) for i, (_, digits) in self._numbered()]
+        unused = SOURCE_DIGITS - sum(digits for _, digits in sources)
+        padding = [(F.lit(0), unused)] if unused else []
         time = (F.shiftright(key, SEQ_BITS), 8)
-        return pack_order_key(time, *sources, (F.col(key) % (1 << SEQ_BITS), 11))
+        low_bits = (F.col(key) % (1 << SEQ_BITS), 11)
+        return pack_order_key(time, *padding, *sources, low_bits)
 
     def _numbered(self):
         return list(enumerate(self.sources))

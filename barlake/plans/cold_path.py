@@ -241,11 +241,15 @@ def backfill(
 ) -> None:
     """D-10: rebuild the bars of a date range from all its ticks and upsert them.
 
-    Rebuilt bars keep the number of the last batch they had taken in.
+    Rebuilt bars keep the number of the last batch they had taken in. The order
+    must lead with the time, or later ticks could not be compared with it.
     """
+    order = order or by_seq()
+    if not order.sources:
+        raise ValueError("a backfill needs an order that leads with the time of day")
     complete_pending(spark, lake.fact, FACT_PARTITIONS)
     in_range = ops.in_days(ticks, first_day, last_day)
-    parts = batch_parts(in_range, NO_BATCH, order or by_seq())
+    parts = batch_parts(in_range, NO_BATCH, order)
     batches = touched_rows(stored_fact(spark, lake), parts, FACT_PARTITIONS).select(
         *ops.FACT_KEYS, F.col("batch_id").alias("last_batch")
     )
