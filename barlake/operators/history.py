@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.operators.upsert import complete_pending, merge_upsert, touched_rows
+from barlake.sources.tables import read_parquet_or_empty
+
 FROM, TO = "valid_from", "valid_to"
 
 
@@ -21,35 +24,37 @@ def start_history(rows: DataFrame, version: int) -> DataFrame:
     )
 
 
-def apply_version(
+def version_changes(
     history: DataFrame,
     rows: DataFrame,
     keys: list[str],
     version: int,
     delete_missing: bool = False,
+    unchanged: bool = False,
 ) -> DataFrame:
-    """History after a batch: changed rows are closed and reopened.
+    """The history rows a batch closes or adds; with ``unchanged`` all open rows too.
 
     One join with the open rows. Rows equal to the stored ones change nothing,
     so applying a batch twice is harmless. ``delete_missing`` treats ``rows`` as
     a full snapshot and closes what it lacks.
     """
     values = [c for c in history.columns if c not in (*keys, FROM, TO)]
-    closed = history.filter(F.col(TO).isNotNull())
     opened = history.filter(F.col(TO).isNull()).select(
         *keys, F.struct(*values).alias("old"), F.col(FROM)
     )
     incoming = rows.select(*keys, F.struct(*values).alias("new"))
-    pairs = opened.join(incoming, keys, "full_outer")
+    sides = "full_outer" if delete_missing or unchanged else "right_outer"
+    pairs = opened.join(incoming, keys, sides)
     old, new = F.col("old"), F.col("new")
     at = F.lit(version).cast("bigint")
     never = F.lit(None).cast("bigint")
     replaced = old.isNotNull() & new.isNotNull() & ~old.eqNullSafe(new)
     removed = old.isNotNull() & new.isNull() & F.lit(delete_missing)
-    keeps_open = old.isNotNull() & ~replaced & ~removed
-    entry = lambda row, start, end: F.struct(
-        row.alias("row"), start.alias(FROM), end.alias(TO)
-    )
+    keeps_open = old.isNotNull() & ~replaced & ~removed & F.lit(unchanged)
+
+    def entry(row, start, end):
+        return F.struct(row.alias("row"), start.alias(FROM), end.alias(TO))
+
     entries = F.filter(
         F.array(
             F.when(keeps_open, entry(old, F.col(FROM), never)),
@@ -58,12 +63,45 @@ def apply_version(
         ),
         lambda e: e.isNotNull(),
     )
-    current = (
+    return (
         pairs.select(*keys, F.explode(entries).alias("e"))
         .select(*keys, "e.row.*", f"e.{FROM}", f"e.{TO}")
         .select(*history.columns)
     )
-    return closed.unionByName(current)
+
+
+def apply_version(
+    history: DataFrame,
+    rows: DataFrame,
+    keys: list[str],
+    version: int,
+    delete_missing: bool = False,
+) -> DataFrame:
+    """The whole history after a batch."""
+    closed = history.filter(F.col(TO).isNotNull())
+    return closed.unionByName(
+        version_changes(history, rows, keys, version, delete_missing, unchanged=True)
+    )
+
+
+def store_version(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    keys: list[str],
+    version: int,
+    partition_cols: list[str],
+    ddl: str,
+) -> None:
+    """Apply a batch to a stored history; only the partitions it touches are rewritten.
+
+    The partition columns must follow from the key.
+    """
+    complete_pending(spark, path, partition_cols)
+    history = read_parquet_or_empty(spark, path, ddl)
+    touched = touched_rows(history, rows, partition_cols)
+    changes = version_changes(touched, rows, keys, version)
+    merge_upsert(spark, path, changes, [*keys, FROM], partition_cols, ddl)
 
 
 def versions(history: DataFrame) -> DataFrame:

@@ -68,6 +68,10 @@ class Lake:
     def gold(self) -> str:
         return self._under("gold/daily_prices")
 
+    @property
+    def indicators(self) -> str:
+        return self._under("gold/crypto_indicators")
+
     def checkpoint(self, job: str) -> str:
         return self._under(f"checkpoints/{job}")
 

@@ -13,6 +13,48 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The serving tables as (column, type) and their keys, which the
+# upsert relies on.
+SERVING_TABLES = {
+    "daily_prices": (
+        [
+            ("symbol", "VARCHAR(20) NOT NULL"),
+            ("fetch_date", "DATE NOT NULL"),
+            ("open_price", "DOUBLE PRECISION"),
+            ("high_price", "DOUBLE PRECISION"),
+            ("low_price", "DOUBLE PRECISION"),
+            ("close_price", "DOUBLE PRECISION"),
+            ("volume", "BIGINT"),
+            ("currency", "VARCHAR(10)"),
+            ("asset_type", "VARCHAR(20)"),
+        ],
+        ["symbol", "fetch_date"],
+    ),
+    "crypto_indicators": (
+        [
+            ("symbol", "VARCHAR(20) NOT NULL"),
+            ("window_start", "TIMESTAMP NOT NULL"),
+            ("window_end", "TIMESTAMP NOT NULL"),
+            ("sma", "DOUBLE PRECISION"),
+            ("vwap", "DOUBLE PRECISION"),
+            ("trade_count", "INTEGER"),
+        ],
+        ["symbol", "window_start"],
+    ),
+    "daily_predictions": (
+        [
+            ("symbol", "VARCHAR(20) NOT NULL"),
+            ("prediction_date", "DATE NOT NULL"),
+            ("predicted_direction", "INTEGER NOT NULL"),
+            ("probability", "DOUBLE PRECISION"),
+            ("model_version", "VARCHAR(50)"),
+            ("created_at", "TIMESTAMP"),
+        ],
+        ["symbol", "prediction_date"],
+    ),
+}
+
+
 @dataclass(frozen=True)
 class JdbcTarget:
     """Where and how to connect. ``connections`` bounds the parallel sessions."""
@@ -97,6 +139,21 @@ def upsert_statement(
     raise ValueError(f"unknown dialect {dialect!r}")
 
 
+def create_statement(table: str) -> str:
+    """DDL of a serving table, with the key as primary key."""
+    columns, keys = SERVING_TABLES[table]
+    body = ", ".join(f'"{name}" {kind}' for name, kind in columns)
+    return f"CREATE TABLE {table} ({body}, PRIMARY KEY ({_quoted(keys)}))"
+
+
+def create_serving_tables(
+    spark: SparkSession, target: JdbcTarget, tables: list[str] | None = None
+) -> None:
+    """Create serving tables that do not exist yet (the caller names which)."""
+    statements = [create_statement(name) for name in tables or SERVING_TABLES]
+    run_in_transaction(spark, target, statements)
+
+
 def run_in_transaction(spark: SparkSession, target: JdbcTarget, statements: list[str]) -> None:
     """Run statements on one driver-side connection: all of them or none."""
     jvm = spark._jvm

@@ -54,3 +54,25 @@ def test_layouts_and_dropped_columns(spark):
     both = hist.union_layouts(old, new)
     assert rows(both, "k") == [(1, "a", None), (2, "b", "x")]
     assert hist.drop_columns(both, "extra").columns == ["k", "v"]
+
+
+def test_stored_history_equals_the_expression(spark, folder):
+    ddl = f"{DDL}, p INT, valid_from BIGINT, valid_to BIGINT"
+    path = f"{folder}/history"
+    batches = [
+        [(1, "a", 1), (2, "b", 1), (3, "c", 2)],
+        [(2, "B", 1), (4, "d", 2)],
+        [(2, "B", 1), (1, "A", 1)],
+    ]
+    expected = None
+    for version, data in enumerate(batches, start=1):
+        batch = spark.createDataFrame(data, f"{DDL}, p INT")
+        for _ in range(2):
+            hist.store_version(spark, path, batch, ["k"], version, ["p"], ddl)
+        expected = (
+            hist.start_history(batch, 1)
+            if expected is None
+            else hist.apply_version(expected, batch, ["k"], version)
+        )
+    stored = spark.read.schema(ddl).parquet(path).select(*expected.columns)
+    assert rows(stored, "k", "valid_from") == rows(expected, "k", "valid_from")

@@ -145,6 +145,14 @@ def test_postgres_statement():
     assert jdbc.upsert_statement("postgresql", "t", "s", ["k"], ["k"]).endswith("DO NOTHING")
 
 
+def test_serving_tables_have_their_key():
+    assert jdbc.create_statement("crypto_indicators").endswith(
+        'PRIMARY KEY ("symbol", "window_start"))'
+    )
+    for name, (columns, keys) in jdbc.SERVING_TABLES.items():
+        assert set(keys) < {c for c, _ in columns}, name
+
+
 def test_merge_statement():
     sql = jdbc.upsert_statement("derby", "t", "s", ["k", "v"], ["k"])
     assert sql == (
