@@ -29,7 +29,7 @@ from barlake.operators.star import gold_daily_prices
 from barlake.operators.upsert import complete_pending, merge_upsert, touched_rows
 from barlake.sources.dimensions import generate_dim_date
 from barlake.sources.tables import read_parquet_or_empty
-from barlake.storage import materialized
+from barlake.storage import materialized, remove_tree
 from barlake.streaming.ingest import write_bronze
 
 # The two feeds.
@@ -60,6 +60,10 @@ class Lake:
     def fact(self) -> str:
         return self._under("silver/fact_daily_prices")
 
+    @property
+    def due_months(self) -> str:
+        return self._under("silver/due_months")
+
     @property
     def assets(self) -> str:
         return self._under("silver/dim_assets")
@@ -123,6 +127,8 @@ def upsert_bars(spark: SparkSession, lake: Lake, bars: DataFrame) -> None:
         keyed = ops.to_fact(whole, generate_dim_date(spark)).withColumn(
             "month_key", month_key(F.col("date_key"))
         )
+        # Noted first: a due month without news does no harm, a missed one would.
+        mark_due(keyed, lake)
         rows = ops.refresh_fact(keyed, ops.needed_fact(keyed, fact))
         merge_upsert(
             spark, lake.fact, rows, ops.FACT_KEYS, FACT_PARTITIONS, schemas.FACT_TABLE_DDL
@@ -186,11 +192,16 @@ def bronze_to_silver(
     )
 
 
-def gold_rows(spark: SparkSession, lake: Lake, since_month: int | None = None) -> DataFrame:
-    """Flat rows, from a month on when given (the filter prunes partitions)."""
+def mark_due(rows: DataFrame, lake: Lake) -> None:
+    """Note the months of some bars as due for the serving table."""
+    rows.select("month_key").distinct().coalesce(1).write.mode("append").parquet(lake.due_months)
+
+
+def gold_rows(spark: SparkSession, lake: Lake, months: list[int] | None = None) -> DataFrame:
+    """Flat rows of all months or of some (the filter prunes partitions)."""
     fact = stored_fact(spark, lake)
-    if since_month is not None:
-        fact = fact.filter(F.col("month_key") >= since_month)
+    if months is not None:
+        fact = fact.filter(F.col("month_key").isin(months))
     assets = read_parquet_or_empty(spark, lake.assets, schemas.DIM_ASSETS_DDL)
     return gold_daily_prices(fact, generate_dim_date(spark), assets)
 
@@ -215,10 +226,25 @@ def silver_to_gold(
     spark: SparkSession,
     lake: Lake,
     write: Callable[[DataFrame], None] | None = None,
-    since_month: int | None = None,
+    everything: bool = False,
 ) -> None:
-    """Step 3: flatten and hand over to the serving table."""
-    (write or parquet_gold_writer(lake))(gold_rows(spark, lake, since_month))
+    """Step 3: flatten the months that are due and hand them to the serving table.
+
+    Months stay due until the write succeeded, so a failed sync is made up for by
+    the next one. ``everything`` ignores the list and syncs the whole table.
+    """
+    write = write or parquet_gold_writer(lake)
+    due = read_parquet_or_empty(spark, lake.due_months, "month_key INT")
+    # Files noted while this sync runs are left for the next one.
+    noted = due.inputFiles()
+    if everything:
+        write(gold_rows(spark, lake))
+    elif noted:
+        # At most one row per calendar month.
+        months = [row["month_key"] for row in due.distinct().collect()]
+        write(gold_rows(spark, lake, months))
+    for file in noted:
+        remove_tree(spark, file)
 
 
 def run_cold_path(
@@ -227,12 +253,11 @@ def run_cold_path(
     messages: DataFrame,
     topics: list[str] | None = None,
     write_gold: Callable[[DataFrame], None] | None = None,
-    since_month: int | None = None,
 ) -> None:
     """T-11: the three steps in order."""
     ingest(messages, lake)
     bronze_to_silver(spark, lake, topics)
-    silver_to_gold(spark, lake, write_gold, since_month)
+    silver_to_gold(spark, lake, write_gold)
 
 
 def backfill(

@@ -34,7 +34,6 @@ def parser() -> argparse.ArgumentParser:
     arguments.add_argument("--servers", help="broker addresses")
     arguments.add_argument("--messages", help="folder of message files, instead of a broker")
     arguments.add_argument("--topics", default=",".join(cold_path.TOPICS))
-    arguments.add_argument("--since-month", type=int, help="yyyymm, limits the serving sync")
     arguments.add_argument("--jdbc-url", help="serving database; without it serving is Parquet")
     arguments.add_argument("--jdbc-driver", default="org.postgresql.Driver")
     arguments.add_argument("--jdbc-dialect", default="postgresql")
@@ -58,9 +57,14 @@ def _database(options) -> JdbcTarget | None:
 
 
 def setup(spark: SparkSession, lake: cold_path.Lake, options) -> None:
-    """Seed the asset dimension from the symbols config."""
+    """Seed the asset dimension from the symbols config.
+
+    Bars of a symbol that was unknown so far reach the serving table with the
+    next sync, hence all months become due.
+    """
     assets = dimensions.read_symbols(spark, options.symbols)
     tables.seed(assets, lake.assets, schemas.DIM_ASSETS_DDL, ["symbol"], ["asset_type"])
+    cold_path.mark_due(cold_path.stored_fact(spark, lake), lake)
 
 
 def cold(spark: SparkSession, lake: cold_path.Lake, options) -> None:
@@ -74,7 +78,6 @@ def cold(spark: SparkSession, lake: cold_path.Lake, options) -> None:
         _stream(spark, options, "earliest"),
         options.topics.split(","),
         write,
-        options.since_month,
     )
 
 
@@ -100,7 +103,7 @@ def maintain(spark: SparkSession, lake: cold_path.Lake, options) -> None:
         lake.assets: (["asset_type"], schemas.DIM_ASSETS_DDL),
         lake.fact: (cold_path.FACT_PARTITIONS, schemas.FACT_TABLE_DDL),
         lake.gold: (["year"], f"{schemas.GOLD_DDL}, year INT"),
-        lake.indicators: (["window_day"], f"{schemas.INDICATORS_DDL}, window_day DATE"),
+        lake.indicators: (["window_part"], f"{schemas.INDICATORS_DDL}, window_part INT"),
     }
     steps = [
         (path, "compact", lambda p=path, c=columns, d=ddl: maintenance.compact(spark, p, c, d))

@@ -536,11 +536,11 @@ def hot_indicators_stream(spark, sf_dir):
     ticks = fx.event_columns(stream).withColumn("event_time", hot_path.event_time())
     hot_path.start_hot_path(
         hot_path.hot_indicators(ticks),
-        hot_path.parquet_writer(f"{root}/indicators"),
+        hot_path.parquet_writer(f"{root}/indicators", "day"),
         f"{root}/checkpoint",
         interval=None,
     ).awaitTermination()
-    stored = spark.read.parquet(f"{root}/indicators").drop("window_day")
+    stored = spark.read.parquet(f"{root}/indicators").drop("window_part")
     return without_zone(rounded(stored, "sma", "vwap"), "window_start", "window_end")
 
 

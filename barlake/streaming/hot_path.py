@@ -49,17 +49,26 @@ def upsert_batches(write: Callable[[DataFrame], None]) -> Callable[[DataFrame, i
     return write_batch
 
 
-def parquet_writer(path: str) -> Callable[[DataFrame], None]:
-    """Upsert of indicator rows into a Parquet table partitioned by day."""
+# Partition column of the indicator table -> its date pattern.
+GRAINS = {"hour": "yyyyMMddHH", "day": "yyyyMMdd"}
+
+
+def parquet_writer(path: str, grain: str = "hour") -> Callable[[DataFrame], None]:
+    """Upsert of indicator rows into a Parquet table partitioned by time.
+
+    A live stream touches the current partition or two and rewrites just those,
+    so they should be short; days suit a table filled from history.
+    """
+    part = F.date_format("window_start", GRAINS[grain]).cast("int")
 
     def write(batch: DataFrame) -> None:
         merge_upsert(
             batch.sparkSession,
             path,
-            batch.withColumn("window_day", F.to_date("window_start")),
+            batch.withColumn("window_part", part),
             INDICATOR_KEYS,
-            ["window_day"],
-            f"{schemas.INDICATORS_DDL}, window_day DATE",
+            ["window_part"],
+            f"{schemas.INDICATORS_DDL}, window_part INT",
         )
 
     return write

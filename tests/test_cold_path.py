@@ -107,14 +107,35 @@ def test_gate_stops_the_load(spark, folder):
     assert tables.read_parquet_or_empty(spark, lake.fact, schemas.FACT_TABLE_DDL).count() == 0
 
 
-def test_errors_propagate(spark, folder):
+def test_errors_propagate_and_the_sync_is_made_up_for(spark, folder):
     lake = cold_path.Lake(folder)
+    seed_assets(spark, lake)
 
     def failing(rows_to_write):
         raise RuntimeError("serving table is down")
 
     with pytest.raises(RuntimeError, match="down"):
         run(spark, lake, [("A", 1.0, 1.0, 0, 0)], write_gold=failing)
+    cold_path.silver_to_gold(spark, lake)
+    assert spark.read.parquet(lake.gold).count() == 1
+
+
+def test_only_due_months_are_synced(spark, folder):
+    lake = cold_path.Lake(folder)
+    seed_assets(spark, lake)
+    seen = []
+
+    def write(rows_to_write):
+        seen.append(sorted(r.fetch_date.month for r in rows_to_write.collect()))
+
+    step = cold_path.silver_batch(lake, TOPICS)
+    step(envelopes(ticks(spark, [("A", 1.0, 1.0, d * DAY_MS, d) for d in (0, 40)])), 0)
+    cold_path.silver_to_gold(spark, lake, write)
+    cold_path.silver_to_gold(spark, lake, write)
+    step(envelopes(ticks(spark, [("A", 2.0, 1.0, 41 * DAY_MS, 9)])), 1)
+    cold_path.silver_to_gold(spark, lake, write)
+    cold_path.silver_to_gold(spark, lake, write, everything=True)
+    assert seen == [[1, 2], [2, 2], [1, 2, 2]]
 
 
 def test_a_batch_that_died_while_publishing_is_not_counted_twice(spark, folder, monkeypatch):

@@ -71,7 +71,7 @@ def test_hot_path_over_several_batches_equals_batch(spark, folder):
     for piece in (data[:60], data[60:]):
         send(ticks(spark, piece), f"{folder}/broker")
     run_hot(spark, folder, watermark="1 hour")
-    stored = spark.read.parquet(f"{folder}/indicators").drop("window_day")
+    stored = spark.read.parquet(f"{folder}/indicators").drop("window_part")
     expected = ind.sliding_indicators(ticks(spark, data))
     rounded = [
         x.select(*expected.columns).withColumns({c: F.round(c, 9) for c in ("sma", "vwap")})
