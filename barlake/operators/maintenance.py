@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators.upsert import (
@@ -32,7 +32,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def partition_of(file_path: str, root: str, partition_cols: list[str]):
+def partition_of(file_path: str, partition_cols: list[str]) -> list[Column]:
     """Partition values, as text, out of a file path."""
     return [
         F.url_decode(F.regexp_extract(file_path, f"/{c}=([^/]*)/", 1)).alias(c)
@@ -44,7 +44,7 @@ def file_sizes(spark: SparkSession, path: str, partition_cols: list[str]) -> Dat
     """Files, bytes and small files per partition, from the listing alone."""
     return (
         list_files(spark, path)
-        .select(*partition_of("file_path", path, partition_cols), "length")
+        .select(*partition_of("file_path", partition_cols), "length")
         .groupBy(*partition_cols)
         .agg(
             F.count(F.lit(1)).alias("file_count"),

@@ -276,6 +276,10 @@ def statements() -> dict[str, str]:
             " steady(volume_exact, 6) AS volume_exact FROM sbars"
         ),
         "fact_daily_prices": _events(FACT_SELECT, RETURNS),
+        "fact_counts": _suppliers(
+            "SELECT count(*) AS fact_rows, count(DISTINCT symbol) AS symbols,"
+            f" count(DISTINCT fetch_date) AS days FROM sbars WHERE {IN_DIM}"
+        ),
         "fact_user_prices": _sql(FACT_SELECT, USER_TICKS, BARS, RETURNS),
         "gold_daily_prices": _events("SELECT * FROM gold", RETURNS, ASSETS, GOLD),
         "bars_without_asset": _events(
@@ -439,6 +443,9 @@ def statements() -> dict[str, str]:
         "compacted_table": _suppliers(
             "SELECT symbol, date_key, volume, month_key // 100 AS month_key FROM keyed", KEYED
         ),
+        "orphan_partitions": _suppliers(
+            "SELECT DISTINCT month_key FROM keyed WHERE date_key % 100 = 31", KEYED
+        ),
         "evolved_layout": _suppliers(
             "SELECT symbol, date_key, volume, month_key,"
             " CASE WHEN month_key >= 199901 THEN 'feed' END AS source FROM keyed",

@@ -109,6 +109,19 @@ def fact_daily_prices(spark, sf_dir):
     return rounded(event_fact(spark, sf_dir), "daily_return", "price_range")
 
 
+@query
+def fact_counts(spark, sf_dir):
+    """A-3: the row counts a load reports"""
+    fact = ops.fact_daily_prices(
+        fx.lineitem_ticks(spark, sf_dir), dimensions.generate_dim_date(spark), fx.lineitem_order()
+    )
+    return fact.agg(
+        F.count(F.lit(1)).alias("fact_rows"),
+        F.countDistinct("symbol").alias("symbols"),
+        F.countDistinct("date_key").alias("days"),
+    )
+
+
 @query
 def fact_user_prices(spark, sf_dir):
     """The fact table over many symbols"""
@@ -481,6 +494,24 @@ def compacted_table(spark, sf_dir):
     return rows.join(failed.select(F.lit(-1).alias("month_key")), "month_key", "left_anti")
 
 
+@query
+def orphan_partitions(spark, sf_dir):
+    """D-6: the partitions in which a crashed write left files behind"""
+    path = scratch_path(spark, "orphans")
+    bars = keyed_bars(spark, sf_dir)
+    tables.append(bars, path, ["month_key"])
+    manifest = scratch_path(spark, "manifest")
+    committed = maint.committed_files(spark.read.schema(KEYED_DDL).parquet(path))
+    committed.write.parquet(manifest)
+    tables.append(bars.filter(F.col("date_key") % 100 == 31), path, ["month_key"])
+    orphans = maint.orphan_files(spark, path, spark.read.parquet(manifest))
+    return (
+        orphans.select(*maint.partition_of("file_path", ["month_key"]))
+        .distinct()
+        .select(F.col("month_key").cast("int").alias("month_key"))
+    )
+
+
 @query
 def evolved_layout(spark, sf_dir):
     """D-7, D-8: old files without a column and under another partitioning"""
