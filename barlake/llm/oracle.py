@@ -1,0 +1,9 @@
+"""DuckDB SQL for the corpus queries that SQL can express."""
+
+from __future__ import annotations
+
+_STATEMENTS: dict[str, str] = {}
+
+
+def statements() -> dict[str, str]:
+    return dict(_STATEMENTS)
