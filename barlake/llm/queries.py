@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, decontamination
+from barlake.llm import bpe, decontamination, neardup, quality_rules
 from barlake.llm.text import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,21 @@ def op8_decontamination(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     found = decontamination.hits(docs, read_table(spark, sf_dir, "benchmark"), size=10)
     return decontamination.hit_digest(found)
+
+
+@query
+def op10_quality_rules(spark, sf_dir):
+    judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
+    return judged.withColumnRenamed("key", "doc_id")
+
+
+@query
+def op5_near_duplicates(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    linked = neardup.near_duplicates(docs, size=4, percent=80)
+    return linked.select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        "component_id",
+        (F.col("id") == F.col("component_id")).alias("kept"),
+    )
