@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, decontamination, neardup, quality_rules
+from barlake.llm import bpe, decontamination, neardup, quality_rules, repeats, suffix_array
 from barlake.llm.text import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,29 @@ def op5_near_duplicates(spark, sf_dir):
         "component_id",
         (F.col("id") == F.col("component_id")).alias("kept"),
     )
+
+
+@query
+def op9_suffix_array(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    spans = suffix_array.repeated_spans(docs, length=200).select(
+        "t1",
+        "t2",
+        F.octet_length("kept").cast("long").alias("n_kept"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("sha256"),
+    )
+    whole = repeats.keyed(docs, "doc_id", "text").select(
+        F.col("id").alias("doc_id"),
+        "t1",
+        "t2",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.sha2("text", 256).alias("own"),
+    )
+    return whole.join(spans, ["t1", "t2"], "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce(F.col("n_bytes") - F.col("n_kept"), F.lit(0)).alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
+        F.coalesce("sha256", "own").alias("kept_sha256"),
+    )
