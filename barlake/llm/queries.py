@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, decontamination, neardup, quality_rules, repeats, suffix_array
+from barlake.llm import bpe, decontamination, neardup, quality_rules, repeats, suffix_array, suffix_automaton
 from barlake.llm.text import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,11 @@ def op9_suffix_array(spark, sf_dir):
         F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
         F.coalesce("sha256", "own").alias("kept_sha256"),
     )
+
+
+@query
+def op7_substring_dedup(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return suffix_automaton.deduplicated(docs, length=13).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
