@@ -18,10 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.text import alnum_words, column, cover, rolling, runs, utf8, word_hashes
+from barlake.llm.text import alnum_words, column, cover, rolling, rollings, runs, utf8, word_hashes
 
 # Windows in one broadcast block, about 100 bytes each in a task.
 BLOCK_WINDOWS = 200_000
+FILTER_BITS = 22
+FILTER_SHIFT = np.uint64(64 - FILTER_BITS)
 
 HITS = "key {key}, n_words long, starts array<int>, ends array<int>, items array<string>"
 
@@ -57,17 +59,15 @@ def _scan(block: dict[bytes, list[str]]):
     filters = {}
     for length, phrases in by_length.items():
         hashes = np.concatenate([rolling(word_hashes(p.split(b" ")), length) for p in phrases])
-        table = np.zeros(1 << 22, bool)
-        table[(hashes >> np.uint64(42)).astype(np.int64)] = True
-        filters[length] = table, np.sort(hashes)
+        table = np.zeros(1 << FILTER_BITS, bool)
+        table[(hashes >> FILTER_SHIFT).astype(np.int64)] = True
+        filters[length] = table
 
     def scan(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        hashes = word_hashes(words)
         starts, lengths, items = [], [], set()
-        for length, (table, known) in filters.items():
-            found = rolling(hashes, length)
-            places = np.flatnonzero(table[(found >> np.uint64(42)).astype(np.int64)])
-            for place in places[np.isin(found[places], known)].tolist():
+        for length, found in rollings(word_hashes(words), sorted(filters)):
+            places = filters[length][(found >> FILTER_SHIFT).view(np.int64)].nonzero()[0]
+            for place in places.tolist():
                 hit = block.get(b" ".join(words[place : place + length]))
                 if hit is not None:
                     starts.append(place)

@@ -39,19 +39,34 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+_PRIME = np.uint64(0x9E3779B97F4A7C15)
+
+
 def rolling(values: np.ndarray, size: int) -> np.ndarray:
     """A hash of every ``size`` consecutive values."""
-    out = np.zeros(max(0, len(values) - size + 1), np.uint64)
-    for shift in range(size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + values[shift : shift + len(out)]
-    return mixed(out)
+    return next(out for _, out in rollings(values, [size]))
+
+
+def rollings(values: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """``rolling`` for several sizes in ascending order, each going on from the one before."""
+    out, done = np.zeros(len(values), np.uint64), 0
+    for size in sizes:
+        out = out[: max(0, len(values) - size + 1)].copy()
+        for shift in range(done, size):
+            out *= _PRIME
+            out += values[shift : shift + len(out)]
+        done = size
+        yield size, mixed(out)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (the finaliser of splitmix64)."""
-    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return values ^ (values >> np.uint64(31))
+    values = values ^ (values >> np.uint64(30))
+    values *= np.uint64(0xBF58476D1CE4E5B9)
+    values ^= values >> np.uint64(27)
+    values *= np.uint64(0x94D049BB133111EB)
+    values ^= values >> np.uint64(31)
+    return values
 
 
 def runs(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
