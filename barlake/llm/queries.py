@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, decontamination, neardup, quality_rules, repeats, suffix_array, suffix_automaton
+from barlake.llm import (
+    bpe,
+    decontamination,
+    license_scan,
+    neardup,
+    quality_rules,
+    repeats,
+    suffix_array,
+    suffix_automaton,
+)
 from barlake.llm.text import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +112,24 @@ def op7_substring_dedup(spark, sf_dir):
     return suffix_automaton.deduplicated(docs, length=13).select(
         F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op2_license_scan(spark, sf_dir):
+    found = license_scan.scan(read_table(spark, sf_dir, "documents"))
+    base, own = F.col("base.label"), F.col("detections.label")
+
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    best = F.array_max("detections.priority") / 100
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").alias("first_word"),
+        F.array_max("base.start").alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, own)).alias("labels"),
+        F.greatest(F.coalesce(best, F.lit(0.0)), F.when(F.size("base") > 0, 0.5).otherwise(0.0)).alias("score"),
+    )
