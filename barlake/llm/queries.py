@@ -16,8 +16,11 @@ from barlake.llm import (
     repeats,
     suffix_array,
     suffix_automaton,
+    token_files,
 )
+from barlake.llm.scratch import Scratch
 from barlake.llm.text import read_table
+from barlake.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,3 +136,14 @@ def op2_license_scan(spark, sf_dir):
         joined(F.concat(base, own)).alias("labels"),
         F.greatest(F.coalesce(best, F.lit(0.0)), F.when(F.size("base") > 0, 0.5).otherwise(0.0)).alias("score"),
     )
+
+
+@query
+def op4_token_files(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    folder = scratch_path(spark, "token-files")
+    written = token_files.write_shards(docs, tokenizer_path("word_bpe_49k.json"), folder, end_id=2)
+    manifest = Scratch(spark).result(written, "token-manifest")
+    return token_files.read_shards(manifest, folder).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
