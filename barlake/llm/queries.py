@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barlake.llm import (
     bpe,
     decontamination,
+    html_extraction,
     license_scan,
     neardup,
     quality_rules,
@@ -147,3 +148,10 @@ def op4_token_files(spark, sf_dir):
     return token_files.read_shards(manifest, folder).select(
         F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query
+def op6_html_extraction(spark, sf_dir):
+    return html_extraction.main_text(read_table(spark, sf_dir, "pages")).select(
+        F.col("key").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
