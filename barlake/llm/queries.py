@@ -13,6 +13,7 @@ from barlake.llm import (
     html_extraction,
     license_scan,
     neardup,
+    quality_model,
     quality_rules,
     repeats,
     suffix_array,
@@ -155,3 +156,9 @@ def op6_html_extraction(spark, sf_dir):
     return html_extraction.main_text(read_table(spark, sf_dir, "pages")).select(
         F.col("key").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars")
     )
+
+
+@query
+def op1_quality_model(spark, sf_dir):
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return quality_model.classify(docs, labels).withColumnRenamed("id", "doc_id")
