@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from barlake.functions.parsing import with_parsed
 from barlake.llm.text import column
 from barlake.storage import scratch_path
 
@@ -88,17 +89,19 @@ def with_statistics(docs: DataFrame, text_col: str = "text", prefix: str = "") -
     df = docs.withColumn("__w", F.array_remove(F.split(text, SPACE), ""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(NOT_SPACE))
     df = df.withColumn("__l", lines)
-    df = df.withColumns(
-        {
-            f"{prefix}n_words": F.size("__w").cast("long"),
-            f"{prefix}word_chars": F.char_length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long"),
-            f"{prefix}n_symbols": (
-                F.char_length(text) - F.char_length(F.translate(text, "#*$%&|<>", ""))
-            ).cast("long"),
-            f"{prefix}n_dup_lines": (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long"),
-        }
-    ).drop("__l")
-    return _repeat_words(df, "__w", f"{prefix}n_repeat_words").drop("__w")
+    df = _repeat_words(df, "__w", "__repeated")
+    counts = F.struct(
+        F.size("__w").cast("long").alias("n_words"),
+        F.char_length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
+        (F.char_length(text) - F.char_length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"),
+        F.col("__repeated").alias("n_repeat_words"),
+    )
+    # A generator, so that no filter copies these expressions below itself.
+    df = with_parsed(df, "__counts", counts)
+    return df.select(
+        *(column(c) for c in docs.columns), *(F.col(f"__counts.{n}").alias(f"{prefix}{n}") for n in STATISTICS)
+    )
 
 
 def base_failed(prefix: str = "") -> Column:
