@@ -12,8 +12,9 @@ Work stays in proportion to the documents, however large a group of copies is:
    similarity, corrected for chance collisions; pairs that it clearly excludes go, and the full sets
    decide on the others. The links found give components.
 3. Only nodes outside the largest component of their bucket are then compared with the
-   bucket's nodes of other components, register against register in blocks. Pairs inside one component
-   need no check, so no link that joins components is lost.
+   bucket's nodes of other components, register against register in blocks of a bounded size; texts
+   follow to the blocks that have candidates, where the full sets decide. Pairs inside one
+   component need no check, so no link that joins components is lost.
 
 With 32 bands of 4 registers a pair at similarity 0.8 shares no band with probability below 1e-7;
 the estimate excludes pairs only five standard errors under the threshold.
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -175,8 +177,10 @@ def _first_pairs(members: DataFrame) -> DataFrame:
     return star.union(chain).distinct()
 
 
-def _left_over(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: float, key: str) -> DataFrame:
-    """Pairs of different components that share a bucket and may be similar.
+def _left_over(
+    members: DataFrame, labels: DataFrame, nodes: DataFrame, size: int, percent: float, key: str
+) -> DataFrame:
+    """Links between different components whose nodes share a bucket.
 
     Buckets of up to three nodes have had all their pairs compared already.
     """
@@ -215,12 +219,24 @@ def _left_over(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _groups(batches, ["key", "i", "j"]):
-            a, b = _compare(block, percent)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
+            yield from _compare(block, percent)
+
+    schema = f"key long, i int, j int, id {key}, component {key}, a array<{key}>, b array<{key}>"
+    found = blocks.mapInArrow(run, schema)
+    # Texts go to the blocks that have candidates, once per document and block.
+    texts = nodes.select("id", "text")
+    asked = (
+        found.join(texts, "id", "left")
+        .select("key", "i", "j", "id", "component", "text", "a", "b")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j")
+    )
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _groups(batches, ["key", "i", "j"]):
+            yield from _confirm(block, size, percent)
 
-    found = blocks.mapInArrow(run, f"a {key}, b {key}")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return asked.mapInArrow(check, f"a {key}, b {key}").distinct()
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -249,20 +265,17 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.concat_tables(waiting).combine_chunks()
 
 
-def _compare(block: pa.Table, percent: float) -> tuple[pa.Array, pa.Array]:
+def _compare(block: pa.Table, percent: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of a block that may be similar: one row with all of them, and one for each node in them."""
     role = block["role"].to_numpy()
     n_against = int((role == 0).sum())
     if n_against in (0, len(role)):
-        return pa.array([]), pa.array([])
+        return
     key = block["key"][0].as_py()
     ids = block["id"].combine_chunks()
     component = block["component"].combine_chunks()
     codes = component.dictionary_encode().indices.to_numpy()
-    order = ids.rank(sort_keys="ascending", tiebreaker="dense").to_numpy() if hasattr(ids, "rank") else None
-    if order is None:
-        import pyarrow.compute as pc
-
-        order = pc.rank(ids, tiebreaker="dense").to_numpy()
+    order = pc.rank(ids, tiebreaker="dense").to_numpy().astype(np.int64)
     sketch = np.frombuffer(b"".join(block["registers"].to_pylist()), np.uint16).reshape(len(role), -1)
     bands = np.array(block["bands"].to_pylist(), np.int64)
     other = block["other"].to_numpy(zero_copy_only=False)[:n_against]
@@ -277,7 +290,50 @@ def _compare(block: pa.Table, percent: float) -> tuple[pa.Array, pa.Array]:
             at = at[bands[row][shared.argmax(axis=1)] == key]
             left += [row] * len(at)
             right += at.tolist()
-    return ids.take(pa.array(left, pa.int64())), ids.take(pa.array(right, pa.int64()))
+    if not left:
+        return
+    used = pa.array(sorted({*left, *right}), pa.int64())
+    n = len(used) + 1
+    place = [pa.repeat(block[c].combine_chunks()[0], n) for c in ("key", "i", "j")]
+    kind = pa.list_(ids.type)
+    pairs = [
+        pa.concat_arrays([pa.nulls(n - 1, kind), pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), ids.take(pa.array(x)))])
+        for x in (left, right)
+    ]
+    own = [pa.concat_arrays([x.take(used), pa.nulls(1, x.type)]) for x in (ids, component)]
+    yield pa.RecordBatch.from_arrays([*place, *own, *pairs], ["key", "i", "j", "id", "component", "a", "b"])
+
+
+def _confirm(block: pa.Table, size: int, percent: float) -> Iterator[pa.RecordBatch]:
+    """Links of a block by the full sets, one for each node and component it is linked with."""
+    block = block.combine_chunks()
+    rows = {k: n for n, k in enumerate(block["id"].to_pylist()) if k is not None}
+    components = block["component"].to_pylist()
+    texts = utf8(block["text"].combine_chunks())
+    sets: dict[int, np.ndarray] = {}
+
+    def hashes(row: int) -> np.ndarray:
+        if row not in sets:
+            sets[row] = shingle_set(texts[row], size)
+        return sets[row]
+
+    left, right, linked = [], [], set()
+    for one, two in zip(block["a"].to_pylist(), block["b"].to_pylist(), strict=True):
+        for a, b in zip(one or (), two or (), strict=True):
+            i, j = rows[a], rows[b]
+            if (a, components[j]) in linked:
+                continue
+            x, y = hashes(i), hashes(j)
+            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                continue
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * shared >= percent * (len(x) + len(y) - shared):
+                linked.add((a, components[j]))
+                left.append(a)
+                right.append(b)
+    if left:
+        kind = block["id"].type
+        yield pa.RecordBatch.from_arrays([pa.array(left, kind), pa.array(right, kind)], ["a", "b"])
 
 
 def near_duplicates(
@@ -311,8 +367,7 @@ def near_duplicates(
     links = scratch.table(_verified(tried, nodes, size, percent, key), "links")
     labels = connected_components(links)
 
-    more = _left_over(members, labels, nodes, percent, key).join(first, ["a", "b"], "left_anti")
-    more = _verified(scratch.table(more, "left-over"), nodes, size, percent, key)
+    more = scratch.table(_left_over(members, labels, nodes, size, percent, key), "left-over")
     ends = [
         labels.select(F.col("id").alias(side), F.col("component").alias(f"component_{side}")) for side in "ab"
     ]
