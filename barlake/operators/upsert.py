@@ -18,8 +18,7 @@ from barlake.operators.quality import duplicate_keys, keep_latest
 from barlake.sources.tables import replace_partitions
 from barlake.storage import has_files, path_exists, remove_tree
 
-# Above this many touched partitions the target is pruned by a join instead of
-# by literals.
+# Up to this many touched partitions also prune the scan of the target, as literals.
 MAX_LITERAL_PARTITIONS = 2000
 
 
@@ -33,7 +32,7 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFra
     Columns the source lacks keep the target's value on matched rows and are
     null on inserted ones.
     """
-    kept = target.join(source.select(*keys), keys, "left_anti")
+    kept = null_safe_join(target, source, keys, "left_anti")
     extra = [c for c in target.columns if c not in source.columns]
     if extra:
         source = source.join(target.select(*keys, *extra), keys, "left")
@@ -55,25 +54,39 @@ def apply_changes(
     return kept.unionByName(alive.select(*target.columns)).select(*target.columns)
 
 
-def _partition_predicate(partitions: list, columns: list[str]) -> Column:
-    if len(columns) == 1:
-        return F.col(columns[0]).isin([row[0] for row in partitions])
-    matches = [
-        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in columns])
-        for row in partitions
-    ]
-    return reduce(lambda a, b: a | b, matches)
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A semi or anti join for which null equals null."""
+    side = right.select(*[F.col(c).alias(f"__{c}") for c in keys])
+    equal = reduce(lambda a, b: a & b, [left[c].eqNullSafe(side[f"__{c}"]) for c in keys])
+    return left.join(side, equal, how)
+
+
+def _pruning(partitions: list, columns: list[str]) -> Column:
+    """What the touched partitions allow each column to be; null is a value like others."""
+
+    def allowed(column: str) -> Column:
+        values = {row[column] for row in partitions}
+        known = F.col(column).isin([v for v in values if v is not None])
+        if None not in values:
+            return known
+        return F.col(column).isNull() | known if len(values) > 1 else F.col(column).isNull()
+
+    return reduce(lambda a, b: a & b, [allowed(c) for c in columns])
 
 
 def touched_rows(target: DataFrame, source: DataFrame, partition_cols: list[str]) -> DataFrame:
-    """Target rows in the partitions that occur in the source."""
+    """Target rows in the partitions that occur in the source, the null partition included.
+
+    One null-safe join decides for any number of partitions; where they are few, literals
+    on top of it prune the scan.
+    """
     touched = source.select(*partition_cols).distinct()
     partitions = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
     if not partitions:
         return target.limit(0)
-    if len(partitions) > MAX_LITERAL_PARTITIONS:
-        return target.join(touched, partition_cols, "left_semi")
-    return target.filter(_partition_predicate(partitions, partition_cols))
+    if len(partitions) <= MAX_LITERAL_PARTITIONS:
+        target = target.filter(_pruning(partitions, partition_cols))
+    return null_safe_join(target, touched, partition_cols, "left_semi")
 
 
 def check_unique(source: DataFrame, keys: list[str]) -> None:
@@ -82,31 +95,33 @@ def check_unique(source: DataFrame, keys: list[str]) -> None:
         raise DuplicateKeyError(f"source holds a key more than once: {duplicate.asDict()}")
 
 
-def _staging_root(path: str) -> str:
-    return f"{path.rstrip('/')}__staging"
+def _staging_root(path: str, job: str = "staging") -> str:
+    return f"{path.rstrip('/')}__{job}"
 
 
-def staged_path(path: str) -> str:
+def staged_path(path: str, job: str = "staging") -> str:
     """Where rows wait to replace the partitions they belong to."""
-    return f"{_staging_root(path)}/merged"
+    return f"{_staging_root(path, job)}/merged"
 
 
-def discard_staging(spark: SparkSession, path: str) -> None:
-    remove_tree(spark, _staging_root(path))
+def discard_staging(spark: SparkSession, path: str, job: str = "staging") -> None:
+    remove_tree(spark, _staging_root(path, job))
 
 
 def _publish(spark: SparkSession, staged: str, path: str, partition_cols: list[str]) -> None:
     replace_partitions(spark.read.parquet(staged), path, partition_cols)
 
 
-def complete_pending(spark: SparkSession, path: str, partition_cols: list[str]) -> bool:
-    """Finish an upsert that died after staging. Repeating it changes nothing."""
-    if not path_exists(spark, _staging_root(path)):
+def complete_pending(
+    spark: SparkSession, path: str, partition_cols: list[str], job: str = "staging"
+) -> bool:
+    """Finish a rewrite that died after staging. Repeating it changes nothing."""
+    if not path_exists(spark, _staging_root(path, job)):
         return False
-    pending = path_exists(spark, f"{staged_path(path)}/_SUCCESS")
+    pending = path_exists(spark, f"{staged_path(path, job)}/_SUCCESS")
     if pending:
-        _publish(spark, staged_path(path), path, partition_cols)
-    discard_staging(spark, path)
+        _publish(spark, staged_path(path, job), path, partition_cols)
+    discard_staging(spark, path, job)
     return pending
 
 

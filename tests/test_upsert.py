@@ -96,3 +96,24 @@ def test_target_is_pruned_to_touched_partitions(spark, folder):
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(p" in plan or "(p#" in plan.split("PartitionFilters")[1]
     assert rows(pruned) == [(3, "a", 3)]
+
+
+@pytest.mark.parametrize("literals", [0, 2000])
+def test_null_partitions_are_kept_whatever_finds_them(spark, folder, monkeypatch, literals):
+    monkeypatch.setattr(upsert, "MAX_LITERAL_PARTITIONS", literals)
+    path, ddl = f"{folder}/t", "k STRING, v INT, p STRING"
+
+    def load(*data):
+        upsert.merge_upsert(spark, path, spark.createDataFrame(list(data), ddl), ["k"], ["p"], ddl)
+
+    load(("a", 1, None), ("b", 1, "x"))
+    load(("c", 2, None))
+    load(("a", 3, None), ("d", 3, "y"))
+    stored = spark.read.schema(ddl).parquet(path).collect()
+    assert sorted((r.k, r.v, r.p) for r in stored) == [
+        ("a", 3, None), ("b", 1, "x"), ("c", 2, None), ("d", 3, "y"),
+    ]
+    two = "k STRING, v INT, p STRING, q INT"
+    target = spark.createDataFrame([("a", 1, None, 1), ("b", 1, "x", None), ("c", 1, "x", 1)], two)
+    source = spark.createDataFrame([("z", 1, None, 1), ("y", 1, "x", None)], two)
+    assert {r.k for r in upsert.touched_rows(target, source, ["p", "q"]).collect()} == {"a", "b"}
