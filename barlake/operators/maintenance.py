@@ -14,7 +14,6 @@ from barlake.operators.upsert import (
     staged_path,
     touched_rows,
 )
-from barlake.storage import path_exists, remove_tree
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -32,10 +31,16 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# Fixed value: the folder of the null partition.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def partition_of(file_path: str, partition_cols: list[str]) -> list[Column]:
-    """Partition values, as text, out of a file path."""
+    """Partition values, as text, out of a file path; null for the null partition."""
     return [
-        F.url_decode(F.regexp_extract(file_path, f"/{c}=([^/]*)/", 1)).alias(c)
+        F.nullif(
+            F.url_decode(F.regexp_extract(file_path, f"/{c}=([^/]*)/", 1)), F.lit(NULL_PARTITION)
+        ).alias(c)
         for c in partition_cols
     ]
 
@@ -54,9 +59,17 @@ def file_sizes(spark: SparkSession, path: str, partition_cols: list[str]) -> Dat
 
 
 def needs_compaction(sizes: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
-    """Partitions with more files than their size calls for."""
-    wanted = F.greatest(F.ceil(F.col("total_bytes") / target_bytes), F.lit(1))
-    return sizes.filter(F.col("file_count") > wanted)
+    """Partitions that a rewrite leaves with fewer files, and how many it should make.
+
+    Files above half the target are left alone, so a rewritten partition is fine
+    although its bytes changed a little.
+    """
+    wanted = F.greatest(F.ceil(F.col("total_bytes") / target_bytes), F.lit(1)).cast("int")
+    small = F.col("total_bytes") < F.col("file_count") * (target_bytes / 2)
+    return sizes.withColumn("wanted", wanted).filter((F.col("file_count") > F.col("wanted")) & small)
+
+
+COMPACTION = "compaction"
 
 
 def compact(
@@ -65,35 +78,46 @@ def compact(
     partition_cols: list[str],
     ddl: str,
     target_bytes: int = TARGET_FILE_BYTES,
+    only: Column | None = None,
 ) -> tuple[int, int]:
     """D-5: rewrite partitions made of too many files; gives files before and after.
 
-    The rows are staged, compared with the table, and published through a
-    rebalance: AQE cuts a large partition into target-sized tasks, so one with
-    most of the data is rewritten in parallel.
+    ``only`` limits it to partitions that no other job writes. The rows are staged
+    in a folder of their own, compared with the table, and published by as many
+    tasks per partition as it should have files.
     """
-    complete_pending(spark, path, partition_cols)
+    complete_pending(spark, path, partition_cols, COMPACTION)
     before = list_files(spark, path).count()
     table = spark.read.schema(ddl).parquet(path)
     crowded = needs_compaction(file_sizes(spark, path, partition_cols), target_bytes).select(
-        *[F.col(c).cast(table.schema[c].dataType).alias(c) for c in partition_cols]
+        *[F.col(c).cast(table.schema[c].dataType).alias(c) for c in partition_cols], "wanted"
     )
+    if only is not None:
+        crowded = crowded.filter(only)
     if crowded.isEmpty():
         return before, before
     chosen = touched_rows(table, crowded, partition_cols)
-    staged = staged_path(path)
+    staged = staged_path(path, COMPACTION)
     chosen.write.mode("overwrite").parquet(staged)
-    if content_hash(spark.read.schema(chosen.schema).parquet(staged)) != content_hash(chosen):
-        discard_staging(spark, path)
+    rows = spark.read.schema(chosen.schema).parquet(staged)
+    if content_hash(rows) != content_hash(chosen):
+        discard_staging(spark, path, COMPACTION)
         raise RuntimeError(f"the staged copy of {path} differs from the table")
-    # Publishing rebalances to the advisory size, so that is the file size.
-    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    previous = spark.conf.get(advisory)
-    spark.conf.set(advisory, str(target_bytes))
-    try:
-        complete_pending(spark, path, partition_cols)
-    finally:
-        spark.conf.set(advisory, previous)
+    # Rows of a partition go to "wanted" tasks, chosen by a hash of the row.
+    same = [rows[c].eqNullSafe(crowded[c]) for c in partition_cols]
+    spread = rows.join(crowded, same).select(
+        *[rows[c] for c in rows.columns],
+        F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), "wanted").alias("_file"),
+    )
+    (
+        spread.repartition(*partition_cols, "_file")
+        .drop("_file")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_cols)
+        .parquet(path)
+    )
+    discard_staging(spark, path, COMPACTION)
     return before, list_files(spark, path).count()
 
 
@@ -109,10 +133,10 @@ def content_hash(df: DataFrame) -> tuple[int, int]:
 def orphan_files(
     spark: SparkSession, path: str, manifest: DataFrame, older_than: datetime | None = None
 ) -> DataFrame:
-    """D-6: listed files that no committed table state refers to.
+    """D-6: listed files that no committed table state refers to, as a report.
 
-    ``manifest`` has the committed ``file_path`` values. Files younger than
-    ``older_than`` may belong to a running write and are left out.
+    ``manifest`` has the committed ``file_path`` values (see ``committed_files``). Files
+    younger than ``older_than`` may belong to a running write and are left out.
     """
     listed = list_files(spark, path)
     if older_than is not None:
@@ -121,24 +145,12 @@ def orphan_files(
 
 
 def committed_files(table: DataFrame) -> DataFrame:
-    """The files a table read resolves to, as a manifest."""
-    return table.select(F.col("_metadata.file_path").alias("file_path")).distinct()
-
+    """The files a table read resolves to, as a manifest.
 
-def remove_orphans(
-    spark: SparkSession,
-    path: str,
-    manifest: DataFrame,
-    older_than: datetime,
-    delete: bool = False,
-) -> DataFrame:
-    """D-6: report orphans; delete them only when asked to, and past the age limit."""
-    orphans = orphan_files(spark, path, manifest, older_than)
-    if delete:
-        for row in orphans.select("file_path").toLocalIterator():
-            if path_exists(spark, row["file_path"]):
-                remove_tree(spark, row["file_path"])
-    return orphans
+    A read gives encoded addresses and a listing plain paths; the manifest has the latter.
+    """
+    address = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return table.select(F.url_decode(address).alias("file_path")).distinct()
 
 
 def maintain(

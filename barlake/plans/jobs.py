@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barlake import schemas
 from barlake.operators import maintenance
@@ -21,6 +22,7 @@ from barlake.plans import cold_path
 from barlake.session import build_session, pin_session
 from barlake.sources import dimensions, messages, tables
 from barlake.sources.jdbc import JdbcTarget, upsert_jdbc
+from barlake.storage import has_files
 from barlake.streaming import hot_path
 
 GOLD_KEYS = ["symbol", "fetch_date"]
@@ -98,18 +100,37 @@ def hot(spark: SparkSession, lake: cold_path.Lake, options) -> None:
 
 
 def maintain(spark: SparkSession, lake: cold_path.Lake, options) -> None:
-    """Compact every lake table; a failing table does not stop the others."""
+    """Compact every lake table; a failing table does not stop the others, but fails the job.
+
+    Of the indicators, which the hot path writes all the time, only hours are
+    rewritten that lie well behind its watermark.
+    """
+    settled = F.col("window_part") < F.date_format(
+        F.current_timestamp() - F.expr("INTERVAL 3 HOURS"), hot_path.GRAINS["hour"]
+    ).cast("int")
     layouts = {
         lake.assets: (["asset_type"], schemas.DIM_ASSETS_DDL),
         lake.fact: (cold_path.FACT_PARTITIONS, schemas.FACT_TABLE_DDL),
         lake.gold: (["year"], f"{schemas.GOLD_DDL}, year INT"),
         lake.indicators: (["window_part"], f"{schemas.INDICATORS_DDL}, window_part INT"),
     }
+    limits = {lake.indicators: settled}
+
+    def step(path: str, columns: list[str], ddl: str) -> tuple[int, int]:
+        if not has_files(spark, path):
+            return 0, 0
+        return maintenance.compact(spark, path, columns, ddl, only=limits.get(path))
+
     steps = [
-        (path, "compact", lambda p=path, c=columns, d=ddl: maintenance.compact(spark, p, c, d))
+        (path, "compact", lambda p=path, c=columns, d=ddl: step(p, c, d))
         for path, (columns, ddl) in layouts.items()
     ]
-    maintenance.maintain(spark, steps).show(truncate=False)
+    done = maintenance.maintain(spark, steps)
+    done.show(truncate=False)
+    # One row per table.
+    failed = [row["table_name"] for row in done.filter("error IS NOT NULL").collect()]
+    if failed:
+        raise RuntimeError(f"maintenance failed for {', '.join(failed)}")
 
 
 JOBS = {"setup": setup, "cold-path": cold, "hot-path": hot, "maintain": maintain}

@@ -1,5 +1,4 @@
-from datetime import datetime, timedelta
-from pathlib import Path
+from datetime import datetime
 
 from helpers import rows
 from pyspark.sql import functions as F
@@ -33,23 +32,37 @@ def test_compaction_keeps_rows_and_fine_partitions(spark, folder):
     assert maint.compact(spark, path, ["p"], DDL) == (3, 3)
 
 
-def test_orphans_are_reported_and_only_deleted_on_request(spark, folder):
+def test_compaction_takes_null_partitions_and_leaves_others_alone(spark, folder):
     path = f"{folder}/t"
-    small_files(spark, path)
-    manifest = maint.committed_files(spark.read.schema(DDL).parquet(path))
-    manifest.write.parquet(f"{folder}/manifest")
+    data = spark.range(300).withColumn("p", F.when(F.col("id") % 3 != 0, (F.col("id") % 3).cast("int")))
+    data.repartition(5).write.partitionBy("p").parquet(path)
+    expected = rows(spark.read.schema(DDL).parquet(path))
+    assert maint.compact(spark, path, ["p"], DDL, only=~F.col("p").eqNullSafe(2)) == (15, 7)
+    assert rows(spark.read.schema(DDL).parquet(path)) == expected
+    assert maint.compact(spark, path, ["p"], DDL) == (7, 3)
+    assert rows(spark.read.schema(DDL).parquet(path)) == expected
+
+
+def test_compaction_converges(spark, folder):
+    path = f"{folder}/t"
+    data = spark.range(20_000).withColumn("p", F.lit(1)).withColumn("id", F.xxhash64("id"))
+    data.repartition(30).write.partitionBy("p").parquet(path)
+    before, after = maint.compact(spark, path, ["p"], DDL, target_bytes=50_000)
+    assert before == 30 and after <= 6
+    assert maint.compact(spark, path, ["p"], DDL, target_bytes=50_000) == (after, after)
+    assert spark.read.schema(DDL).parquet(path).distinct().count() == 20_000
+
+
+def test_orphans_are_reported_whatever_the_partition_is_called(spark, folder):
+    path = f"{folder}/t"
+    names = spark.range(8).withColumn("p", F.when(F.col("id") % 2 == 0, "a b+c%").otherwise("x"))
+    names.write.partitionBy("p").parquet(path)
+    maint.committed_files(spark.read.parquet(path)).write.parquet(f"{folder}/manifest")
     manifest = spark.read.parquet(f"{folder}/manifest")
-    spark.range(1).coalesce(1).write.mode("append").parquet(f"{path}/p=1")
-    now = datetime.now() + timedelta(days=2)
-    long_ago = datetime(2000, 1, 1)
+    assert maint.orphan_files(spark, path, manifest).count() == 0
+    spark.range(1).coalesce(1).write.mode("append").parquet(f"{path}/p=x")
     assert maint.orphan_files(spark, path, manifest).count() == 1
-    assert maint.orphan_files(spark, path, manifest, long_ago).count() == 0
-    (orphan,) = maint.remove_orphans(spark, path, manifest, now).collect()
-    local = Path(orphan.file_path.removeprefix("file:"))
-    assert local.exists()
-    maint.remove_orphans(spark, path, manifest, now, delete=True)
-    assert not local.exists()
-    assert spark.read.schema(DDL).parquet(path).count() == 200
+    assert maint.orphan_files(spark, path, manifest, datetime(2000, 1, 1)).count() == 0
 
 
 def test_content_hash_sees_lost_and_doubled_rows(spark):
