@@ -37,11 +37,20 @@ def dead_letter_reason(parsed: Column, value: Column) -> Column:
     )
 
 
-def classify(messages: DataFrame) -> DataFrame:
+def _position_reason(topics: list[str]) -> Column:
+    """Why a message has no place in the order of ticks."""
+    missing = F.col("partition").isNull() | F.col("offset").isNull()
+    return F.when(~F.coalesce(F.col("topic").isin(topics), F.lit(False)), "unknown_topic").when(
+        missing | (F.col("partition") < 0) | (F.col("offset") < 0), "bad_position"
+    )
+
+
+def classify(messages: DataFrame, topics: list[str] | None = None) -> DataFrame:
     """Q-1: every message with its parsed tick and a ``reason``, null when valid.
 
     One parse serves both outputs; filter the result, or store it partitioned
-    by ``is_valid``, to get at either.
+    by ``is_valid``, to get at either. With ``topics``, messages of other topics or
+    without a place in theirs are no ticks either.
     """
     parsed = F.from_json(
         "value",
@@ -49,6 +58,8 @@ def classify(messages: DataFrame) -> DataFrame:
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
     reason = dead_letter_reason(F.col("tick"), F.col("value"))
+    if topics is not None:
+        reason = F.coalesce(_position_reason(topics), reason)
     return (
         with_parsed(messages, "tick", parsed)
         .withColumn("reason", reason)

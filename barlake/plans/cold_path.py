@@ -29,7 +29,7 @@ from barlake.operators.star import gold_daily_prices
 from barlake.operators.upsert import complete_pending, merge_upsert, touched_rows
 from barlake.sources.dimensions import generate_dim_date
 from barlake.sources.tables import read_parquet_or_empty
-from barlake.storage import materialized, remove_tree
+from barlake.storage import materialized, path_exists, remove_tree
 from barlake.streaming.ingest import write_bronze
 
 # The two feeds.
@@ -60,6 +60,10 @@ class Lake:
     def fact(self) -> str:
         return self._under("silver/fact_daily_prices")
 
+    @property
+    def progress(self) -> str:
+        return self._under("silver/progress")
+
     @property
     def due_months(self) -> str:
         return self._under("silver/due_months")
@@ -139,13 +143,40 @@ def stored_fact(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_parquet_or_empty(spark, lake.fact, schemas.FACT_TABLE_DDL)
 
 
+class ProgressLostError(RuntimeError):
+    """The fact table was built by a stream whose checkpoint is gone."""
+
+
+def check_progress(spark: SparkSession, lake: Lake) -> None:
+    """Tie the fact table to the stream that fills it.
+
+    Batch numbers guard against counting twice, and they start again with a new
+    checkpoint: every tick of a stored bar would then pass for one already counted.
+    The id of a stream lives in its checkpoint, so it tells the two apart.
+    """
+    metadata = f"{lake.checkpoint('bronze_to_silver')}/metadata"
+    if not path_exists(spark, metadata):
+        return
+    current = spark.read.schema("id STRING").json(metadata)
+    known = read_parquet_or_empty(spark, lake.progress, "id STRING").first()
+    if known is None:
+        current.coalesce(1).write.mode("overwrite").parquet(lake.progress)
+    elif known["id"] != current.first()["id"]:
+        raise ProgressLostError(
+            f"{lake.fact} was filled by stream {known['id']}, whose checkpoint is gone. Remove"
+            f" {lake.fact} and {lake.progress}: the new stream then rebuilds it from bronze"
+        )
+
+
 def silver_batch(lake: Lake, topics: list[str]) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of step 2; repeating a batch is harmless."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if batch_id == 0:
+            check_progress(spark, lake)
         complete_pending(spark, lake.fact, FACT_PARTITIONS)
-        classified = classify(batch)
+        classified = classify(batch, topics)
         # Both outputs read the parsed batch; only dead letters need its text.
         # The batch is bounded by the files it takes, and it may spill to disk.
         classified = classified.withColumn("value", F.when(~F.col("is_valid"), F.col("value")))

@@ -11,6 +11,7 @@ from barlake.operators.quality import QualityGateError
 from barlake.plans import cold_path
 from barlake.sources import messages, tables
 from barlake.sources.dimensions import generate_dim_date
+from barlake.storage import remove_tree
 
 TOPICS = ["stock_trades"]
 
@@ -166,3 +167,33 @@ def test_later_batches_merge_with_backfilled_bars(spark, folder):
     assert [(r[2], r[6]) for r in fact(spark, lake)] == [(1.5, 6)]
     step(envelopes(ticks(spark, [("A", 9.0, 1.0, 20, 1), ("A", 8.0, 1.0, 0, 2)])), 4)
     assert [(r[2], r[5], r[6]) for r in fact(spark, lake)] == [(8.0, 9.0, 8)]
+
+
+def test_a_new_checkpoint_is_noticed(spark, folder):
+    lake = cold_path.Lake(folder)
+    seed_assets(spark, lake)
+    run(spark, lake, [("A", 10.0, 1.0, 0, 0)])
+    run(spark, lake, [("A", 11.0, 1.0, 1, 1)])
+    remove_tree(spark, lake.checkpoint("bronze_to_silver"))
+    with pytest.raises(Exception, match="checkpoint is gone"):
+        run(spark, lake, [("A", 99.0, 5.0, 2, 2)])
+    for path in (lake.fact, lake.progress, lake.checkpoint("bronze_to_silver")):
+        remove_tree(spark, path)
+    run(spark, lake, [("A", 12.0, 1.0, 3, 3)])
+    (bar,) = spark.read.parquet(lake.fact).collect()
+    assert (bar.high_price, bar.volume) == (99.0, 8)
+
+
+def test_unlisted_topics_and_bad_positions_are_dead_letters(spark, folder):
+    lake = cold_path.Lake(folder)
+    batch = envelopes(ticks(spark, [("A", 1.0, 1.0, 0, 0), ("A", 2.0, 1.0, 1, 1), ("A", 3.0, 1.0, 2, 2)]))
+    batch = batch.withColumns(
+        {
+            "topic": F.when(F.col("offset") == 1, "other").otherwise(F.col("topic")),
+            "partition": F.when(F.col("offset") == 2, F.lit(None).cast("int")).otherwise(F.col("partition")),
+        }
+    )
+    cold_path.silver_batch(lake, TOPICS)(batch, 0)
+    reasons = {r.reason for r in spark.read.json(lake.dead_letters).collect()}
+    assert reasons == {"unknown_topic", "bad_position"}
+    assert spark.read.parquet(lake.fact).count() == 1
