@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from barlake import schemas
@@ -100,13 +101,26 @@ def start_hot_path(
     )
 
 
-def dropped_by_watermark(query: StreamingQuery) -> int:
-    """T-5: aggregate inputs that arrived too late.
+class LateRows(StreamingQueryListener):
+    """T-5: aggregate inputs that arrived too late, by query id, over the whole run.
 
-    A late tick counts once per window it would have entered.
+    Add it to ``spark.streams`` before the query starts. A late tick counts once per
+    window it would have entered.
     """
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        query = str(event.progress.id)
+        self.dropped[query] = self.dropped.get(query, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

@@ -85,9 +85,15 @@ def test_late_ticks_are_dropped_and_counted_once_per_window(spark, folder):
     send(ticks(spark, [("A", 1.0, 1.0, 600_000, 0)]), broker)
     send(ticks(spark, [("A", 2.0, 1.0, 601_000, 1)]), broker)
     send(ticks(spark, [("A", 9.0, 1.0, 0, 2), ("A", 3.0, 1.0, 602_000, 3)]), broker)
-    query = run_hot(spark, folder)
+    late = hot_path.LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = run_hot(spark, folder)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.streams.removeListener(late)
     stored = spark.read.parquet(f"{folder}/indicators")
-    assert hot_path.dropped_by_watermark(query) == 6
+    assert late.dropped[str(query.id)] == 6
     assert stored.agg(F.min("window_start")).first()[0].timestamp() * 1000 >= BASE_MS + 500_000
 
 
