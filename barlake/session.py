@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,11 +43,14 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder, from ``spark.checkpoint.dir``.
 
-    A folder of our own is set only where the cluster names none (local tests).
+    Where none is named, a local session gets a temporary folder; on a cluster no
+    other machine would see it, so that is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="barlake-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
