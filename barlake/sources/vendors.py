@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from barlake import schemas
 from barlake.functions.parsing import with_parsed
-from barlake.functions.sizing import checked_broadcast
 
 
 def crypto_aliases(assets: DataFrame) -> DataFrame:
@@ -35,7 +34,7 @@ def crypto_ticks(payloads: DataFrame, aliases: DataFrame, keep: tuple[str, ...]
     )
     trades = with_parsed(payloads, "body", body).select(trade.alias("trade"), *keep)
     return trades.join(
-        checked_broadcast(aliases), F.col("trade.s") == F.col("raw_symbol"), "inner"
+        aliases, F.col("trade.s") == F.col("raw_symbol"), "inner"
     ).select(
         "symbol",
         F.col("trade.p").try_cast("double").alias("price"),

@@ -6,7 +6,6 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from barlake import schemas
-from barlake.functions import sizing
 from barlake.sources import dimensions, jdbc, messages, tables, vendors
 
 SYMBOLS = [("BTC-USD", "Bitcoin", "crypto"), ("AAPL", "Apple", "stock")]
@@ -127,15 +126,6 @@ def test_star_schema_in_the_catalog(spark, assets, folder):
     assert tables.read_table(spark, "trading_test.fact_daily_prices").count() == 0
 
 
-def test_broadcast_only_below_the_limit(spark):
-    small = spark.range(10)
-    big = spark.range(100_000)
-    hinted = sizing.checked_broadcast(small)._jdf.queryExecution().analyzed().toString()
-    plain = sizing.checked_broadcast(big, 1000)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in hinted and "broadcast" not in plain
-    assert sizing.measured_bytes(small.limit(0)) == 0
-
-
 def test_postgres_statement():
     sql = jdbc.upsert_statement("postgresql", "t", "s", ["k", "d", "v"], ["k", "d"])
     assert sql == (
