@@ -441,7 +441,11 @@ def statements() -> dict[str, str]:
             "SELECT month_key, count(*) AS row_count FROM keyed GROUP BY month_key", KEYED
         ),
         "compacted_table": _suppliers(
-            "SELECT symbol, date_key, volume, month_key // 100 AS month_key FROM keyed", KEYED
+            "SELECT month_key // 100 AS month_key, count(*) AS row_count,"
+            " CAST(sum(volume) AS BIGINT) AS volume, CAST(1 AS BIGINT) AS file_count,"
+            " CAST(0 AS BIGINT) AS failures, CAST(1 AS BIGINT) AS runs_that_rewrote"
+            " FROM keyed GROUP BY ALL",
+            KEYED,
         ),
         "orphan_partitions": _suppliers(
             "SELECT DISTINCT month_key FROM keyed WHERE date_key % 100 = 31", KEYED
@@ -636,6 +640,13 @@ def statements() -> dict[str, str]:
             "SELECT count(e) AS n, steady(sqrt(avg(e * e)), 4) AS rmse, steady(avg(abs(e)), 4) AS mae"
             f" FROM (SELECT close_price - lead(close_price) {_TIED}) AS e FROM sbars)"
         ),
+        "stored_dead_letters": _sql(
+            "SELECT reason, topic, count(*) AS messages FROM ("
+            " SELECT reason, topic FROM broken WHERE reason IS NOT NULL UNION ALL"
+            " SELECT 'unknown_topic', 'unlisted' FROM broken WHERE seq % 5 = 0) GROUP BY ALL",
+            TICKS,
+            BROKEN,
+        ),
         "cold_path_gold": _sql(
             "SELECT * FROM gold",
             TICKS,

@@ -46,11 +46,12 @@ def registered() -> dict[str, Query]:
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    """Round in plain arithmetic; the added fraction keeps halves off the boundary."""
+    """Round in double arithmetic; the added fraction keeps halves off the boundary.
+
+    ``rint`` stays in doubles, so NaN, infinity and any size come through.
+    """
     scale = float(10**digits)
-    return df.withColumns(
-        {c: F.floor(F.col(c) * scale + 0.5001).cast("double") / scale for c in columns}
-    )
+    return df.withColumns({c: F.rint(F.col(c) * scale + 0.0001) / scale for c in columns})
 
 
 def without_zone(df: DataFrame, *columns: str) -> DataFrame:
@@ -479,19 +480,25 @@ def partition_listing(spark, sf_dir):
 
 @query
 def compacted_table(spark, sf_dir):
-    """D-5, D-9: small files rewritten, rows unchanged"""
+    """D-5, D-9: files and rows per partition after two runs, and what the runs did"""
     path = f"{scratch_path(spark, 'compact')}/bars"
     bars = keyed_bars(spark, sf_dir).withColumn(
         "month_key", F.floor(F.col("month_key") / 100).cast("int")
     )
     bars.repartition(8, "symbol", "date_key").write.partitionBy("month_key").parquet(path)
-    done = maint.maintain(
-        spark,
-        [("bars", "compact", lambda: maint.compact(spark, path, ["month_key"], KEYED_DDL))],
+    step = ("bars", "compact", lambda: maint.compact(spark, path, ["month_key"], KEYED_DDL))
+    done = maint.maintain(spark, [step, step])
+    table = spark.read.schema(KEYED_DDL).parquet(path)
+    listed = tables.partition_listing(table, ["month_key"])
+    volumes = table.groupBy("month_key").agg(F.sum("volume").alias("volume"))
+    return listed.join(volumes, "month_key").select(
+        "month_key",
+        "row_count",
+        "volume",
+        "file_count",
+        F.lit(done.filter("error IS NOT NULL").count()).cast("long").alias("failures"),
+        F.lit(done.filter("after < before").count()).cast("long").alias("runs_that_rewrote"),
     )
-    failed = done.filter(F.col("error").isNotNull() | (F.col("after") >= F.col("before")))
-    rows = spark.read.schema(KEYED_DDL).parquet(path)
-    return rows.join(failed.select(F.lit(-1).alias("month_key")), "month_key", "left_anti")
 
 
 @query
@@ -555,15 +562,17 @@ def hot_indicators(spark, sf_dir):
     return without_zone(rounded(windows, "sma", "vwap"), "window_start", "window_end")
 
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream, be it one file or a folder of parts."""
+    schema = fx.table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+
+
 @query
 def hot_indicators_stream(spark, sf_dir):
     """T-1..T-7, T-10, K-8: the stream drained into an upserted table"""
     root = scratch_path(spark, "hot")
-    stream = (
-        spark.readStream.schema(fx.table(spark, sf_dir, "events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    stream = event_stream(spark, sf_dir)
     ticks = fx.event_columns(stream).withColumn("event_time", hot_path.event_time())
     hot_path.start_hot_path(
         hot_path.hot_indicators(ticks),
@@ -592,11 +601,7 @@ def feed_gaps(spark, sf_dir):
 def stale_feeds_stream(spark, sf_dir):
     """T-9 on a stream: users silent for more than an hour at a fixed time"""
     root = scratch_path(spark, "stale")
-    stream = (
-        spark.readStream.schema(fx.table(spark, sf_dir, "events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    stream = event_stream(spark, sf_dir)
     ticks = stream.select(
         F.concat(F.lit("U"), F.col("user_id")).alias("symbol"),
         F.col("ts").cast("timestamp").alias("event_time"),
@@ -830,7 +835,7 @@ def regression_metrics(spark, sf_dir):
     )
 
 
-MODEL = fc.ModelSettings(max_depth=3, n_estimators=5)
+MODEL = fc.ModelSettings()
 
 
 def split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -880,12 +885,27 @@ def close_model(spark, sf_dir):
 
 @query
 def cold_path_gold(spark, sf_dir):
-    """T-11: broken and repeated messages through bronze and silver to gold, in two runs"""
+    """T-11: broken messages and those of an unlisted topic through bronze and silver to gold, in two runs"""
     lake = cold_path.Lake(scratch_path(spark, "lake"))
     tables.append(fx.event_assets(spark, sf_dir), lake.assets, ["asset_type"])
     sent = fx.corrupted_messages(spark, sf_dir)
+    other = sent.filter(F.col("offset") % 5 == 0).withColumn("topic", F.lit("unlisted"))
+    sent = sent.unionByName(other)
     broker = f"{lake.root}/broker"
     for part in (0, 1):
         sent.filter(F.col("offset") % 2 == part).write.mode("append").json(broker)
         cold_path.run_cold_path(spark, lake, messages.file_stream(spark, broker))
     return spark.read.schema(schemas.GOLD_DDL).parquet(lake.gold).drop("year")
+
+
+@query
+def stored_dead_letters(spark, sf_dir):
+    """K-9: the dead letters of a cold path run, read back and counted by reason and topic"""
+    lake = cold_path.Lake(scratch_path(spark, "lake"))
+    sent = fx.corrupted_messages(spark, sf_dir)
+    other = sent.filter(F.col("offset") % 5 == 0).withColumn("topic", F.lit("unlisted"))
+    sent.unionByName(other).write.json(f"{lake.root}/broker")
+    cold_path.ingest(messages.file_stream(spark, f"{lake.root}/broker"), lake)
+    cold_path.bronze_to_silver(spark, lake)
+    stored = spark.read.json(lake.dead_letters)
+    return stored.groupBy("reason", "topic").agg(F.count(F.lit(1)).alias("messages"))
