@@ -379,10 +379,9 @@ def classify(
     scored = scratch.result(scored, "perplexities")
     limits = thresholds(scored, quantile)
     by_language = limits.filter("not every").select("language", F.col("threshold").alias("own_threshold"))
-    overall = limits.filter("every").agg(F.max("threshold").alias("any_threshold"))
-    # One row, whatever the data.
-    joined = scored.join(by_language, "language", "left").join(F.broadcast(overall), F.lit(True), "left")
-    limit = F.coalesce("own_threshold", "any_threshold")
+    overall = limits.filter("every").agg(F.max("threshold")).scalar()
+    joined = scored.join(by_language, "language", "left")
+    limit = F.coalesce(F.col("own_threshold"), overall)
     result = joined.select(
         "id",
         "lang",
