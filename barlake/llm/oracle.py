@@ -1,9 +1,76 @@
-"""DuckDB SQL for the corpus queries that SQL can express."""
+"""DuckDB SQL for the corpus queries that SQL can express, over whole tables."""
 
 from __future__ import annotations
 
-_STATEMENTS: dict[str, str] = {}
+_LOWER = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_NO_SPACE = r"[^\x20\x09-\x0D]+"
+
+
+def _words(table: str, key: str, text: str, pattern: str) -> str:
+    return f"SELECT {key}, regexp_extract_all({text}, '{pattern}') AS w FROM {table}"
+
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE docs AS ({_words("documents", "doc_id", _LOWER, _NO_SPACE)}),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM docs, unnest(range(1, greatest(len(w) - 2, 2))) t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM docs
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+components AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM components LEFT JOIN sizes USING (doc_id)"""
+
+SUBSTRING_DEDUP = f"""
+WITH docs AS ({_words("documents", "doc_id", "coalesce(text, '')", _NO_SPACE)}),
+windows AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(w[i:i + 12], ' ')) AS earliest
+  FROM docs, unnest(range(1, len(w) - 11)) t(i)),
+gone AS (
+  SELECT DISTINCT doc_id, i + j AS place FROM windows, unnest(range(13)) u(j) WHERE earliest < doc_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM docs) p
+  ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(removed.n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)"""
+
+DECONTAMINATION = f"""
+WITH docs AS ({_words("documents", "doc_id", _LOWER, _ALNUM)}),
+items AS ({_words("benchmark", "item_id", _LOWER, _ALNUM)}),
+grams AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
+  FROM items, unnest(range(1, greatest(len(w) - 8, 2))) t(i) WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT k FROM grams),
+windows AS (
+  SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT * FROM docs, lengths) s, unnest(range(1, len(w) - k + 2)) t(i)),
+hits AS (SELECT doc_id, i, k, item_id FROM windows JOIN grams USING (k, g)),
+covered AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM hits, unnest(range(k)) u(j) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items,
+       sha256(coalesce(found.items, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 
 def statements() -> dict[str, str]:
-    return dict(_STATEMENTS)
+    return {
+        "op5_near_duplicates": NEAR_DUPLICATES,
+        "op7_substring_dedup": SUBSTRING_DEDUP,
+        "op8_decontamination": DECONTAMINATION,
+    }
