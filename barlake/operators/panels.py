@@ -17,6 +17,9 @@ def in_range(rows: DataFrame, start: str | None, end: str | None, day: str = "fe
     return rows
 
 
+# The column names of the panels are fixed values.
+
+
 def price_panel(gold: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """O-1: close price over time."""
     return (

@@ -80,6 +80,14 @@ class Lake:
     def indicators(self) -> str:
         return self._under("gold/crypto_indicators")
 
+    @property
+    def predictions(self) -> str:
+        return self._under("gold/daily_predictions")
+
+    @property
+    def models(self) -> str:
+        return self._under("models/direction")
+
     def checkpoint(self, job: str) -> str:
         return self._under(f"checkpoints/{job}")
 

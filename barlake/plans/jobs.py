@@ -4,6 +4,7 @@
     spark-submit barlake/plans/jobs.py cold-path --root s3a://bucket/lake --servers broker:9092
     spark-submit barlake/plans/jobs.py hot-path  --root s3a://bucket/lake --servers broker:9092
     spark-submit barlake/plans/jobs.py maintain  --root s3a://bucket/lake
+    spark-submit barlake/plans/jobs.py predict   --root s3a://bucket/lake --model-version v1
 
 ``--messages`` reads messages from a folder of JSON files instead of a broker.
 Errors propagate, so a failed job has a failing exit code.
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from barlake import schemas
 from barlake.operators import maintenance
-from barlake.plans import cold_path
+from barlake.operators.bars import with_fetch_date
+from barlake.plans import cold_path, predictions
 from barlake.session import build_session, pin_session
 from barlake.sources import dimensions, messages, tables
 from barlake.sources.jdbc import JdbcTarget, upsert_jdbc
@@ -40,6 +42,7 @@ def parser() -> argparse.ArgumentParser:
     arguments.add_argument("--jdbc-driver", default="org.postgresql.Driver")
     arguments.add_argument("--jdbc-dialect", default="postgresql")
     arguments.add_argument("--interval", default="10 seconds", help="hot-path trigger")
+    arguments.add_argument("--model-version", default="v1", help="a new name for each training")
     arguments.add_argument("--drain", action="store_true", help="hot path: stop when drained")
     return arguments
 
@@ -133,7 +136,21 @@ def maintain(spark: SparkSession, lake: cold_path.Lake, options) -> None:
         raise RuntimeError(f"maintenance failed for {', '.join(failed)}")
 
 
-JOBS = {"setup": setup, "cold-path": cold, "hot-path": hot, "maintain": maintain}
+def predict(spark: SparkSession, lake: cold_path.Lake, options) -> None:
+    """Train a model version on the stored bars and predict each symbol's next day."""
+    bars = with_fetch_date(cold_path.stored_fact(spark, lake))
+    predictions.predict_newest(
+        spark, bars, lake.models, options.model_version, lake.predictions
+    )
+
+
+JOBS = {
+    "setup": setup,
+    "cold-path": cold,
+    "hot-path": hot,
+    "maintain": maintain,
+    "predict": predict,
+}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

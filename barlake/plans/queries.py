@@ -21,6 +21,7 @@ from barlake.operators import maintenance as maint
 from barlake.operators import panels, quality, star, upsert
 from barlake.plans import cold_path
 from barlake.plans import fixtures as fx
+from barlake.plans import predictions
 from barlake.session import pin_session
 from barlake.sources import dimensions, messages, tables, vendors
 from barlake.storage import scratch_path
@@ -797,7 +798,9 @@ def ml_features(spark, sf_dir):
 @query
 def ml_split(spark, sf_dir):
     """L-2"""
-    return fc.with_split(supplier_bars(spark, sf_dir).select("symbol", "fetch_date"))
+    path = scratch_path(spark, "split")
+    supplier_bars(spark, sf_dir).select("symbol", "fetch_date").write.parquet(path)
+    return fc.with_split(spark.read.parquet(path))
 
 
 @query
@@ -838,21 +841,13 @@ def regression_metrics(spark, sf_dir):
 MODEL = fc.ModelSettings()
 
 
-def split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features with their split, written once: training reads them many times."""
-    path = scratch_path(spark, "features")
-    fc.with_split(fc.feature_frame(supplier_returns(spark, sf_dir))).write.parquet(path)
-    return spark.read.parquet(path)
-
-
 @query
 def direction_model(spark, sf_dir):
-    """L-3, L-5, L-7: train, store, load, predict the test dates"""
-    frame = split_features(spark, sf_dir)
-    root = scratch_path(spark, "models")
-    model = fc.train_direction(frame.filter("split = 'train'"), MODEL)
-    fc.save_model(model, root, "v1", MODEL, frame.agg(F.count(F.lit(1)).alias("rows")))
-    return fc.predict_direction(
+    """L-3, L-5, L-7: train, store with metrics, load, predict the test dates, upsert twice"""
+    frame = predictions.split_features(supplier_returns(spark, sf_dir))
+    root, path = scratch_path(spark, "models"), f"{scratch_path(spark, 'predictions')}/daily"
+    predictions.train_version(frame, root, "v1", MODEL)
+    predicted = fc.predict_direction(
         fc.load_model(root, "v1"),
         frame.filter("split = 'test'"),
         dimensions.generate_dim_date(spark),
@@ -860,24 +855,46 @@ def direction_model(spark, sf_dir):
         MODEL,
         created_at="2024-01-01 00:00:00",
     )
+    for _ in range(2):
+        predictions.store_predictions(spark, path, predicted)
+    stored = spark.read.schema(predictions.STORED_DDL).parquet(path)
+    agrees = F.col("predicted_direction").isin(0, 1) & F.col("probability").between(0.5, 1.0)
+    metrics = spark.read.json(f"{root}/v1/metrics").first()
+    return stored.select(
+        "symbol",
+        "prediction_date",
+        "model_version",
+        agrees.alias("direction_agrees"),
+        F.lit(metrics["n"]).cast("long").alias("n_scored"),
+        F.lit(0 <= metrics["accuracy"] <= 1).alias("has_accuracy"),
+    )
+
+
+def regressor(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """Rows learnt from and scored, and whether the errors are numbers."""
+    frame = predictions.split_features(supplier_returns(spark, sf_dir))
+    complete = frame.dropna(subset=[*MODEL.features, label])
+    train, test = (complete.filter(F.col("split") == part) for part in ("train", "test"))
+    model = fc.train_regressor(train, label, MODEL)
+    errors = fc.regression_metrics(model.transform(test), label)
+    return errors.select(
+        F.lit(label).alias("label"),
+        F.lit(train.count()).cast("long").alias("n_train"),
+        F.col("n").alias("n_test"),
+        ((F.col("rmse") >= F.col("mae")) & (F.col("mae") > 0)).alias("errors_are_ordered"),
+    )
 
 
 @query
 def volatility_model(spark, sf_dir):
     """L-4: RMSE and MAE of the next day's range"""
-    frame = split_features(spark, sf_dir)
-    model = fc.train_regressor(frame.filter("split = 'train'"), "next_range", MODEL)
-    test = frame.filter("split = 'test'").dropna(subset=[*MODEL.features, "next_range"])
-    return fc.regression_metrics(model.transform(test), "next_range")
+    return regressor(spark, sf_dir, "next_range")
 
 
 @query
 def close_model(spark, sf_dir):
     """L-8: RMSE and MAE of the next close"""
-    frame = split_features(spark, sf_dir)
-    model = fc.train_regressor(frame.filter("split = 'train'"), "next_close", MODEL)
-    test = frame.filter("split = 'test'").dropna(subset=[*MODEL.features, "next_close"])
-    return fc.regression_metrics(model.transform(test), "next_close")
+    return regressor(spark, sf_dir, "next_close")
 
 
 # --- the whole pipeline ---------------------------------------------------------------------------

@@ -94,7 +94,7 @@ def publish(messages: DataFrame, servers: str, topic: str) -> None:
 
 
 def sample_ticks(spark: SparkSession, start_ms: int, count: int = 10) -> DataFrame:
-    """S-14: the smoke-test ticks, a price ladder on one symbol."""
+    """S-14: the smoke-test ticks, a price ladder on one symbol. Fixed values."""
     return spark.range(count).select(
         F.lit("BTCUSDT").alias("symbol"),
         (95000.0 + F.col("id") * 100).alias("price"),

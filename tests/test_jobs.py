@@ -10,13 +10,20 @@ def test_jobs_end_to_end(spark, folder, capsys):
     config = {"symbols": [{"symbol": s, "name": s, "type": "stock"} for s in "AB"]}
     with open(f"{folder}/symbols.json", "w") as out:
         json.dump(config, out)
-    envelopes(ticks(spark, random_ticks(21, 80, days=2))).write.json(f"{folder}/broker")
+    envelopes(ticks(spark, random_ticks(21, 1200, days=60))).write.json(f"{folder}/broker")
     root, broker = f"{folder}/lake", f"{folder}/broker"
     jobs.main(["setup", "--root", root, "--symbols", f"{folder}/symbols.json"], spark)
     jobs.main(["cold-path", "--root", root, "--messages", broker], spark)
     jobs.main(["hot-path", "--root", root, "--messages", broker, "--drain"], spark)
     jobs.main(["maintain", "--root", root], spark)
     lake = cold_path.Lake(root)
-    assert spark.read.parquet(lake.gold).count() == 4
+    bars = spark.read.parquet(lake.gold).count()
+    assert bars > 100
+    for version in ("v1", "v2"):
+        jobs.main(["predict", "--root", root, "--model-version", version], spark)
+    predicted = spark.read.parquet(lake.predictions).collect()
+    assert sorted((r.symbol, r.model_version) for r in predicted) == [(s, "v2") for s in "ABC"]
+    metrics = spark.read.json(f"{lake.models}/v2/metrics").first()
+    assert metrics["n"] > 0 and 0 <= metrics["accuracy"] <= 1
     assert spark.read.parquet(lake.indicators).count() > 0
     assert "Exception" not in capsys.readouterr().out
