@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,7 +32,8 @@ from barlake.llm.wavelet import WaveletMatrix
 
 SHARD_TOKENS = 2_000_000
 CHUNK_BYTES = 1_000_000
-CACHE_PIECES = 300_000
+CACHE_PIECES = 1_000_000
+JOINED_PIECES = 2_000
 
 
 class PieceEncoder:
@@ -47,6 +49,35 @@ class PieceEncoder:
         self.levels = max(1, (max(self.tokenizer.get_vocab(with_added_tokens=True).values())).bit_length())
         self.cache: dict[bytes, bytes] = {}
 
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Encode new pieces as one text, with a space between them, and cut the ids by their places.
+
+        Where normalisation changes one of them, or one may hold an added token, they go alone.
+        """
+        text = b" ".join(pieces).decode("utf-8", "replace")
+        if not self._plain(text):
+            if len(pieces) > 16:
+                half = len(pieces) // 2
+                self._learn(pieces[:half])
+                self._learn(pieces[half:])
+                return
+            alone = [p.decode("utf-8", "replace") for p in pieces]
+            encoded = self.tokenizer.encode_batch(alone, add_special_tokens=False)
+            self.cache.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(pieces, encoded, strict=True))
+            return
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        sizes = map(len, pieces if text.isascii() else text.split(" "))
+        lengths = np.fromiter(sizes, np.int64, len(pieces)) + 1
+        starts = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
+        counts = np.bincount(np.searchsorted(np.cumsum(lengths), starts, side="right"), minlength=len(pieces))
+        raw, ends = np.array(found.ids, "<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        self.cache.update(zip(pieces, (raw[lo:hi] for lo, hi in zip([0, *ends], ends, strict=False)), strict=True))
+
+    @staticmethod
+    def _plain(text: str) -> bool:
+        """Normalisation moves no place in it, and it holds no added token."""
+        return "<|" not in text and text.isprintable() and (text.isascii() or unicodedata.is_normalized("NFC", text))
+
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text followed by the end id, and the number of each text's ids."""
         end = b"\n"  # no piece holds white space, so this one stands for the end of a text
@@ -58,9 +89,8 @@ class PieceEncoder:
             self.cache.clear()
         self.cache[end] = np.array([end_id], "<u4").tobytes()
         new = [piece for piece in distinct if piece not in self.cache]
-        if new:
-            encoded = self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
-            self.cache.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, encoded, strict=True))
+        for lo in range(0, len(new), JOINED_PIECES):
+            self._learn(new[lo : lo + JOINED_PIECES])
         values = [self.cache[piece] for piece in distinct]
         lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
         ids = np.frombuffer(b"".join(values), "<u4")
