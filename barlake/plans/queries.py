@@ -439,15 +439,30 @@ def change_events(spark, sf_dir):
     )
 
 
+HISTORY_DDL = (
+    "symbol STRING, date_key INT, volume BIGINT, valid_from BIGINT, valid_to BIGINT, year_key INT"
+)
+
+
 def bar_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three versions of the bars: all, every third changed, every fifth changed."""
-    bars = keyed_bars(spark, sf_dir).drop("month_key")
-    keys = ["symbol", "date_key"]
-    second = bars.filter(F.col("date_key") % 3 == 0).withColumn("volume", F.col("volume") + 1)
-    third = bars.filter(F.col("date_key") % 5 == 0).withColumn("volume", F.col("volume") + 2)
-    history = hist.start_history(bars.filter(F.col("date_key") % 10 != 9), 1)
-    history = hist.apply_version(history, second, keys, 2)
-    return hist.apply_version(history, third, keys, 3)
+    """Three stored versions of the bars: most of them, every third changed, every fifth changed."""
+    path = f"{scratch_path(spark, 'history')}/bars"
+    bars = keyed_bars(spark, sf_dir).select(
+        "symbol", "date_key", "volume", F.floor(F.col("date_key") / 10000).cast("int").alias("year_key")
+    )
+    volume = F.col("volume")
+    for version, rows in enumerate(
+        (
+            bars.filter(F.col("date_key") % 10 != 9),
+            bars.filter(F.col("date_key") % 3 == 0).withColumn("volume", volume + 1),
+            bars.filter(F.col("date_key") % 5 == 0).withColumn("volume", volume + 2),
+        ),
+        start=1,
+    ):
+        hist.store_version(
+            spark, path, rows, ["symbol", "date_key"], version, ["year_key"], HISTORY_DDL
+        )
+    return spark.read.schema(HISTORY_DDL).parquet(path).drop("year_key")
 
 
 @query
