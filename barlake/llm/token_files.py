@@ -207,6 +207,7 @@ def read_shards(manifest: DataFrame, folder: str, key: str = "long") -> DataFram
                     ["key", "start", "n_tokens", "ids"],
                 )
 
-    # Each file is one row here; spread them over the tasks.
-    spread = placed.repartition("file")
+    # Each file is one row here, so AQE would give all of them to one task; a stated number holds.
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = placed.repartition(tasks, "file")
     return spread.mapInArrow(run, f"key {key}, start long, n_tokens long, ids binary")
