@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -117,6 +118,17 @@ def bigrams(texts: list[bytes], words: dict[int, int]) -> tuple[np.ndarray, np.n
     return before << np.uint32(16) | ids, counts
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """Keys compressed, the first ids apart from the second: frequent words take few bits."""
+    halves = np.ascontiguousarray(keys.astype("<u4").view("<u2").reshape(-1, 2).T)
+    return zstandard.ZstdCompressor(level=1).compress(halves.tobytes())
+
+
+def _unpacked(content: bytes) -> np.ndarray:
+    halves = np.frombuffer(zstandard.ZstdDecompressor().decompress(content), "<u2").reshape(2, -1)
+    return np.ascontiguousarray(halves.T).view("<u4").ravel()
+
+
 def _shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return (mixed(keys.astype(np.uint64)) % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.uint32)
 
@@ -169,7 +181,7 @@ def _counts(rows: DataFrame, words, shards: int, scratch: Scratch) -> DataFrame:
                 out = []
                 for s in np.flatnonzero(np.diff(bounds)).tolist():
                     at = order[bounds[s] : bounds[s + 1]]
-                    out.append((s, keys[at].tobytes(), counts[at].astype(np.uint32).tobytes()))
+                    out.append((s, _packed(keys[at]), counts[at].astype(np.uint32).tobytes()))
                 yield _rows(out, ["shard", "keys", "counts"], [pa.int32(), pa.binary(), pa.binary()])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,12 +190,12 @@ def _counts(rows: DataFrame, words, shards: int, scratch: Scratch) -> DataFrame:
             waiting: list[tuple[np.ndarray, np.ndarray]] = []
             for part in parts:
                 for k, c in zip(part["keys"].to_pylist(), part["counts"].to_pylist(), strict=True):
-                    waiting.append((np.frombuffer(k, np.uint32), np.frombuffer(c, np.uint32).astype(np.int64)))
+                    waiting.append((_unpacked(k), np.frombuffer(c, np.uint32).astype(np.int64)))
                 if sum(len(k) for k, _ in waiting) > 2_000_000:
                     keys, counts = _summed([(keys, counts), *waiting])
                     waiting = []
             keys, counts = _summed([(keys, counts), *waiting])
-            row = (shard, keys.tobytes(), np.minimum(counts, 2**32 - 1).astype(np.uint32).tobytes())
+            row = (shard, _packed(keys), np.minimum(counts, 2**32 - 1).astype(np.uint32).tobytes())
             yield _rows([row], ["shard", "keys", "counts"], [pa.int32(), pa.binary(), pa.binary()])
 
     schema = "shard int, keys binary, counts binary"
@@ -241,7 +253,7 @@ def _statistics(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, c in zip(batch["keys"].to_pylist(), batch["counts"].to_pylist(), strict=True):
-                keys, n = np.frombuffer(k, np.uint32), np.frombuffer(c, np.uint32).astype(np.int64)
+                keys, n = _unpacked(k), np.frombuffer(c, np.uint32).astype(np.int64)
                 before, word = keys >> np.uint32(16), keys & np.uint32(0xFFFF)
                 size = VOCABULARY
                 sums = np.zeros((6, size), np.int64)
@@ -297,7 +309,7 @@ def _scores(rows: DataFrame, model, counts: DataFrame, shards: int) -> DataFrame
                     first = np.flatnonzero(np.concatenate(([True], mine[1:] != mine[:-1])))
                     lengths = np.diff(np.concatenate((first, [len(at)]))).astype(np.uint32)
                     docs = ids[lo:hi][mine[first]].astype(np.int64)
-                    out.append((s, keys[at].tobytes(), lengths.tobytes(), docs.tobytes()))
+                    out.append((s, _packed(keys[at]), lengths.tobytes(), docs.tobytes()))
                 yield _rows(out, ["shard", "keys", "counts", "docs"], [pa.int32(), pa.binary(), pa.binary(), pa.binary()])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +317,7 @@ def _scores(rows: DataFrame, model, counts: DataFrame, shards: int) -> DataFrame
             known, times = np.zeros(0, np.uint32), np.zeros(0, np.int64)
             for part in parts:
                 for k, c, d in zip(*(part[n].to_pylist() for n in ("keys", "counts", "docs")), strict=True):
-                    keys, lengths = np.frombuffer(k, np.uint32), np.frombuffer(c, np.uint32).astype(np.int64)
+                    keys, lengths = _unpacked(k), np.frombuffer(c, np.uint32).astype(np.int64)
                     if d is None:
                         known, times = keys, lengths
                         continue
