@@ -36,12 +36,14 @@ UNIT = 1024
 SHARE = 0.75
 STEPS = 4
 LEAST = 50
-# A standard deviation counts as this at least, so that a statistic most texts have at zero
-# (symbols, repeated lines) neither makes the covariance singular nor rejects small deviations.
-FLOORS = {"word_length": 0.12, "symbols": 0.05, "dup_lines": 0.12, "repeats": 0.12}
+# A standard deviation, given the statistics before, counts as this at least, so that a statistic most
+# texts have at zero (symbols, repeated lines) does not make the covariance singular. The values are the
+# statistics' resolution: by itself, one repeated line or one repeated three-word window in a text of 50 words,
+# one symbol in a hundred characters or the sampling error of the mean of 50 words stays within the cutoff.
+FLOORS = {"word_length": 0.054, "symbols": 0.02, "dup_lines": 0.03, "repeats": 0.072}
 FEATURES = list(FLOORS)
-# Squared distance that a text may have: the 0.9999999 quantile of chi-square with four degrees.
-CUTOFF = 39.0
+# Squared distance that a text may have: the 0.9999 quantile of chi-square with four degrees.
+CUTOFF = 23.5
 # Variance of normal data over that of its central 75 % (four dimensions).
 CONSISTENCY = 1.49
 
@@ -194,15 +196,15 @@ def _estimate(subset: DataFrame, inflate: float) -> DataFrame:
     df = sums.withColumns({f"m_{f}": F.col(f"s_{f}") / F.col("n") for f in FEATURES})
     covariances = {}
     for a, b in pairs:
-        value = inflate * (F.col(f"p_{a}_{b}") / F.col("n") - F.col(f"m_{a}") * F.col(f"m_{b}"))
-        covariances[f"c_{a}_{b}"] = value + ((FLOORS[a] * UNIT) ** 2 if a == b else 0.0)
+        covariances[f"c_{a}_{b}"] = inflate * (F.col(f"p_{a}_{b}") / F.col("n") - F.col(f"m_{a}") * F.col(f"m_{b}"))
     df = df.withColumns(covariances)
     for j, b in enumerate(FEATURES):
         for a in FEATURES[j:]:
             rest = F.col(f"c_{a}_{b}")
             for k in FEATURES[:j]:
                 rest = rest - F.col(f"l_{a}_{k}") * F.col(f"l_{b}_{k}")
-            df = df.withColumn(f"l_{a}_{b}", F.sqrt(rest) if a == b else rest / F.col(f"l_{b}_{b}"))
+            pivot = F.sqrt(F.greatest(rest, F.lit((FLOORS[a] * UNIT) ** 2)))
+            df = df.withColumn(f"l_{a}_{b}", pivot if a == b else rest / F.col(f"l_{b}_{b}"))
     return df.select(*KEYS, "n", *(f"m_{f}" for f in FEATURES), *(f"l_{a}_{b}" for a, b in pairs))
 
 

@@ -82,6 +82,47 @@ def test_filter_keeps_columns_rows_and_repeats(spark):
     assert rules.judge(docs.limit(0)).collect() == []
 
 
+def planted(kind, words, rng):
+    """A text of 300 words in lines of ten that is off in one statistic alone."""
+    w = rng.choices(words, k=300)
+    if kind == "repeats":
+        # Half a hundred words once more, at other places of their lines.
+        w[155:205] = w[2:52]
+    if kind == "symbols":
+        w = [x + "#" if i % 6 == 0 else x for i, x in enumerate(w)]
+    if kind == "word_length":
+        w = [x + x[: len(x) * 3 // 4] for x in w]
+    lines = [" ".join(w[i : i + 10]) for i in range(0, 300, 10)]
+    if kind == "dup_lines":
+        # Lines of two words: too short for a repeated window of their own.
+        lines = [line for i, line in enumerate(lines) if i % 3] + [
+            x for i in range(20) for x in (f"{w[5]} {w[6]}", " ".join(rng.choices(words, k=5)))
+        ]
+    return "\n".join(lines)
+
+
+def test_an_outlier_of_each_statistic_alone_goes(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(800)]
+    kinds = rules.FEATURES
+    rows = [(i, planted(None, words, rng), "en", "s") for i in range(200)]
+    rows += [(200 + i, planted(k, words, rng), "en", "s") for i, k in enumerate(kinds)]
+    got = {r["key"]: r for r in rules.judge(table(spark, rows)).collect()}
+    assert not any(got[200 + i]["base_failed"] for i in range(len(kinds)))
+    assert {k for k, r in got.items() if not r["kept"]} == {200 + i for i in range(len(kinds))}
+
+
+def test_equal_statistics_leave_the_covariance_regular(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(800)]
+    rows = []
+    for i in range(120):
+        # Repeated lines and repeated windows grow together.
+        lines = [" ".join(rng.choices(words, k=10)) for _ in range(30)]
+        rows.append((i, "\n".join(lines + lines[: 4 + i % 6]), "en", "s"))
+    assert all(r["kept"] for r in rules.judge(table(spark, rows)).collect())
+
+
 def test_no_python_in_the_plan(spark):
     plan = rules.judge(table(spark, corpus()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "SortAggregate" not in plan
