@@ -1,14 +1,14 @@
 """License scans: ordered signature rules behind a keyword prefilter (operator 2).
 
-One pass of a keyword automaton over a text finds the places that can belong to a license
-statement at all; most texts have none and no rule looks at them. Around these places, each rule
-whose own keyword is there runs its regular expression. Of overlapping detections the one of higher
+A text without any of the words that every match holds one of is left alone; most texts go this
+way. In the others, one pattern per form finds the places where any license name completes the form, and
+only there each rule's own regular expression runs, so that the detections are those of every rule run
+over the whole text. Of overlapping detections the one of higher
 priority wins: a detection inside the interval of a kept one is suppressed (so "apache license" says
 nothing more inside "licensed under the apache license, version 2.0").
 
-Rules are license names times forms of statement, in the order of their priorities; the widest
-match of a form is bounded by ``REACH`` characters, so windows of that size around the keywords hold
-every match. Apart from the rules, the base phrases are found as consecutive words.
+Rules are license names times forms of statement, in the order of their priorities.
+Apart from the rules, the base phrases are found as consecutive words.
 
 A null text is empty: no words, no detections, score 0. Rows are judged one by one.
 """
@@ -16,11 +16,10 @@ A null text is empty: no words, no detections, score 0. Rows are judged one by o
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
-import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -33,81 +32,75 @@ BASE_PHRASES = {
     "general public license": "gpl",
 }
 
-# Rules look only near these words: a statement without any of them is no detection.
+# Every match of a rule holds one of these: a text without any of them has no detection.
 GATES = [
-    "licen",
-    "spdx",
-    "copyleft",
-    "creativecommons",
-    "public domain",
-    "all rights reserved",
-    "proprietary",
-    "commercial use",
-    "permission is hereby",
-    "redistribution and use",
+    *("licen", "released", "distributed", "published", "available", "provided", "covered", "governed"),
+    *("apache.org", "gnu.org", "creativecommons", "permission", "redistribution", "domain"),
+    *("copyleft", "rights", "proprietary", "commercial"),
 ]
 
+# No match that ends in the word license is longer.
 REACH = 300
 
-# Label, keyword, and how the license is called (in lower case; _ is white space).
+# Label, and how the license is called (in lower case; _ is white space).
 NAMES = [
-    ("mit", "mit", r"mit|expat|mit/x11"),
-    ("mit-0", "mit", r"mit[ -]0|mit no attribution"),
-    ("apache-2.0", "apache", r"apache(?:_software)?(?:_license)?,?[ -]?(?:_?version)?_?(?:v\.?)?2(?:\.0)?"),
-    ("apache-1.1", "apache", r"apache(?:_software)?(?:_license)?,?[ -]?(?:_?version)?_?(?:v\.?)?1\.1"),
-    ("apache", "apache", r"apache(?:_software)?"),
-    ("gpl-3.0", "general public", r"(?:gnu_)?general_public_license(?:_\(gpl\))?,?_?(?:as_published_by_the_free_software_foundation)?[,;]?_?(?:either_)?(?:version|v\.?)_?3(?:\.0)?"),
-    ("gpl-2.0", "general public", r"(?:gnu_)?general_public_license(?:_\(gpl\))?,?_?(?:as_published_by_the_free_software_foundation)?[,;]?_?(?:either_)?(?:version|v\.?)_?2(?:\.0)?"),
-    ("gpl-1.0", "general public", r"(?:gnu_)?general_public_license,?_?(?:version|v\.?)_?1(?:\.0)?"),
-    ("gpl-3.0", "gpl", r"(?:gnu_)?gpl[ -]?(?:version_)?v?\.?3(?:\.0)?(?:-only|-or-later|\+)?"),
-    ("gpl-2.0", "gpl", r"(?:gnu_)?gpl[ -]?(?:version_)?v?\.?2(?:\.0)?(?:-only|-or-later|\+)?"),
-    ("gpl", "gpl", r"(?:gnu_)?gpl"),
-    ("gpl", "general public", r"(?:gnu_)?general_public"),
-    ("lgpl-3.0", "lesser general", r"(?:gnu_)?lesser_general_public_license,?_?(?:version|v\.?)_?3(?:\.0)?"),
-    ("lgpl-2.1", "lesser general", r"(?:gnu_)?lesser_general_public_license,?_?(?:version|v\.?)_?2\.1"),
-    ("lgpl-3.0", "lgpl", r"(?:gnu_)?lgpl[ -]?v?3(?:\.0)?(?:-only|-or-later|\+)?"),
-    ("lgpl-2.1", "lgpl", r"(?:gnu_)?lgpl[ -]?v?2\.1(?:-only|-or-later|\+)?"),
-    ("lgpl", "lgpl", r"(?:gnu_)?lgpl"),
-    ("lgpl", "lesser general", r"(?:gnu_)?lesser_general_public"),
-    ("agpl-3.0", "affero", r"(?:gnu_)?affero_general_public_license,?_?(?:version|v\.?)?_?3(?:\.0)?"),
-    ("agpl-3.0", "agpl", r"(?:gnu_)?agpl[ -]?v?3(?:\.0)?(?:-only|-or-later|\+)?"),
-    ("agpl", "affero", r"(?:gnu_)?affero_general_public"),
-    ("gfdl-1.3", "documentation", r"(?:gnu_)?free_documentation_license,?_?version_1\.3"),
-    ("gfdl", "documentation", r"(?:gnu_)?free_documentation"),
-    ("bsd-2-clause", "bsd", r"(?:simplified_bsd|freebsd|bsd[ -]2[ -]clause|2[ -]clause_bsd|two[ -]clause_bsd)"),
-    ("bsd-3-clause", "bsd", r"(?:new_bsd|modified_bsd|revised_bsd|bsd[ -]3[ -]clause|3[ -]clause_bsd|three[ -]clause_bsd)"),
-    ("bsd-4-clause", "bsd", r"(?:original_bsd|bsd[ -]4[ -]clause|4[ -]clause_bsd|four[ -]clause_bsd)"),
-    ("0bsd", "bsd", r"(?:0bsd|bsd[ -]zero[ -]clause|zero[ -]clause_bsd)"),
-    ("bsd", "bsd", r"bsd"),
-    ("isc", "isc", r"isc"),
-    ("mpl-2.0", "mozilla", r"mozilla_public_license,?_?(?:version|v\.?)?_?2(?:\.0)?"),
-    ("mpl-1.1", "mozilla", r"mozilla_public_license,?_?(?:version|v\.?)?_?1\.1"),
-    ("mpl-2.0", "mpl", r"mpl[ -]?v?2(?:\.0)?"),
-    ("mpl", "mozilla", r"mozilla_public"),
-    ("epl-2.0", "eclipse", r"eclipse_public_license,?[ -]?_?(?:version|v\.?)?_?2(?:\.0)?"),
-    ("epl-1.0", "eclipse", r"eclipse_public_license,?[ -]?_?(?:version|v\.?)?_?1(?:\.0)?"),
-    ("epl", "eclipse", r"eclipse_public"),
-    ("cddl-1.0", "development and distribution", r"common_development_and_distribution"),
-    ("cddl-1.0", "cddl", r"cddl(?:[ -]?v?1\.0)?"),
-    ("eupl-1.2", "european union", r"european_union_public_licen[cs]e,?_?(?:version|v\.?)?_?1\.2"),
-    ("eupl", "eupl", r"eupl(?:[ -]?v?1\.[012])?"),
-    ("unlicense", "unlicense", r"(?:the_)?unlicense"),
-    ("wtfpl", "wtfpl", r"wtfpl"),
-    ("zlib", "zlib", r"zlib(?:/libpng)?"),
-    ("bsl-1.0", "boost", r"boost_software"),
-    ("busl-1.1", "business source", r"business_source_license(?:_1\.1)?"),
-    ("sspl-1.0", "server side public", r"server_side_public"),
-    ("elastic-2.0", "elastic", r"elastic_license(?:_2\.0|_v2)?"),
-    ("artistic-2.0", "artistic", r"artistic_license,?_?(?:version_)?2\.0"),
-    ("artistic", "artistic", r"artistic"),
-    ("python-2.0", "python software", r"python_software_foundation"),
-    ("ofl-1.1", "open font", r"(?:sil_)?open_font_license(?:,?_?version_1\.1)?"),
-    ("ms-pl", "microsoft public", r"microsoft_public"),
-    ("ms-rl", "microsoft reciprocal", r"microsoft_reciprocal"),
-    ("odbl-1.0", "open database", r"open_database"),
-    ("openrail", "rail", r"(?:creativeml_|bigscience_)?open_?rail(?:-m|\+\+-m)?"),
-    ("llama", "llama", r"llama(?:_\d(?:\.\d)?)?_community"),
-    ("cc0-1.0", "cc0", r"cc0(?:[ -]?1\.0)?(?:_universal)?"),
+    ("mit", r"mit|expat|mit/x11"),
+    ("mit-0", r"mit[ -]0|mit no attribution"),
+    ("apache-2.0", r"apache(?:_software)?(?:_license)?,?[ -]?(?:_?version)?_?(?:v\.?)?2(?:\.0)?"),
+    ("apache-1.1", r"apache(?:_software)?(?:_license)?,?[ -]?(?:_?version)?_?(?:v\.?)?1\.1"),
+    ("apache", r"apache(?:_software)?"),
+    ("gpl-3.0", r"(?:gnu_)?general_public_license(?:_\(gpl\))?,?_?(?:as_published_by_the_free_software_foundation)?[,;]?_?(?:either_)?(?:version|v\.?)_?3(?:\.0)?"),
+    ("gpl-2.0", r"(?:gnu_)?general_public_license(?:_\(gpl\))?,?_?(?:as_published_by_the_free_software_foundation)?[,;]?_?(?:either_)?(?:version|v\.?)_?2(?:\.0)?"),
+    ("gpl-1.0", r"(?:gnu_)?general_public_license,?_?(?:version|v\.?)_?1(?:\.0)?"),
+    ("gpl-3.0", r"(?:gnu_)?gpl[ -]?(?:version_)?v?\.?3(?:\.0)?(?:-only|-or-later|\+)?"),
+    ("gpl-2.0", r"(?:gnu_)?gpl[ -]?(?:version_)?v?\.?2(?:\.0)?(?:-only|-or-later|\+)?"),
+    ("gpl", r"(?:gnu_)?gpl"),
+    ("gpl", r"(?:gnu_)?general_public"),
+    ("lgpl-3.0", r"(?:gnu_)?lesser_general_public_license,?_?(?:version|v\.?)_?3(?:\.0)?"),
+    ("lgpl-2.1", r"(?:gnu_)?lesser_general_public_license,?_?(?:version|v\.?)_?2\.1"),
+    ("lgpl-3.0", r"(?:gnu_)?lgpl[ -]?v?3(?:\.0)?(?:-only|-or-later|\+)?"),
+    ("lgpl-2.1", r"(?:gnu_)?lgpl[ -]?v?2\.1(?:-only|-or-later|\+)?"),
+    ("lgpl", r"(?:gnu_)?lgpl"),
+    ("lgpl", r"(?:gnu_)?lesser_general_public"),
+    ("agpl-3.0", r"(?:gnu_)?affero_general_public_license,?_?(?:version|v\.?)?_?3(?:\.0)?"),
+    ("agpl-3.0", r"(?:gnu_)?agpl[ -]?v?3(?:\.0)?(?:-only|-or-later|\+)?"),
+    ("agpl", r"(?:gnu_)?affero_general_public"),
+    ("gfdl-1.3", r"(?:gnu_)?free_documentation_license,?_?version_1\.3"),
+    ("gfdl", r"(?:gnu_)?free_documentation"),
+    ("bsd-2-clause", r"(?:simplified_bsd|freebsd|bsd[ -]2[ -]clause|2[ -]clause_bsd|two[ -]clause_bsd)"),
+    ("bsd-3-clause", r"(?:new_bsd|modified_bsd|revised_bsd|bsd[ -]3[ -]clause|3[ -]clause_bsd|three[ -]clause_bsd)"),
+    ("bsd-4-clause", r"(?:original_bsd|bsd[ -]4[ -]clause|4[ -]clause_bsd|four[ -]clause_bsd)"),
+    ("0bsd", r"(?:0bsd|bsd[ -]zero[ -]clause|zero[ -]clause_bsd)"),
+    ("bsd", r"bsd"),
+    ("isc", r"isc"),
+    ("mpl-2.0", r"mozilla_public_license,?_?(?:version|v\.?)?_?2(?:\.0)?"),
+    ("mpl-1.1", r"mozilla_public_license,?_?(?:version|v\.?)?_?1\.1"),
+    ("mpl-2.0", r"mpl[ -]?v?2(?:\.0)?"),
+    ("mpl", r"mozilla_public"),
+    ("epl-2.0", r"eclipse_public_license,?[ -]?_?(?:version|v\.?)?_?2(?:\.0)?"),
+    ("epl-1.0", r"eclipse_public_license,?[ -]?_?(?:version|v\.?)?_?1(?:\.0)?"),
+    ("epl", r"eclipse_public"),
+    ("cddl-1.0", r"common_development_and_distribution"),
+    ("cddl-1.0", r"cddl(?:[ -]?v?1\.0)?"),
+    ("eupl-1.2", r"european_union_public_licen[cs]e,?_?(?:version|v\.?)?_?1\.2"),
+    ("eupl", r"eupl(?:[ -]?v?1\.[012])?"),
+    ("unlicense", r"(?:the_)?unlicense"),
+    ("wtfpl", r"wtfpl"),
+    ("zlib", r"zlib(?:/libpng)?"),
+    ("bsl-1.0", r"boost_software"),
+    ("busl-1.1", r"business_source_license(?:_1\.1)?"),
+    ("sspl-1.0", r"server_side_public"),
+    ("elastic-2.0", r"elastic_license(?:_2\.0|_v2)?"),
+    ("artistic-2.0", r"artistic_license,?_?(?:version_)?2\.0"),
+    ("artistic", r"artistic"),
+    ("python-2.0", r"python_software_foundation"),
+    ("ofl-1.1", r"(?:sil_)?open_font_license(?:,?_?version_1\.1)?"),
+    ("ms-pl", r"microsoft_public"),
+    ("ms-rl", r"microsoft_reciprocal"),
+    ("odbl-1.0", r"open_database"),
+    ("openrail", r"(?:creativeml_|bigscience_)?open_?rail(?:-m|\+\+-m)?"),
+    ("llama", r"llama(?:_\d(?:\.\d)?)?_community"),
+    ("cc0-1.0", r"cc0(?:[ -]?1\.0)?(?:_universal)?"),
 ]
 
 # Creative Commons: variant, its name in full, and the versions, each a rule of its own.
@@ -129,8 +122,11 @@ FORMS = [
     (70, r"(?:under|subject_to|terms_of)_(?:the_)?(?:{name})_licen[cs]e\b"),
     (60, r"\b(?:{name})_licen[cs]e\b"),
 ]
+# Forms whose matches end in the word license, and this word.
+ENDS_IN_LICENSE = {70, 60}
+LICENSE = re.compile(r"licen[cs]e\b")
 
-# Statements that name no license, and addresses.
+# Statements that name no license, and addresses: priority, label, a word of every match, and the match.
 SINGLE = [
     (95, "mit", "opensource.org", r"opensource\.org/licen[cs]es?/mit\b"),
     (95, "apache-2.0", "apache.org", r"apache\.org/licenses/license-2\.0"),
@@ -138,11 +134,11 @@ SINGLE = [
     (95, "gpl-2.0", "gnu.org", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"),
     (95, "gpl", "gnu.org", r"gnu\.org/licenses/gpl\b"),
     (95, "cc0-1.0", "publicdomain", r"creativecommons\.org/publicdomain/zero/1\.0"),
-    (85, "mit", "permission is hereby", r"permission_is_hereby_granted,_free_of_charge,_to_any_person_obtaining_a_copy"),
-    (85, "bsd", "redistribution and use", r"redistribution_and_use_in_source_and_binary_forms"),
-    (75, "public-domain", "public domain", r"(?:(?:placed|released|dedicated)_(?:in)?(?:to_)?|in_)(?:the_)?public_domain"),
+    (85, "mit", "permission", r"permission_is_hereby_granted,_free_of_charge,_to_any_person_obtaining_a_copy"),
+    (85, "bsd", "redistribution", r"redistribution_and_use_in_source_and_binary_forms"),
+    (75, "public-domain", "domain", r"(?:(?:placed|released|dedicated)_(?:in)?(?:to_)?|in_)(?:the_)?public_domain"),
     (65, "copyleft", "copyleft", r"\bcopyleft\b"),
-    (55, "all-rights-reserved", "all rights reserved", r"\ball_rights_reserved\b"),
+    (55, "all-rights-reserved", "rights", r"\ball_rights_reserved\b"),
     (50, "proprietary", "proprietary", r"\bproprietary_licen[cs]e\b|\bproprietary_and_confidential\b"),
     (45, "non-commercial", "commercial", r"\bnon-?_?commercial_use_only\b|\bfor_non-?_?commercial_use\b"),
     (40, "no-license", "license", r"\b(?:no|without_(?:a|any))_license\b"),
@@ -153,50 +149,59 @@ SINGLE = [
 class Rule:
     number: int
     label: str
-    keyword: str
+    keyword: str | None
     priority: int
     pattern: re.Pattern
 
 
+def _pattern(source: str) -> re.Pattern:
+    return re.compile(source.replace("_", r"\s{1,4}").replace(r"\s{1,4}?", r"\s{0,4}"))
+
+
 @lru_cache(maxsize=1)
-def rules() -> list[Rule]:
-    """All rules, highest priority first, names in their order within one."""
+def _names() -> list[tuple[str, str]]:
     names = [*NAMES]
     for variant, full in CC_VARIANTS:
         for version in CC_VERSIONS:
             short = rf"cc[ -]{variant.replace('-', '[ -]')}[ -]{re.escape(version)}"
             long = rf"creative_commons_{full}_{re.escape(version)}(?:_international|_unported)?"
-            names.append((f"cc-{variant}-{version}", "cc", short))
-            names.append((f"cc-{variant}-{version}", "creative commons", long))
-    made = [
-        (priority, label, keyword, form.format(name=name)) for priority, form in FORMS for label, keyword, name in names
-    ]
+            names.append((f"cc-{variant}-{version}", short))
+            names.append((f"cc-{variant}-{version}", long))
+    return names
+
+
+@lru_cache(maxsize=1)
+def rules() -> list[Rule]:
+    """All rules, highest priority first, names in their order within one; those of the forms have no keyword."""
+    made = [(priority, label, None, form.format(name=name)) for priority, form in FORMS for label, name in _names()]
     made += SINGLE
     for variant, _ in CC_VARIANTS:
         for version in CC_VERSIONS:
             address = rf"creativecommons\.org/licenses/{variant}/{re.escape(version)}"
             made.append((95, f"cc-{variant}-{version}", "creativecommons", address))
     made.sort(key=lambda r: -r[0])
-    return [
-        Rule(n, label, keyword, priority, re.compile(pattern.replace("_", r"\s{1,4}").replace(r"\s{1,4}?", r"\s{0,4}")))
-        for n, (priority, label, keyword, pattern) in enumerate(made)
-    ]
+    return [Rule(n, label, keyword, priority, _pattern(source)) for n, (priority, label, keyword, source) in enumerate(made)]
 
 
 @lru_cache(maxsize=1)
-def _gate() -> ahocorasick.Automaton:
-    gate = ahocorasick.Automaton()
-    for word in GATES:
-        gate.add_word(word, len(word))
-    gate.make_automaton()
-    return gate
+def _forms() -> list[tuple[re.Pattern, list[Rule], bool]]:
+    """Per form a pattern of the places where one of its rules matches, its rules, and whether matches end in license."""
+    every = "|".join(name for _, name in _names())
+    return [
+        (
+            _pattern(f"(?={form.format(name=every)})"),
+            [r for r in rules() if r.priority == priority and r.keyword is None],
+            priority in ENDS_IN_LICENSE,
+        )
+        for priority, form in FORMS
+    ]
 
 
-def _windows(text: str) -> list[tuple[int, int]]:
-    """Where rules look: around the keywords of the prefilter, overlapping windows joined."""
+def _before_license(text: str) -> list[tuple[int, int]]:
+    """Where matches that end in the word license lie, overlapping ranges joined."""
     out: list[list[int]] = []
-    for end, _ in _gate().iter(text):
-        lo, hi = max(0, end - 2 * REACH), min(len(text), end + 2 * REACH)
+    for match in LICENSE.finditer(text):
+        lo, hi = max(0, match.start() - REACH), match.end()
         if out and lo <= out[-1][1]:
             out[-1][1] = hi
         else:
@@ -204,18 +209,32 @@ def _windows(text: str) -> list[tuple[int, int]]:
     return [(lo, hi) for lo, hi in out]
 
 
+def _matches(text: str) -> Iterator[tuple[Rule, int, int]]:
+    """What ``finditer`` of every rule finds in the whole text."""
+    for rule in rules():
+        if rule.keyword is not None and rule.keyword in text:
+            yield from ((rule, m.start(), m.end()) for m in rule.pattern.finditer(text))
+    before = _before_license(text)
+    for places, named, ends in _forms():
+        ranges = before if ends else [(0, len(text))]
+        starts = [m.start() for lo, hi in ranges for m in places.finditer(text, lo, hi)]
+        if not starts:
+            continue
+        for rule in named:
+            done = 0
+            for start in starts:
+                if start >= done and (match := rule.pattern.match(text, start)):
+                    done = match.end()
+                    yield rule, start, done
+
+
 def detect(text: str) -> list[tuple[str, int, int, int, int]]:
     """Kept detections of a text in lower case: label, rule, start, end, priority, by place."""
-    found = []
-    for lo, hi in _windows(text):
-        window = text[lo:hi]
-        present = {k: k in window for k in {r.keyword for r in rules()}}
-        for rule in rules():
-            if present[rule.keyword]:
-                found += [
-                    (-rule.priority, m.start() - m.end(), lo + m.start(), rule.number, lo + m.end(), rule)
-                    for m in rule.pattern.finditer(window)
-                ]
+    return kept_detections(_matches(text))
+
+
+def kept_detections(matches: Iterable[tuple[Rule, int, int]]) -> list[tuple[str, int, int, int, int]]:
+    found = [(-rule.priority, start - end, start, rule.number, end, rule) for rule, start, end in matches]
     kept: list[tuple[str, int, int, int, int]] = []
     for _, _, start, _, end, rule in sorted(found, key=lambda f: f[:5]):
         if not any(s <= start and end <= e for _, _, s, e, _ in kept):

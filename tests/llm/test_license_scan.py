@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -43,6 +44,46 @@ def test_detections(text, wanted):
     assert labels(text) == wanted
 
 
+def every_regex(text):
+    return scan.kept_detections((r, m.start(), m.end()) for r in scan.rules() for m in r.pattern.finditer(text))
+
+
+@pytest.mark.parametrize(
+    ("text", "wanted"),
+    [
+        ("available under Creative Commons\nAttribution 4.0 International", ["cc-by-4.0"]),
+        ("released under CC0 1.0", ["cc0-1.0"]),
+        ("distributed under the GNU GPL v3", ["gpl-3.0"]),
+        ("published under CC BY-SA 4.0", ["cc-by-sa-4.0"]),
+        ("available to anyone under the terms of the Mozilla  Public", ["mpl"]),
+        ("covered by Expat", ["mit"]),
+        ("licensed under the GNU General\n Public License, version 3", ["gpl-3.0"]),
+    ],
+)
+def test_statements_without_the_word_license(spark, text, wanted):
+    assert labels(text) == wanted
+    docs = spark.createDataFrame([(1, "word " * 500 + text)], "doc_id long, text string")
+    assert [d["label"] for d in scan.scan(docs).first()["detections"]] == wanted
+
+
+def test_equals_running_every_regex_over_the_whole_text():
+    rng = random.Random(4)
+    parts = (
+        "licensed released available provided under by through to anyone the terms of subject license licence licensing "
+        "is : = type name ' spdx-license-identifier: mit expat mit/x11 apache software 2.0 , version v 3 gnu gpl general "
+        "public lgpl-3.0 lesser affero bsd 2-clause new zero mozilla mpl 2 creative commons attribution non-commercial "
+        "share alike 4.0 international cc by-nc by-sa 4.0 cc0 1.0 unlicense no without any domain in dedicated copyleft "
+        "all rights reserved proprietary non-commercial use only creativecommons.org/licenses/by/4.0 word other"
+    ).split()
+    found = 0
+    for _ in range(1500):
+        text = "".join(p + rng.choice(["", " ", " ", " ", "\n", "  \n "]) for p in rng.choices(parts, k=60))
+        assert scan.detect(text) == every_regex(text)
+        assert not scan.detect(text) or any(g in text for g in scan.GATES)
+        found += len(scan.detect(text))
+    assert found > 1500
+
+
 def test_contained_detections_are_suppressed_and_places_are_right():
     pad = "x" * 1000 + " "
     found = scan.detect(pad + "licensed under the apache license, version 2.0, or the mit license " + pad)
