@@ -12,8 +12,10 @@ memory holds counts, not documents. Partial sums come back per document and are
 as long as the vocabulary pass through the driver.
 
 A fifth of the trusted documents is held out from training. A document is kept if its perplexity is at most the
-``QUANTILE`` of the held-out documents of its language (of all languages where there are fewer than
-``LEAST`` of them). All counts cover all documents.
+``QUANTILE`` of the held-out documents of its language, however many there are. The largest of n documents stands at
+n / (n + 1) only; where that is below the quantile, the distance between the two among the held-out documents of all
+languages is added. A language without held-out documents has no threshold (infinity): its documents are kept.
+All counts cover all documents.
 
 Rows without words have no perplexity and are not kept; rows without key have neither. Rows that repeat a key are
 scored as one document. A null language is a language of its own. Without trusted text nothing is rejected.
@@ -39,7 +41,6 @@ SHAPES = 128
 START = SHAPES
 FIRST_WORD = SHAPES + 1
 QUANTILE = 0.995
-LEAST = 100
 HELD_OUT = 5
 # Text of one request block, text that one shard answers for, and labels that may be broadcast.
 BLOCK_BYTES = 4_000_000
@@ -344,7 +345,7 @@ def _scores(rows: DataFrame, model, counts: DataFrame, shards: int) -> DataFrame
     return answers.groupBy("id").agg(F.sum("sum").alias("log_probability"), F.sum("n").alias("n_words"))
 
 
-def thresholds(scored: DataFrame, quantile: float = QUANTILE, least: int = LEAST) -> DataFrame:
+def thresholds(scored: DataFrame, quantile: float = QUANTILE, least: int = 1) -> DataFrame:
     """Per language the perplexity (its log, in steps of 1/256) that the quantile of held-out documents reach.
 
     ``lang`` null with ``every`` true is the row for all languages.
@@ -356,10 +357,19 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE, least: int = LEAST
     counts = both.groupBy("every", "language", "step").agg(F.count("*").alias("n"))
     group = Window.partitionBy("every", "language")
     ranked = counts.withColumns({"upto": F.sum("n").over(group.orderBy("step")), "all": F.sum("n").over(group)})
-    ranked = ranked.filter(F.col("upto") >= quantile * F.col("all"))
-    return ranked.groupBy("every", "language").agg(
-        (F.min("step") / 256).alias("threshold"), F.max("all").alias("n_held_out")
-    ).filter(F.col("every") | (F.col("n_held_out") >= least))
+    reached = ranked.filter(F.col("upto") >= quantile * F.col("all"))
+    limits = reached.groupBy("every", "language").agg(F.min("step").alias("step"), F.max("all").alias("n_held_out"))
+    limits = limits.filter(F.col("every") | (F.col("n_held_out") >= least))
+    # The share that the largest of a language's documents stands for, if that is below the quantile.
+    stands = F.col("n_held_out") / (F.col("n_held_out") + 1)
+    few = limits.filter(~F.col("every") & (stands < quantile)).select("language", stands.alias("stands"))
+    tail = ranked.filter("every").select(F.col("step").alias("low"), "upto", "all")
+    tail = few.join(tail, F.col("upto") >= F.col("stands") * F.col("all")).groupBy("language").agg(F.min("low").alias("low"))
+    whole = limits.filter("every").agg(F.max("step")).scalar()
+    gap = F.when(F.col("every"), 0).otherwise(F.coalesce(whole - F.col("low"), F.lit(0)))
+    return limits.join(tail, "language", "left").select(
+        "every", "language", ((F.col("step") + gap) / 256).alias("threshold"), "n_held_out"
+    )
 
 
 def classify(
@@ -391,16 +401,15 @@ def classify(
     scored = scratch.result(scored, "perplexities")
     limits = thresholds(scored, quantile)
     by_language = limits.filter("not every").select("language", F.col("threshold").alias("own_threshold"))
-    overall = limits.filter("every").agg(F.max("threshold")).scalar()
     joined = scored.join(by_language, "language", "left")
-    limit = F.coalesce(F.col("own_threshold"), overall)
+    limit = F.coalesce("own_threshold", F.lit(float("inf")))
     result = joined.select(
         "id",
         "lang",
         F.coalesce("n_words", F.lit(0)).alias("n_words"),
         F.exp("log_perplexity").alias("perplexity"),
         F.exp(limit).alias("threshold"),
-        (F.col("log_perplexity").isNotNull() & F.coalesce(F.col("log_perplexity") <= limit, F.lit(True))).alias("kept"),
+        (F.col("log_perplexity").isNotNull() & (F.col("log_perplexity") <= limit)).alias("kept"),
     )
     scratch.clear()
     return result

@@ -113,6 +113,24 @@ def test_thresholds_are_quantiles_of_the_held_out_documents(spark):
     assert 0 <= rows[(False, "a")]["threshold"] - held[math.ceil(0.9 * len(held)) - 1] <= 1 / 256
 
 
+def test_small_languages_have_thresholds_of_their_own(spark):
+    values = [(i, 2, "a", 1 + i / 1000) for i in range(1000)]
+    values += [(1000 + i, 2, "b", 5 + i / 100) for i in range(3)]
+    scored = spark.createDataFrame(values, "id long, trusted int, language string, log_perplexity double")
+    rows = {(r["every"], r["language"]): r["threshold"] for r in qm.thresholds(scored, 0.99).collect()}
+    every = sorted(v[3] for v in values)
+    gap = every[math.ceil(0.99 * 1003) - 1] - every[math.ceil(0.75 * 1003) - 1]
+    assert rows[(False, "b")] == pytest.approx(5.02 + gap, abs=3 / 256)
+    assert rows[(False, "a")] == pytest.approx(1.989, abs=1 / 256)
+
+
+def test_languages_without_trusted_text_are_kept(spark):
+    docs, labels = corpus()
+    rows = {r["id"]: r for r in qm.classify(*frames(spark, docs + [(9001, "never seen #1 #2", "yy")], labels)).collect()}
+    assert rows[9001]["kept"] and rows[9001]["threshold"] == math.inf
+    assert all(math.isfinite(r["threshold"]) for r in rows.values() if r["lang"] in ("en", None))
+
+
 def test_without_trusted_text_and_with_empty_tables(spark):
     docs, labels = frames(spark, *corpus(30))
     rows = qm.classify(docs, labels.limit(0)).collect()
