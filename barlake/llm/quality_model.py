@@ -141,10 +141,16 @@ def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(shard[order], np.arange(shards + 1))
 
 
-def trusted_rows(rows: DataFrame, labels: DataFrame, key_col: str, quality_col: str) -> DataFrame:
-    """``rows`` with ``trusted``: 1 for training, 2 for held out, else 0."""
-    good = labels.filter((column(quality_col) == 1) & column(key_col).isNotNull())
-    good = good.select(column(key_col).cast("long").alias("id")).distinct()
+def trusted_rows(
+    rows: DataFrame, labels: DataFrame, key_col: str, quality_col: str, toxic_col: str | None = None
+) -> DataFrame:
+    """``rows`` with ``trusted``: 1 for training, 2 for held out, else 0; a label as toxic outweighs the others."""
+    toxic = F.lit(False) if toxic_col is None else F.coalesce(column(toxic_col) == 1, F.lit(False))
+    marks = labels.filter(column(key_col).isNotNull()).select(
+        column(key_col).cast("long").alias("id"), (column(quality_col) == 1).alias("good"), toxic.alias("toxic")
+    )
+    good = marks.groupBy("id").agg(F.max("good").alias("good"), F.max("toxic").alias("toxic"))
+    good = good.filter(F.col("good") & ~F.col("toxic")).select("id")
     part = F.when(F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)) == 0, 2).otherwise(1)
     good = good.withColumn("part", part)
     if good.count() <= BROADCAST_LABELS:
@@ -380,14 +386,18 @@ def classify(
     lang_col: str = "lang",
     quality_col: str = "quality",
     quantile: float = QUANTILE,
+    toxic_col: str | None = None,
 ) -> DataFrame:
-    """Per document row: ``id``, ``lang``, ``n_words``, ``perplexity``, ``threshold`` and ``kept``."""
+    """Per document row: ``id``, ``lang``, ``n_words``, ``perplexity``, ``threshold`` and ``kept``.
+
+    With ``toxic_col`` documents labelled toxic neither train the model nor set a threshold.
+    """
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark)
     rows = docs.select(
         column(key_col).cast("long").alias("id"), column(text_col).alias("text"), column(lang_col).alias("lang")
     )
-    rows = trusted_rows(rows, labels, key_col, quality_col)
+    rows = trusted_rows(rows, labels, key_col, quality_col, toxic_col)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(8, -(-size // SHARD_BYTES))
     words = spark.sparkContext.broadcast(_vocabulary(rows))

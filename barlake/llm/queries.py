@@ -161,4 +161,4 @@ def op6_html_extraction(spark, sf_dir):
 @query
 def op1_quality_model(spark, sf_dir):
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    return quality_model.classify(docs, labels).withColumnRenamed("id", "doc_id")
+    return quality_model.classify(docs, labels, toxic_col="toxic").withColumnRenamed("id", "doc_id")

@@ -113,6 +113,14 @@ def test_thresholds_are_quantiles_of_the_held_out_documents(spark):
     assert 0 <= rows[(False, "a")]["threshold"] - held[math.ceil(0.9 * len(held)) - 1] <= 1 / 256
 
 
+def test_documents_labelled_toxic_are_not_trusted(spark):
+    rows = spark.range(100).select("id", F.lit("x").alias("text"))
+    labels = [(i, 1, i % 3 == 0 and 1 or (0 if i % 3 == 1 else None)) for i in range(60)] + [(1, 0, 1)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = {r["id"]: r["trusted"] for r in qm.trusted_rows(rows, labels, "doc_id", "quality", "toxic").collect()}
+    assert {i for i, t in found.items() if t} == {i for i in range(60) if i % 3} - {1}
+
+
 def test_small_languages_have_thresholds_of_their_own(spark):
     values = [(i, 2, "a", 1 + i / 1000) for i in range(1000)]
     values += [(1000 + i, 2, "b", 5 + i / 100) for i in range(3)]
