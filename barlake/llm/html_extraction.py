@@ -1,8 +1,8 @@
 """HTML extraction: the main text of pages, with site templates removed (operator 6).
 
 Each page is read once into elements. Every container's subtree gets a hash of its tags and text;
-Spark counts, per host, on how many different pages each hash occurs, and the subtrees that recur on
-many pages of their host are deleted, as are menus, headers, footers, sidebars, notices, adverts,
+Spark counts, per host and per section of it (every folder of the address), on how many different pages
+each hash occurs, and the subtrees that recur on many pages of their host or section are deleted, as are menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments by tag, role or class. What remains of the article (of
 ``main`` or the body where a page has none) is cut into blocks, in page order.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from barlake.llm.text import column
 
-# A subtree is a template if it is on this share of a host's different pages, and on so many.
+# A subtree is a template of a host or a section if it is on this share of its different pages, and on so many.
 SHARE = 0.3
 LEAST_PAGES = 3
 
@@ -245,31 +245,56 @@ def host(url: Column) -> Column:
     return F.lower(address)
 
 
+def folder(url: Column) -> Column:
+    """The folder of an address: its path up to the last slash, without empty parts."""
+    path = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*/)", 1)
+    return F.array_join(F.array_remove(F.split(path, "/"), ""), "/")
+
+
+def _sections(folder_col: str) -> Column:
+    """A folder and all folders above it; the empty one is the whole host."""
+    parts = F.array_remove(F.split(folder_col, "/"), "")
+    return F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+
+
 def site_templates(
     pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES, url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
-    """Per host, the hashes of the subtrees that recur: ``host``, ``templates``.
+    """Per host and folder with pages, the hashes of the subtrees that recur in it or in a folder above
+    it: ``host``, ``folder``, ``templates``.
 
     A page has a bounded number of subtrees and a template takes its share of pages, so
-    the list of a host is bounded by its pages' mean size, not by their number.
+    the list of a section is bounded by its pages' mean size, not by their number.
     """
     rows = pages.select(
-        host(column(url_col)).alias("host"), F.xxhash64(column(html_col)).alias("page"), column(html_col).alias("html")
+        host(column(url_col)).alias("host"),
+        folder(column(url_col)).alias("folder"),
+        F.xxhash64(column(html_col)).alias("page"),
+        column(html_col).alias("html"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [Page(h).candidates() if h else [] for h in batch["html"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch["host"], batch["page"], pa.array(found, pa.list_(pa.int64()))], ["host", "page", "hashes"]
+                [batch["host"], batch["folder"], batch["page"], pa.array(found, pa.list_(pa.int64()))],
+                ["host", "folder", "page", "hashes"],
             )
 
-    found = rows.mapInArrow(run, "host string, page long, hashes array<long>")
-    seen = found.select("host", "page", F.explode("hashes").alias("hash"))
-    counts = seen.groupBy("host", "hash").agg(F.count_distinct("page").alias("n")).filter(F.col("n") >= least)
-    sizes = rows.groupBy("host").agg(F.count_distinct("page").alias("n_pages"))
-    common = counts.join(sizes, "host").filter(F.col("n") >= share * F.col("n_pages"))
-    return common.groupBy("host").agg(F.collect_list("hash").alias("templates"))
+    found = rows.mapInArrow(run, "host string, folder string, page long, hashes array<long>")
+    seen = found.select("host", "page", F.explode(_sections("folder")).alias("section"), "hashes")
+    seen = seen.select("host", "section", "page", F.explode("hashes").alias("hash"))
+    counts = seen.groupBy("host", "section", "hash").agg(F.count_distinct("page").alias("n")).filter(F.col("n") >= least)
+    places = rows.select("host", "folder", "page").distinct()
+    placed = places.select("host", "folder", "page", F.explode(_sections("folder")).alias("section"))
+    sizes = placed.groupBy("host", "section").agg(F.count_distinct("page").alias("n_pages"))
+    common = counts.join(sizes, ["host", "section"]).filter(F.col("n") >= share * F.col("n_pages"))
+    folders = placed.select("host", "folder", "section").distinct()
+    return (
+        folders.join(common.select("host", "section", "hash"), ["host", "section"])
+        .groupBy("host", "folder")
+        .agg(F.collect_set("hash").alias("templates"))
+    )
 
 
 def main_text(
@@ -283,9 +308,13 @@ def main_text(
     """Per page row: ``key``, ``url`` and ``text``."""
     templates = site_templates(pages, share, least, url_col, html_col)
     rows = pages.select(
-        column(key_col).alias("key"), column(url_col).alias("url"), column(html_col).alias("html"), host(column(url_col)).alias("host")
+        column(key_col).alias("key"),
+        column(url_col).alias("url"),
+        column(html_col).alias("html"),
+        host(column(url_col)).alias("host"),
+        folder(column(url_col)).alias("folder"),
     )
-    joined = rows.join(templates, "host", "left").select("key", "url", "html", "templates")
+    joined = rows.join(templates, ["host", "folder"], "left").select("key", "url", "html", "templates")
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -71,6 +71,20 @@ def test_templates_of_a_host_go(spark):
     assert main_text(frame.limit(0)).collect() == []
 
 
+def test_boxes_of_sections_go_however_many_other_sections_there_are(spark):
+    rows = []
+    for section in range(10):
+        # The box of a section is on 5 % (a half of the section) to 10 % of the host's pages.
+        for i in range(12):
+            box = f"<div><ul><li>Links of {section}</li></ul></div>" if section % 2 or i % 2 else ""
+            url = f"https://h.example/s{section}/{'deep/' if i > 8 else ''}{i}.html?x=/y/"
+            rows.append((len(rows), url, f"{box}<div><p>page {section} {i}</p></div>"))
+    got = {r["key"]: r["text"] for r in main_text(pages(spark, rows)).collect()}
+    assert got == {k: f"page {k // 12} {k % 12}" for k in range(120)}
+    few = {r["key"]: r["text"] for r in main_text(pages(spark, rows[:12])).collect()}
+    assert few == {k: got[k] for k in range(12)}
+
+
 def article(source):
     """The given pages' text, by their own simple form: headings and paragraphs of one article."""
     inner = re.search(r"<article>(.*?)(?:</article>|$)", source, re.S)[1]
