@@ -11,7 +11,10 @@ never goes back further than the stage it was in. All stages but the last return
 3. suffix-array dedup: bytes of passages of ``PASSAGE_BYTES`` that occur elsewhere leave the texts,
    documents without any text left go;
 4. decontamination: documents that hold ten consecutive words of a benchmark item go;
-5. encoding: token ids and their number, and whether they decode to the text.
+5. encoding: token ids (four bytes each, little-endian), their number and digest, and whether they decode to
+   the text.
+
+The table of the last stage is the encoded corpus: ``corpus`` returns it whole, ``run`` without the ids.
 
 Null texts have no words and fail the first stage; rows that repeat an id are kept or dropped together
 by the second and fourth stage. An empty table passes through as an empty table.
@@ -58,6 +61,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, vocabulary, packed=True).select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        "ids",
         F.sha2("ids", 256).alias("ids_sha256"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
@@ -75,9 +79,13 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     docs = read_table(spark, sf_dir.rstrip("/"), "documents")
     for name, stage in STAGES:
         docs = scratch.result(stage(spark, docs, sf_dir.rstrip("/")), f"pipeline-{name}")
     return docs
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).drop("ids")

@@ -121,6 +121,20 @@ def test_matches_the_stages_one_by_one(spark, tables):
     assert got == wanted
 
 
+def test_the_last_stage_keeps_the_token_ids(spark, folder):
+    texts = {1: "some words of a text", 2: "", 3: "é\U0001f600 x\n"}
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in texts.items()], COLUMNS)
+    name, stage = corpus_pipeline.STAGES[-1]
+    stage(spark, docs, folder).write.parquet(f"{folder}/{name}")
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = spark.read.parquet(f"{folder}/{name}").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = np.frombuffer(r["ids"], "<u4").tolist()
+        assert ids == library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(r["ids"]).hexdigest())
+
+
 def test_stages_return_the_columns_of_documents(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet").withColumnRenamed("source", "source")
     for _, stage in corpus_pipeline.STAGES[:-1]:
