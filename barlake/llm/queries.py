@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barlake.llm import (
     bpe,
+    byte_bpe,
     decontamination,
     html_extraction,
     license_scan,
@@ -162,3 +163,18 @@ def op6_html_extraction(spark, sf_dir):
 def op1_quality_model(spark, sf_dir):
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return quality_model.classify(docs, labels, toxic_col="toxic").withColumnRenamed("id", "doc_id")
+
+
+@query
+def op11_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep_text=False)
+    return byte_bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
