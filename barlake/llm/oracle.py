@@ -68,9 +68,43 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(covered.n, 0) AS n_hi
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 
+def _clustering(dims: int = 64, k: int = 8, rounds: int = 10) -> str:
+    """The rounds one after the other, each a pair of statements."""
+    distance = "list_sum(list_transform(list_zip(v.v, c.c), lambda p : (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = [
+        f"""vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id,
+         list_transform(embedding, lambda x : CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x : x IS NOT NULL AND isfinite(x))) = {dims}),
+centroids0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS k, v AS c FROM vectors
+  QUALIFY k < {k})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""assigned{i} AS MATERIALIZED (
+  SELECT n, arg_min(k, (d, k)) AS k, min(d) AS d
+  FROM (SELECT v.n, c.k, {distance} AS d FROM vectors v, centroids{i} c) GROUP BY n)""")
+        if i < rounds:
+            steps.append(f"""centroids{i + 1} AS MATERIALIZED (
+  SELECT k, coalesce(m.c, o.c) AS c FROM centroids{i} o LEFT JOIN (
+    SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY place) AS c FROM (
+      SELECT k, place, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+        SELECT a.k, unnest(v) AS x, unnest(range(len(v))) AS place FROM assigned{i} a JOIN vectors USING (n))
+      GROUP BY k, place) GROUP BY k) m USING (k))""")
+    return (
+        "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM assigned{rounds} JOIN vectors USING (n) JOIN centroids{rounds} USING (k)"""
+    )
+
+
 def statements() -> dict[str, str]:
     return {
         "op5_near_duplicates": NEAR_DUPLICATES,
         "op7_substring_dedup": SUBSTRING_DEDUP,
         "op8_decontamination": DECONTAMINATION,
+        "op12_clustering": _clustering(),
     }

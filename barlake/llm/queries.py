@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barlake.llm import (
     bpe,
     byte_bpe,
+    clustering,
     decontamination,
     html_extraction,
     license_scan,
@@ -178,3 +179,8 @@ def op11_byte_bpe(spark, sf_dir):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op12_clustering(spark, sf_dir):
+    return clustering.cluster(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
