@@ -68,6 +68,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(covered.n, 0) AS n_hi
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 
+LEXICAL_SEARCH = f"""
+WITH docs AS ({_words("documents", "doc_id", _LOWER, _ALNUM)}),
+items AS ({_words("benchmark", "item_id", _LOWER, _ALNUM)}),
+whole AS (SELECT count(*) AS n, sum(len(w)) AS l FROM docs WHERE len(w) > 0),
+wanted AS (SELECT DISTINCT item_id, unnest(w) AS term FROM items),
+postings AS (
+  SELECT doc_id, term, len, count(*) AS tf FROM (SELECT doc_id, len(w) AS len, unnest(w) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM postings, whole GROUP BY term),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len * n) // l)))) AS BIGINT) AS score
+  FROM wanted JOIN postings USING (term) JOIN weights USING (term), whole GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10"""
+
+
 def _clustering(dims: int = 64, k: int = 8, rounds: int = 10) -> str:
     """The rounds one after the other, each a pair of statements."""
     distance = "list_sum(list_transform(list_zip(v.v, c.c), lambda p : (p[1] - p[2]) * (p[1] - p[2])))"
@@ -107,4 +125,5 @@ def statements() -> dict[str, str]:
         "op7_substring_dedup": SUBSTRING_DEDUP,
         "op8_decontamination": DECONTAMINATION,
         "op12_clustering": _clustering(),
+        "op13_lexical_search": LEXICAL_SEARCH,
     }

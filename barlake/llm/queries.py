@@ -13,6 +13,7 @@ from barlake.llm import (
     clustering,
     decontamination,
     html_extraction,
+    lexical_search,
     license_scan,
     neardup,
     quality_model,
@@ -184,3 +185,11 @@ def op11_byte_bpe(spark, sf_dir):
 @query
 def op12_clustering(spark, sf_dir):
     return clustering.cluster(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return lexical_search.ranked(docs, items).select(
+        F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score"
+    )
