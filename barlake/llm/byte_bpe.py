@@ -1,17 +1,20 @@
 """Byte-level BPE by ranks, with Spark's higher-order functions (operator 11).
 
 The vocabulary is a file of base64 tokens and their ranks. Encoding takes three steps inside each
-task, without a shuffle: texts are cut by the pattern and the distinct words of a chunk of texts
-are numbered; ``aggregate`` folds the ranked merges over the byte array of every distinct word;
-the ids of the words are laid out in the order of the texts. Decoding looks up the bytes of each id
-in a literal array and joins them.
+task, without a shuffle: texts are cut by the pattern and the distinct words of the task are
+numbered; ``aggregate`` folds the ranked merges over the byte array of every distinct word;
+the ids of the words are laid out in the order of the texts. Between the steps a row is a chunk of texts
+with the words that are new in it, and the last step remembers the ids of the words before; both sides forget
+them beyond ``WORDS`` words, and a row says how many words it builds upon. Decoding looks up the bytes
+of each id in a literal array and joins them.
 
 The rank map is a literal: an array of small maps, found by a hash of the pair, as a lookup in one
 large map would read it from its start. A word is folded as an array of numbers, one for each symbol:
 
     rank of the pair that begins here (20 bits) | place in the word (12 bits) | symbol (20 bits)
 
-so its smallest number is the leftmost pair of the lowest rank. Steps of the fold find that number
+so its smallest number is the leftmost pair of the lowest rank. The ranks of pairs of bytes are put in while the
+words are numbered. Steps of the fold find that number
 and merge its pair by turns; a merge looks up the two new pairs only. Words beyond ``LONG_BYTES``,
 for which copying the array would take quadratic time, are merged with a heap instead.
 
@@ -37,9 +40,10 @@ from pyspark.sql import types as T
 
 from barlake.llm.text import chunks, column, list_array, utf8
 
-# Characters of text whose words are numbered together, and whose pieces are held at once.
-CHUNK_CHARS = 32_000_000
-SPLIT_CHARS = 1_000_000
+# Characters of text in a chunk, and whose pieces are held at once; distinct words a task remembers.
+CHUNK_CHARS = 4_000_000
+SPLIT_CHARS = 500_000
+WORDS = 400_000
 # Rows in a batch of the result, and bytes of the longest word that is folded.
 OUT_ROWS = 2_000
 LONG_BYTES = 256
@@ -81,14 +85,9 @@ def _rank(table: Column, left: Column, right: Column) -> Column:
 
 
 def fold_word(table: Column, word: Column) -> Column:
-    """The ids of a word, given as its symbols between two edges."""
+    """The ids of a word, given as the numbers of its bytes between two edges."""
     symbol = F.lit(SYMBOL).cast("long")
 
-    def begin(x: Column, place: Column) -> Column:
-        following = F.coalesce(F.get(word, place + 1), F.lit(EDGE)).cast("long")
-        where = F.shiftleft(place.cast("long"), PLACE_SHIFT)
-        return _rank(table, x.cast("long"), following).bitwiseOR(where).bitwiseOR(x.cast("long"))
-
     def step(state: Column, _: Column) -> Column:
         v, at = state["v"], state["at"]
         found = F.struct(v.alias("v"), F.array_position(v, F.array_min(v)).cast("int").alias("at"))
@@ -112,7 +111,7 @@ def fold_word(table: Column, word: Column) -> Column:
         inner = F.slice(state["v"], F.lit(2), F.size(state["v"]) - 2)
         return F.transform(inner, lambda x: x.bitwiseAND(symbol).cast("int"))
 
-    start = F.struct(F.transform(word, begin).alias("v"), F.lit(0).alias("at"))
+    start = F.struct(word.alias("v"), F.lit(0).alias("at"))
     # n bytes allow n - 1 merges, each found first; the last search finds that nothing is left.
     return F.aggregate(F.sequence(F.lit(1), 2 * F.size(word) - 5), start, step, finish)
 
@@ -158,17 +157,27 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[at : ends[at]]] for at in range(size) if ends[at]]
 
 
-class Chunk:
-    """Distinct words of consecutive texts, and every text as numbers of words."""
+class Numbering:
+    """Numbers the distinct words of consecutive texts, and writes every text as numbers of words."""
 
     def __init__(self, ranks: dict[bytes, int], split: regex.Pattern):
         self.ranks, self.split = ranks, split
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.clear()
-
-    def clear(self) -> None:
+        # Symbols and ranks of pairs by byte; the last entry is for edges and whole tokens.
+        self.symbols = np.array([*(ranks[bytes([b])] for b in range(256)), EDGE], np.int64)
+        self.pairs = np.full((257, 257), NO_RANK, np.int64)
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.pairs[token[0], token[1]] = rank
         self.known: dict[str, int] = {}
-        self.symbols: list[bytes] = []
+        self.folded = self.merged = 0
+        self._next()
+
+    def _next(self) -> None:
+        if len(self.known) >= WORDS:
+            self.known, self.folded, self.merged = {}, 0, 0
+        self.base = (self.folded, self.merged)
+        self.words: list[bytes] = []
+        self.whole: list[tuple[int, int]] = []
         self.long: list[list[int]] = []
         self.chars = 0
         self.parts: list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]] = []
@@ -178,11 +187,14 @@ class Chunk:
         whole = self.ranks.get(raw)
         if whole is None and len(raw) > LONG_BYTES:
             self.long.append(merge_long(raw, self.ranks))
-            number = -len(self.long)
+            self.merged += 1
+            number = -self.merged
         else:
-            ids = self.byte_ids[np.frombuffer(raw, np.uint8)] if whole is None else [whole]
-            self.symbols.append(np.array([EDGE, *ids, EDGE], np.int32).tobytes())
-            number = len(self.symbols) - 1
+            if whole is not None:
+                self.whole.append((len(self.words), whole))
+            self.words.append(raw if whole is None else b"\0")
+            number = self.folded
+            self.folded += 1
         self.known[word] = number
         return number
 
@@ -195,20 +207,55 @@ class Chunk:
         self.parts.append((rows, codes, np.fromiter(map(len, pieces), np.int64, len(pieces))))
         self.chars += sum(map(len, texts))
 
+    def _packed(self) -> pa.Array:
+        """The new words as the fold takes them."""
+        lengths = np.fromiter(map(len, self.words), np.int64, len(self.words))
+        firsts = np.cumsum(lengths + 2) - lengths - 1  # the place of each word's first byte, after its edge
+        total = int((lengths + 2).sum())
+        inner = np.repeat(firsts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+        raw = np.full(total + 1, 256, np.int64)
+        raw[inner] = np.frombuffer(b"".join(self.words), np.uint8)
+        symbols = self.symbols[raw[:-1]]
+        if self.whole:
+            places, tokens = np.array(self.whole).T
+            raw[firsts[places]] = 256
+            symbols[firsts[places]] = tokens
+        where = np.arange(total) - np.repeat(firsts - 1, lengths + 2)
+        packed = self.pairs[raw[:-1], raw[1:]] << RANK_SHIFT | where << PLACE_SHIFT | symbols
+        return list_array(packed, lengths + 2, pa.int64())
+
     def row(self) -> pa.RecordBatch:
-        """The chunk as one row: its words, those merged already, and its rows with their codes."""
+        """The chunk as one row: its new words, those merged already, and its rows with their codes."""
         rows = pa.Table.from_batches([r for r, _, _ in self.parts]).combine_chunks()
         codes = np.concatenate([c for _, c, _ in self.parts])
         counts = np.concatenate([n for _, _, n in self.parts])
         fields = [rows.column(i).combine_chunks() for i in range(rows.num_columns)]
         names = [f"c{i}" for i in range(len(fields))]
         nested = pa.StructArray.from_arrays([*fields, list_array(codes, counts, pa.int32())], [*names, "codes"])
-        lengths = np.fromiter(map(len, self.symbols), np.int64, len(self.symbols)) // 4
-        words = list_array(np.frombuffer(b"".join(self.symbols), np.int32), lengths, pa.int32())
         merged = pa.array(self.long, pa.list_(pa.int32()))
-        out = [pa.ListArray.from_arrays([0, len(a)], a) for a in (words, merged, nested)]
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a) for a in (self._packed(), merged, nested)]
+        base = [pa.array([n], pa.int32()) for n in self.base]
+        self._next()
+        return pa.RecordBatch.from_arrays([*base, *lists], ["folded", "long", "words", "merged", "rows"])
+
+
+class Ids:
+    """The ids of numbered words, as rows bring them."""
+
+    def __init__(self):
         self.clear()
-        return pa.RecordBatch.from_arrays(out, ["words", "merged", "rows"])
+
+    def clear(self) -> None:
+        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def add(self, base: int, words: pa.Array) -> None:
+        if base == 0:
+            self.clear()
+        if base != len(self.ends):
+            raise RuntimeError(f"a chunk builds upon {base} words, {len(self.ends)} are known")
+        lengths = words.value_lengths().to_numpy(zero_copy_only=False)
+        self.ends = np.concatenate((self.ends, np.cumsum(lengths) + len(self.ids)))
+        self.ids = np.concatenate((self.ids, words.flatten().to_numpy(zero_copy_only=False)))
 
 
 @lru_cache(maxsize=4)
@@ -216,18 +263,18 @@ def _ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.splitlines())}
 
 
-def _laid_out(codes: np.ndarray, counts: np.ndarray, words: pa.Array, merged: pa.Array) -> pa.Array:
+def _laid_out(codes: np.ndarray, counts: np.ndarray, words: Ids, merged: Ids) -> pa.Array:
     """The ids of each text from its codes."""
-    lengths = np.concatenate([a.value_lengths().to_numpy(zero_copy_only=False) for a in (words, merged)]).astype(np.int64)
-    ids = np.concatenate([a.flatten().to_numpy(zero_copy_only=False) for a in (words, merged)]).astype(np.int32)
-    starts = np.cumsum(lengths) - lengths
-    places = np.where(codes >= 0, codes, len(words) - 1 - codes)
+    ends = np.concatenate((words.ends, merged.ends + len(words.ids)))
+    lengths = np.diff(ends, prepend=0)
+    ids = np.concatenate((words.ids, merged.ids))
+    places = np.where(codes >= 0, codes, len(words.ends) - 1 - codes)
     taken = lengths[places]
-    ends = np.cumsum(taken)
-    total = int(ends[-1]) if len(ends) else 0
-    out = ids[np.repeat(starts[places] - ends + taken, taken) + np.arange(total)]
-    upto = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
-    return list_array(out, np.diff(upto), pa.int32())
+    upto = np.cumsum(taken)
+    total = int(upto[-1]) if len(upto) else 0
+    out = ids[np.repeat(ends[places] - upto, taken) + np.arange(total)]
+    bounds = np.concatenate(([0], upto))[np.concatenate(([0], np.cumsum(counts)))]
+    return list_array(out, np.diff(bounds), pa.int32())
 
 
 def encode(
@@ -242,13 +289,19 @@ def encode(
     names = [f.name for f in kept]
     inner = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(kept)]
     rows = T.ArrayType(T.StructType([*inner, T.StructField("codes", T.ArrayType(T.IntegerType()))]))
-    words = T.ArrayType(T.ArrayType(T.IntegerType()))
-    middle = T.StructType([T.StructField("words", words), T.StructField("merged", words), T.StructField("rows", rows)])
+    fields = {
+        "folded": T.IntegerType(),
+        "long": T.IntegerType(),
+        "words": T.ArrayType(T.ArrayType(T.LongType())),
+        "merged": T.ArrayType(T.ArrayType(T.IntegerType())),
+        "rows": rows,
+    }
+    middle = T.StructType([T.StructField(n, kind) for n, kind in fields.items()])
     result = T.StructType([*kept, T.StructField(out_col, T.ArrayType(T.IntegerType()))])
     size = len(names)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = Chunk(_ranks(content.value), regex.compile(pattern))
+        chunk = Numbering(_ranks(content.value), regex.compile(pattern))
         for batch in batches:
             texts = [t.decode() for t in utf8(batch.column(size))]
             for lo, hi in chunks([len(t) for t in texts], SPLIT_CHARS):
@@ -259,9 +312,12 @@ def encode(
             yield chunk.row()
 
     def lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, merged = Ids(), Ids()
         for batch in batches:
             for i in range(batch.num_rows):
-                words, merged, rows = (batch[n].slice(i, 1).flatten() for n in ("words", "merged", "rows"))
+                words.add(batch["folded"][i].as_py(), batch["words"].slice(i, 1).flatten())
+                merged.add(batch["long"][i].as_py(), batch["merged"].slice(i, 1).flatten())
+                rows = batch["rows"].slice(i, 1).flatten()
                 for lo in range(0, len(rows), OUT_ROWS):
                     *fields, codes = rows.slice(lo, OUT_ROWS).flatten()
                     counts = codes.value_lengths().to_numpy(zero_copy_only=False)
@@ -272,7 +328,7 @@ def encode(
         *(column(n).alias(f"c{i}") for i, n in enumerate(names)), column(text_col).cast("string").alias("text")
     )
     numbered = given.mapInArrow(number, middle)
-    folded = numbered.select(fold_words(ranks, F.col("words")).alias("words"), "merged", "rows")
+    folded = numbered.withColumn("words", fold_words(ranks, F.col("words")))
     return folded.mapInArrow(lay_out, result)
 
 

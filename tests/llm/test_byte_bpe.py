@@ -62,6 +62,9 @@ def test_small_chunks(spark, library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "CHUNK_CHARS", 500)
     monkeypatch.setattr(byte_bpe, "SPLIT_CHARS", 100)
     monkeypatch.setattr(byte_bpe, "OUT_ROWS", 3)
+    monkeypatch.setattr(byte_bpe, "LONG_BYTES", 5)
+    same(spark, library, texts)
+    monkeypatch.setattr(byte_bpe, "WORDS", 50)
     same(spark, library, texts)
 
 
