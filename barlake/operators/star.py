@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.operators.accounting import REASON, mark_missing
 from barlake.operators.bars import PRICES
 
 
@@ -23,6 +24,16 @@ def gold_daily_prices(fact: DataFrame, dim_date: DataFrame, dim_assets: DataFram
     )
 
 
+def marked_gold(fact: DataFrame, dim_date: DataFrame, dim_assets: DataFrame) -> DataFrame:
+    """J-2, J-3 that keep all bars: those a join would drop carry the reason (P-10, P-11)."""
+    days = dim_date.select("date_key", F.to_date("full_date").alias("fetch_date"))
+    dated = mark_missing(fact, F.broadcast(days), "date_key", "no_date")
+    assets = dim_assets.select("symbol", "currency", "asset_type")
+    return mark_missing(dated, assets, "symbol", "no_asset").select(
+        "symbol", "fetch_date", *PRICES, "volume", "currency", "asset_type", "batch_id", REASON
+    )
+
+
 def rows_without_match(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """J-4: rows an inner join on ``key`` would drop."""
     return rows.join(dimension.select(key), key, "left_anti")

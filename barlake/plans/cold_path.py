@@ -8,12 +8,15 @@ parts; they are merged with the stored bars of the same days, and only those
 bars and their successors are upserted. The cost follows the new ticks, not the
 size of bronze. Each stored bar remembers the last batch it took in, and an
 upsert that was staged is completed before anything else, so a replayed batch
-counts nothing twice.
+counts nothing twice. Offsets taken in are kept as intervals, so messages that are
+delivered again, in whichever later batch, count nothing either. Bars that the
+dimensions do not know are left out and accounted for.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -23,9 +26,10 @@ from pyspark.sql import functions as F
 from barlake import schemas
 from barlake.functions.ordering import TickOrder, by_offset, by_seq
 from barlake.functions.scalars import month_key
+from barlake.operators import accounting, redelivery
 from barlake.operators import bars as ops
 from barlake.operators.quality import bars_report, classify, dead_letters, gate, valid_ticks
-from barlake.operators.star import gold_daily_prices
+from barlake.operators.star import marked_gold
 from barlake.operators.upsert import complete_pending, merge_upsert, touched_rows
 from barlake.sources.dimensions import generate_dim_date
 from barlake.sources.tables import read_parquet_or_empty
@@ -64,6 +68,18 @@ class Lake:
     def progress(self) -> str:
         return self._under("silver/progress")
 
+    @property
+    def offsets(self) -> str:
+        return self._under("silver/offsets")
+
+    @property
+    def load_counts(self) -> str:
+        return self._under("silver/load_counts")
+
+    @property
+    def dropped_symbols(self) -> str:
+        return self._under("silver/dropped_symbols")
+
     @property
     def due_months(self) -> str:
         return self._under("silver/due_months")
@@ -126,11 +142,27 @@ def merge_stored(parts: DataFrame, fact: DataFrame) -> DataFrame:
     return ops.with_volume(merged)
 
 
-def upsert_bars(spark: SparkSession, lake: Lake, bars: DataFrame) -> None:
-    """Gate whole bars, add returns, and upsert them with their successors.
+@contextmanager
+def accounted_parts(
+    spark: SparkSession, lake: Lake, parts: DataFrame, batch_id: int
+) -> Iterator[DataFrame]:
+    """Parts written once, without those outside the date dimension.
 
-    Bars outside the date dimension fall out.
+    What falls out is counted while they are written. Counting parts, not merged bars, makes a
+    repeated batch count the same again.
     """
+    counts = accounting.DropCounts("silver", ["no_date"])
+    marked = ops.mark_dates(parts, generate_dim_date(spark))
+    with materialized(counts.watch(marked), "bar-parts") as stored:
+        if counts.total:
+            accounting.store_counts(
+                spark, counts, stored, batch_id, lake.load_counts, lake.dropped_symbols
+            )
+        yield accounting.kept_rows(stored)
+
+
+def upsert_bars(spark: SparkSession, lake: Lake, bars: DataFrame) -> None:
+    """Gate whole bars, add returns, and upsert them with their successors."""
     with materialized(bars, "bars") as whole:
         if whole.isEmpty():
             return
@@ -168,6 +200,8 @@ def check_progress(spark: SparkSession, lake: Lake) -> None:
     current = spark.read.schema("id STRING").json(metadata)
     known = read_parquet_or_empty(spark, lake.progress, "id STRING").first()
     if known is None:
+        # A new stream rebuilds the table from all of bronze.
+        remove_tree(spark, lake.offsets)
         current.coalesce(1).write.mode("overwrite").parquet(lake.progress)
     elif known["id"] != current.first()["id"]:
         raise ProgressLostError(
@@ -190,10 +224,16 @@ def silver_batch(lake: Lake, topics: list[str]) -> Callable[[DataFrame, int], No
         classified = classified.withColumn("value", F.when(~F.col("is_valid"), F.col("value")))
         classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_dead_letters(classified, lake, batch_id)
-            parts = batch_parts(valid_ticks(classified), batch_id, by_offset(topics))
-            with materialized(parts, "bar-parts") as stored_parts:
-                upsert_bars(spark, lake, merge_stored(stored_parts, stored_fact(spark, lake)))
+            with materialized(redelivery.offset_blocks(classified), "offsets") as blocks:
+                seen = redelivery.stored_intervals(spark, lake.offsets, batch_id)
+                fresh = redelivery.fresh_messages(classified, blocks, seen)
+                write_dead_letters(fresh, lake, batch_id)
+                parts = batch_parts(valid_ticks(fresh), batch_id, by_offset(topics))
+                with accounted_parts(spark, lake, parts, batch_id) as known:
+                    upsert_bars(spark, lake, merge_stored(known, stored_fact(spark, lake)))
+                # Last: a batch that died before is repeated, and its bars know its number.
+                taken = redelivery.batch_intervals(classified, blocks)
+                redelivery.store_intervals(taken, lake.offsets, batch_id)
         finally:
             classified.unpersist()
 
@@ -237,12 +277,29 @@ def mark_due(rows: DataFrame, lake: Lake) -> None:
 
 
 def gold_rows(spark: SparkSession, lake: Lake, months: list[int] | None = None) -> DataFrame:
-    """Flat rows of all months or of some (the filter prunes partitions)."""
+    """Flat rows of all months or of some (the filter prunes partitions), those without an asset marked."""
     fact = stored_fact(spark, lake)
     if months is not None:
         fact = fact.filter(F.col("month_key").isin(months))
     assets = read_parquet_or_empty(spark, lake.assets, schemas.DIM_ASSETS_DDL)
-    return gold_daily_prices(fact, generate_dim_date(spark), assets)
+    return marked_gold(fact, generate_dim_date(spark), assets)
+
+
+def sync_gold(
+    spark: SparkSession, lake: Lake, write: Callable[[DataFrame], None], months: list[int] | None = None
+) -> None:
+    """Write the flat rows and account for those left out, under the newest batch among them.
+
+    ``write`` must run through all rows it is given.
+    """
+    counts = accounting.DropCounts("gold", ["no_date", "no_asset"])
+    marked = gold_rows(spark, lake, months)
+    write(accounting.kept_rows(counts.watch(marked)).drop("batch_id"))
+    if counts.total:
+        newest = NO_BATCH if counts.newest_batch is None else counts.newest_batch
+        accounting.store_counts(
+            spark, counts, marked, newest, lake.load_counts, lake.dropped_symbols
+        )
 
 
 def parquet_gold_writer(lake: Lake) -> Callable[[DataFrame], None]:
@@ -277,11 +334,11 @@ def silver_to_gold(
     # Files noted while this sync runs are left for the next one.
     noted = due.inputFiles()
     if everything:
-        write(gold_rows(spark, lake))
+        sync_gold(spark, lake, write)
     elif noted:
         # At most one row per calendar month.
         months = [row["month_key"] for row in due.distinct().collect()]
-        write(gold_rows(spark, lake, months))
+        sync_gold(spark, lake, write, months)
     for file in noted:
         remove_tree(spark, file)
 
@@ -318,10 +375,11 @@ def backfill(
     complete_pending(spark, lake.fact, FACT_PARTITIONS)
     in_range = ops.in_days(ticks, first_day, last_day)
     parts = batch_parts(in_range, NO_BATCH, order)
-    batches = touched_rows(stored_fact(spark, lake), parts, FACT_PARTITIONS).select(
-        *ops.FACT_KEYS, F.col("batch_id").alias("last_batch")
-    )
-    rebuilt = parts.join(batches, ops.FACT_KEYS, "left").withColumn(
-        "batch_id", F.coalesce("last_batch", "batch_id")
-    )
-    upsert_bars(spark, lake, ops.with_volume(rebuilt).drop("last_batch", *ops.FACT_KEYS[1:]))
+    with accounted_parts(spark, lake, parts, NO_BATCH) as known:
+        batches = touched_rows(stored_fact(spark, lake), known, FACT_PARTITIONS).select(
+            *ops.FACT_KEYS, F.col("batch_id").alias("last_batch")
+        )
+        rebuilt = known.join(batches, ops.FACT_KEYS, "left").withColumn(
+            "batch_id", F.coalesce("last_batch", "batch_id")
+        )
+        upsert_bars(spark, lake, ops.with_volume(rebuilt).drop("last_batch", *ops.FACT_KEYS[1:]))

@@ -101,6 +101,28 @@ def tick_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_of(event_ticks(spark, sf_dir), tick_json())
 
 
+def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as ticks of their customers; some are older than the date dimension."""
+    ticks = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("C"), F.col("o_custkey")).alias("symbol"),
+        F.col("o_totalprice").alias("price"),
+        F.lit(1.0).alias("quantity"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("trade_time"),
+        F.col("o_orderkey").alias("seq"),
+    )
+    return messages_of(ticks, tick_json())
+
+
+def customer_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third customer has no asset."""
+    return table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 3 != 0).select(
+        F.concat(F.lit("C"), F.col("c_custkey")).alias("symbol"),
+        F.col("c_name").alias("name"),
+        F.lit("stock").alias("asset_type"),
+        F.lit("USD").alias("currency"),
+    )
+
+
 def corrupted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message, some of them broken by a rule on the event id."""
     seq = F.col("seq")

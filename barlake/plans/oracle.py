@@ -663,6 +663,28 @@ def statements() -> dict[str, str]:
             "SELECT count(e) AS n, steady(sqrt(avg(e * e)), 4) AS rmse, steady(avg(abs(e)), 4) AS mae"
             f" FROM (SELECT close_price - lead(close_price) {_TIED}) AS e FROM sbars)"
         ),
+        "load_accounting": f"""
+            WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS fetch_date, o_orderkey % 2 AS batch FROM orders),
+            b AS (SELECT DISTINCT *, {IN_DIM} AS dated FROM o),
+            f AS (SELECT DISTINCT o_custkey, fetch_date, o_custkey % 3 <> 0 AND o_custkey IN (SELECT c_custkey FROM customer)
+                  AS listed FROM b WHERE dated)
+            SELECT 'silver' AS step, batch AS batch_id, 'no_date' AS reason, count(*) AS total_bars,
+                   count(*) FILTER (NOT dated) AS dropped_bars,
+                   count(DISTINCT o_custkey) FILTER (NOT dated) AS dropped_symbols FROM b GROUP BY batch
+            UNION ALL SELECT 'gold', 1, 'no_asset', count(*), count(*) FILTER (NOT listed),
+                   count(DISTINCT o_custkey) FILTER (NOT listed) FROM f
+            UNION ALL SELECT 'gold', 1, 'no_date', count(*), 0, 0 FROM f""",
+        "redelivered_fact": _events(FACT_SELECT, RETURNS),
+        "offset_intervals": _sql(
+            """SELECT topic, partition, min(seq) AS first_offset, max(seq) AS last_offset FROM (
+                 SELECT *, sum(new) OVER (PARTITION BY topic, partition ORDER BY seq) AS island FROM (
+                   SELECT topic, partition, seq, CASE WHEN lag(seq) OVER (PARTITION BY topic, partition ORDER BY seq) = seq - 1
+                          THEN 0 ELSE 1 END AS new
+                   FROM broken WHERE seq % 97 <> 0 AND seq % 1000 < 900))
+               GROUP BY topic, partition, island""",
+            TICKS,
+            BROKEN,
+        ),
         "stored_dead_letters": _sql(
             "SELECT reason, topic, count(*) AS messages FROM ("
             " SELECT reason, topic FROM broken WHERE reason IS NOT NULL UNION ALL"

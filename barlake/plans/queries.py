@@ -18,7 +18,7 @@ from barlake.operators import forecasting as fc
 from barlake.operators import history as hist
 from barlake.operators import indicators as ind
 from barlake.operators import maintenance as maint
-from barlake.operators import panels, quality, star, upsert
+from barlake.operators import accounting, panels, quality, redelivery, star, upsert
 from barlake.plans import cold_path
 from barlake.plans import fixtures as fx
 from barlake.plans import predictions
@@ -930,6 +930,39 @@ def cold_path_gold(spark, sf_dir):
     return spark.read.schema(schemas.GOLD_DDL).parquet(lake.gold).drop("year")
 
 
+@query
+def load_accounting(spark, sf_dir):
+    """J-4, Q-4, P-10, P-11: bars and symbols left out by two loads and a sync, with the reason"""
+    lake = cold_path.Lake(scratch_path(spark, "lake"))
+    tables.append(fx.customer_assets(spark, sf_dir), lake.assets, ["asset_type"])
+    sent = fx.order_messages(spark, sf_dir)
+    load = cold_path.silver_batch(lake, cold_path.TOPICS)
+    for batch in (0, 1):
+        load(sent.filter(F.col("offset") % 2 == batch), batch)
+    cold_path.silver_to_gold(spark, lake)
+    return accounting.load_report(spark, lake.load_counts, lake.dropped_symbols)
+
+
+@query
+def redelivered_fact(spark, sf_dir):
+    """A-7, T-8: half of the messages, then all of them and some twice, change nothing twice"""
+    lake = cold_path.Lake(scratch_path(spark, "lake"))
+    sent = fx.tick_messages(spark, sf_dir)
+    load = cold_path.silver_batch(lake, cold_path.TOPICS)
+    load(sent.filter(F.col("offset") % 4096 < 2048), 0)
+    load(doubled_messages(spark, sf_dir), 1)
+    return rounded(
+        cold_path.stored_fact(spark, lake).select(*ops.FACT_COLUMNS), "daily_return", "price_range"
+    )
+
+
+@query
+def offset_intervals(spark, sf_dir):
+    """T-8: the intervals that stand for a batch with gaps"""
+    sent = fx.tick_messages(spark, sf_dir).filter((F.col("offset") % 97 != 0) & (F.col("offset") % 1000 < 900))
+    return redelivery.batch_intervals(sent, redelivery.offset_blocks(sent))
+
+
 @query
 def stored_dead_letters(spark, sf_dir):
     """K-9: the dead letters of a cold path run, read back and counted by reason and topic"""
