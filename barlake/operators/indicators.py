@@ -84,6 +84,34 @@ def window_aggregates(
     )
 
 
+def pane_aggregates(
+    ticks: DataFrame, width: str = "1 minute", slide: str = "10 seconds"
+) -> DataFrame:
+    """T-4 as two aggregates in a row, for streams in append mode: panes, then windows over panes.
+
+    A tick enters one pane, and a pane, not each of its ticks, enters the windows it lies in. The
+    width must be a multiple of the slide. ``ticks`` needs ``event_time``.
+    """
+    panes = (
+        ticks.groupBy("symbol", F.window("event_time", slide).alias("pane"))
+        .agg(
+            F.sum("price").alias("sum_price"),
+            F.count("price").alias("priced"),
+            F.sum(F.col("price") * F.col("quantity")).alias("sum_price_quantity"),
+            F.sum("quantity").alias("sum_quantity"),
+        )
+        .withColumn("pane_time", F.window_time("pane"))
+    )
+    sums = ["sum_price", "priced", "sum_price_quantity", "sum_quantity"]
+    return (
+        panes.groupBy("symbol", F.window("pane_time", width, slide).alias("w"))
+        .agg(*[F.sum(name).alias(name) for name in sums])
+        .withColumn("window_start", F.col("w.start"))
+        .withColumn("window_end", F.col("w.end"))
+        .select(*_window_columns())
+    )
+
+
 def feed_gaps(ticks: DataFrame, threshold_seconds: int = 120) -> DataFrame:
     """T-9: silences longer than the threshold, per symbol.
 

@@ -468,6 +468,12 @@ def statements() -> dict[str, str]:
         ),
         "hot_indicators": _sql("SELECT * FROM windows", TICKS, WINDOWS),
         "hot_indicators_stream": _sql("SELECT * FROM windows", TICKS, WINDOWS),
+        "settled_indicators_stream": _sql(
+            """SELECT * FROM windows
+               WHERE window_end <= (SELECT make_timestamp((max(trade_time) - 600000) * 1000) FROM ticks)""",
+            TICKS,
+            WINDOWS,
+        ),
         "daily_vwap": _sql(
             "SELECT symbol, fetch_date, steady(CASE WHEN sum(quantity) > 0 THEN"
             " sum(price * quantity) / sum(quantity) ELSE avg(price) END, 6) AS vwap"
@@ -487,6 +493,15 @@ def statements() -> dict[str, str]:
             " FROM events GROUP BY user_id"
             " HAVING epoch(TIMESTAMP '2024-01-31') - floor(epoch(max(ts))) > 3600"
         ),
+        # Events whose slot is closed when the stream ends; the newest of a user is silent once the clock
+        # has passed it by threshold and slot.
+        "silence_alerts": """
+            WITH e AS (SELECT 'U' || user_id AS symbol, epoch_us(ts) // 1000 AS ms FROM events),
+            closed AS (SELECT * FROM e WHERE (ms // 21600000 + 1) * 21600000 <= (SELECT max(ms) FROM e)),
+            n AS (SELECT *, lead(ms) OVER (PARTITION BY symbol ORDER BY ms) AS following FROM closed)
+            SELECT symbol, make_timestamp(ms * 1000) AS last_event, make_timestamp((ms + 21600000) * 1000) AS silent_after
+            FROM n WHERE following - ms > 21600000
+               OR (following IS NULL AND ms + 2 * 21600000 <= (SELECT max(ms) FROM e))""",
         "sma": _suppliers(
             "SELECT symbol, fetch_date, "
             + _named({f"sma_{n}": f"steady({_mean('close_price', n)}, 6)" for n in (5, 10, 20)})

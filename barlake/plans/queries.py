@@ -600,6 +600,18 @@ def hot_indicators_stream(spark, sf_dir):
     return without_zone(rounded(stored, "sma", "vwap"), "window_start", "window_end")
 
 
+@query
+def settled_indicators_stream(spark, sf_dir):
+    """T-3, T-4: panes and windows as two stateful aggregates, windows appended when complete"""
+    root = scratch_path(spark, "settled")
+    ticks = fx.event_columns(event_stream(spark, sf_dir)).withColumn("event_time", hot_path.event_time())
+    hot_path.start_settled_path(
+        hot_path.settled_indicators(ticks, "10 minutes"), f"{root}/indicators", f"{root}/checkpoint", None
+    ).awaitTermination()
+    stored = spark.read.schema(schemas.INDICATORS_DDL).parquet(f"{root}/indicators").drop("window_part")
+    return without_zone(rounded(stored, "sma", "vwap"), "window_start", "window_end")
+
+
 @query
 def daily_vwap(spark, sf_dir):
     """A-5 per day"""
@@ -633,6 +645,21 @@ def stale_feeds_stream(spark, sf_dir):
     return without_zone(spark.read.parquet(f"{root}/stale"), "last_event")
 
 
+@query
+def silence_alerts(spark, sf_dir):
+    """T-9 with state and timers: every silence of a user over six hours, once"""
+    root = scratch_path(spark, "silences")
+    ticks = event_stream(spark, sf_dir).select(
+        F.concat(F.lit("U"), F.col("user_id")).alias("symbol"),
+        F.col("ts").cast("timestamp").alias("event_time"),
+    )
+    freshness.write_alerts(
+        freshness.silence_alerts(ticks, 21_600, "0 seconds"), f"{root}/alerts", f"{root}/checkpoint", None
+    ).awaitTermination()
+    stored = spark.read.schema(freshness.ALERT_DDL).parquet(f"{root}/alerts")
+    return without_zone(stored, "last_event", "silent_after")
+
+
 @query
 def sma(spark, sf_dir):
     """W-6"""

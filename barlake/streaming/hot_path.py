@@ -11,7 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from barlake import schemas
 from barlake.functions.scalars import event_time
-from barlake.operators.indicators import window_aggregates
+from barlake.operators.indicators import pane_aggregates, window_aggregates
 from barlake.operators.quality import classify, valid_ticks
 from barlake.operators.upsert import merge_upsert
 from barlake.sources.jdbc import JdbcTarget, upsert_jdbc
@@ -38,6 +38,39 @@ def hot_indicators(
     return window_aggregates(ticks.withWatermark("event_time", watermark), width, slide)
 
 
+def settled_indicators(
+    ticks: DataFrame,
+    watermark: str = "1 minute",
+    width: str = "1 minute",
+    slide: str = "10 seconds",
+) -> DataFrame:
+    """T-3, T-4 in append mode: each window once, when the watermark has passed it.
+
+    Two stateful aggregates in a row: ticks are summed into panes, panes into windows. No tick is copied
+    into the windows it lies in, and no upsert is needed behind it; the price is
+    that a window shows up only when it is complete.
+    """
+    return pane_aggregates(ticks.withWatermark("event_time", watermark), width, slide)
+
+
+def start_settled_path(
+    indicators: DataFrame, path: str, checkpoint: str, interval: str | None = "10 seconds"
+) -> StreamingQuery:
+    """Append settled windows to a Parquet table partitioned by hour, each exactly once."""
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    part = F.date_format("window_start", GRAINS["hour"]).cast("int")
+    return (
+        indicators.withColumn("window_part", part)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("window_part")
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def upsert_batches(write: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
     """K-8: a ``foreachBatch`` function around an upsert by key.
 

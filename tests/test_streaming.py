@@ -80,6 +80,23 @@ def test_hot_path_over_several_batches_equals_batch(spark, folder):
     assert rows(rounded[0]) == rows(rounded[1])
 
 
+def test_settled_windows_over_several_batches_equal_batch(spark, folder):
+    data = sorted(random_ticks(6, 150, days=1), key=lambda t: t[3])
+    for piece in (data[:70], data[70:]):
+        send(ticks(spark, piece), f"{folder}/broker")
+    stream = messages.file_stream(spark, f"{folder}/broker", max_files_per_batch=1)
+    windows = hot_path.settled_indicators(hot_path.tick_stream(stream), "0 seconds")
+    hot_path.start_settled_path(windows, f"{folder}/settled", f"{folder}/checkpoint", None).awaitTermination()
+    stored = spark.read.parquet(f"{folder}/settled").drop("window_part")
+    newest = F.timestamp_millis(F.lit(BASE_MS + max(t[3] for t in data)))
+    expected = ind.sliding_indicators(ticks(spark, data)).filter(F.col("window_end") <= newest)
+    rounded = [
+        x.select(*expected.columns).withColumns({c: F.round(c, 9) for c in ("sma", "vwap")})
+        for x in (stored, expected)
+    ]
+    assert rows(rounded[0]) == rows(rounded[1]) and rounded[0].count() > 20
+
+
 def test_late_ticks_are_dropped_and_counted_once_per_window(spark, folder):
     broker = f"{folder}/broker"
     send(ticks(spark, [("A", 1.0, 1.0, 600_000, 0)]), broker)
@@ -120,6 +137,26 @@ def test_silent_symbols_are_reported(spark, folder):
     assert [(r.symbol, r.silent_seconds) for r in seen] == [("A", 300)]
 
 
+def alerts_of(spark, folder, pieces, **options):
+    for piece in pieces:
+        send(ticks(spark, piece), f"{folder}/broker")
+        stream = hot_path.tick_stream(messages.file_stream(spark, f"{folder}/broker", max_files_per_batch=1))
+        freshness.write_alerts(
+            freshness.silence_alerts(stream, **options), f"{folder}/alerts", f"{folder}/checkpoint", None
+        ).awaitTermination()
+    found = spark.read.schema(freshness.ALERT_DDL).parquet(f"{folder}/alerts").collect()
+    return sorted((r.symbol, round(r.last_event.timestamp() * 1000) - BASE_MS) for r in found)
+
+
+def test_each_silence_is_reported_once(spark, folder):
+    # A pauses once and goes on, B falls silent for good, C never pauses.
+    steady = [("C", 1.0, 1.0, t, 1000 + t) for t in range(0, 1_200_001, 100_000)]
+    first = [("A", 1.0, 1.0, 0, 0), ("B", 1.0, 1.0, 10_000, 1), *steady[:8]]
+    second = [("A", 1.0, 1.0, 650_000, 2), ("A", 1.0, 1.0, 740_000, 3), *steady[8:]]
+    got = alerts_of(spark, folder, [first, second], threshold_seconds=120, watermark="0 seconds")
+    assert got == [("A", 0), ("A", 740_000), ("B", 10_000)]
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         messages.kafka_stream(spark, "broker:9092", ["a", "b"])
