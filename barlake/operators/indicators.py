@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -267,46 +269,45 @@ def with_rsi(bars: DataFrame, n: int = 14, high: float = 70.0, low: float = 30.0
     )
 
 
+# How far a weight may grow inside one block of bars, as a power of ten; doubles reach 1e308.
+EMA_DIGITS = 200
+
+
 def with_ema(bars: DataFrame, n: int, column: str = "close_price") -> DataFrame:
     """W-12: exponential moving average, weight 2/(n+1), seeded with the first bar.
 
-    The recurrence is cut into blocks of bars. Inside a block it is folded over
-    the bars so far; the carry into a block is folded from the closing values of
-    the blocks before it. No fold is longer than a block or the list of blocks,
-    so a long series does not cost the square of its length.
+    A prefix scan on two levels, linear in the bars. Inside a block the average is a running sum of bars with
+    growing weights, scaled back at each bar. The blocks are as long as a double allows
+    (thousands of bars; a year has 366), so of the blocks before only the last one's closing average
+    still weighs anything: older bars count for less than 1e-200 of a price. A null price leaves the
+    average null from there on.
     """
-    block = 64
     alpha = 2.0 / (n + 1)
     decay = 1 - alpha
-    ordered = symbol_window()
+    name, ordered = f"ema_{n}", symbol_window()
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    complete = F.count(F.when(F.col(column).isNull(), 1)).over(so_far) == 0
+    if decay == 0:
+        return bars.withColumn(name, F.when(complete, F.col(column)))
+    block = max(1, int(EMA_DIGITS / -math.log10(decay)))
     numbered = bars.withColumn("_row", F.row_number().over(ordered) - 1).withColumns(
         {"_block": F.floor(F.col("_row") / block), "_offset": F.col("_row") % block}
     )
     # The first bar enters with full weight.
-    value = F.when(F.col("_row") == 0, F.col(column) / alpha).otherwise(F.col(column))
+    value = F.when(F.col("_row") == 0, F.col(column)).otherwise(F.col(column) * alpha)
     in_block = (
         Window.partitionBy("symbol", "_block")
         .orderBy("fetch_date")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    local = numbered.withColumn(
-        "_local",
-        F.aggregate(
-            F.collect_list(value).over(in_block),
-            F.lit(0.0),
-            lambda mean, bar: mean * decay + bar * alpha,
-        ),
-    )
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    grown = F.sum(value * F.pow(F.lit(1 / decay), F.col("_offset"))).over(in_block)
+    local = numbered.withColumn("_local", grown * F.pow(F.lit(decay), F.col("_offset")))
     closing = F.when(F.col("_offset") == block - 1, F.col("_local"))
-    carry = F.aggregate(
-        F.collect_list(closing).over(before),
-        F.lit(0.0),
-        lambda carried, closed: carried * decay**block + closed,
+    before = F.last(closing, ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    carried = F.coalesce(before, F.lit(0.0)) * F.pow(F.lit(decay), F.col("_offset") + 1)
+    return local.withColumn(name, F.when(complete, F.col("_local") + carried)).drop(
+        "_row", "_block", "_offset", "_local"
     )
-    return local.withColumn(
-        f"ema_{n}", F.col("_local") + carry * F.pow(F.lit(decay), F.col("_offset") + 1)
-    ).drop("_row", "_block", "_offset", "_local")
 
 
 def with_volume_anomaly(

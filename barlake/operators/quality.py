@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -275,15 +275,63 @@ def mismatches(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return joined.select(*keys, status.alias("status")).filter(F.col("status").isNotNull())
 
 
+def table_report(
+    df: DataFrame,
+    keys: list[str],
+    conditions: list[tuple[str, str, str, Column]],
+    coverage: tuple[DataFrame, str, str] | None = None,
+    timeliness: tuple[str, datetime | Column, int, str] | None = None,
+) -> DataFrame:
+    """Q-2..Q-5, Q-7 in one pass: row checks, key uniqueness, coverage and age.
+
+    Rows are folded by key before the shuffle, each group with its number of rows and of failures
+    of every check; all report rows come from one aggregate over the groups. ``coverage`` is
+    (dimension, one of the keys, level), ``timeliness`` (column, as of, largest age in seconds, level).
+    """
+    counted = [F.count(F.lit(1)).alias("_n")]
+    counted += [_failures(condition).alias(f"_c{i}") for i, (*_, condition) in enumerate(conditions)]
+    if timeliness is not None:
+        counted.append(F.max(timeliness[0]).alias("_newest"))
+    groups = df.groupBy(*keys).agg(*counted)
+    total, zero = F.coalesce(F.sum("_n"), F.lit(0)), F.lit(0).cast("bigint")
+    totals = [total.alias("_total"), F.coalesce(F.sum(F.col("_n") - 1), zero).alias("_surplus")]
+    totals += [F.coalesce(F.sum(f"_c{i}"), zero).alias(f"_c{i}") for i in range(len(conditions))]
+    none, rows = F.lit(None).cast("string"), []
+
+    def row(name: str, dimension: str, level: str, failed: Column, of: Column, detail: Column = none) -> None:
+        values = {"check_name": F.lit(name), "dimension": F.lit(dimension), "level": F.lit(level)}
+        values |= {"failed": failed.cast("bigint"), "total": of.cast("bigint"), "detail": detail}
+        rows.append(F.struct(*[value.alias(field) for field, value in values.items()]))
+
+    for i, (name, dimension, level, _) in enumerate(conditions):
+        row(name, dimension, level, F.col(f"_c{i}"), F.col("_total"))
+    row(f"unique_{'_'.join(keys)}", "uniqueness", "error", F.col("_surplus"), F.col("_total"))
+    if coverage is not None:
+        known, key, level = coverage
+        groups = groups.join(known.select(key, F.lit(True).alias("_known")).distinct(), key, "left")
+        totals.append(F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), zero).alias("_unknown"))
+        row(f"known_{key}", "accuracy", level, F.col("_unknown"), F.col("_total"))
+    if timeliness is not None:
+        at, as_of, max_age, level = timeliness
+        reference = as_of if isinstance(as_of, Column) else F.lit(as_of)
+        age = F.unix_seconds(reference.cast("timestamp")) - F.unix_seconds(F.col("_newest").cast("timestamp"))
+        totals.append(F.max("_newest").alias("_newest"))
+        late = F.coalesce((age > max_age).cast("bigint"), F.lit(1))
+        row(f"fresh_{at}", "timeliness", level, late, F.lit(1), F.concat(F.lit("age_seconds="), age))
+    return groups.agg(*totals).select(F.inline(F.array(*rows)))
+
+
 def bars_report(bars: DataFrame) -> DataFrame:
     """Row checks and key uniqueness of a batch of bars."""
-    return _count_report(bars, bar_conditions()).unionByName(
-        uniqueness_report(bars, ["symbol", "fetch_date"])
-    )
+    return table_report(bars, ["symbol", "fetch_date"], bar_conditions())
 
 
 class QualityGateError(RuntimeError):
-    """Raised when an error-level check failed."""
+    """Raised when an error-level check failed; ``failed`` has the report rows."""
+
+    def __init__(self, message: str, failed: list[Row]):
+        super().__init__(message)
+        self.failed = failed
 
 
 def gate(report: DataFrame) -> DataFrame:
@@ -294,5 +342,5 @@ def gate(report: DataFrame) -> DataFrame:
     failed = report.filter((F.col("level") == "error") & (F.col("failed") > 0)).collect()
     if failed:
         names = ", ".join(f"{r['check_name']} ({r['failed']} of {r['total']})" for r in failed)
-        raise QualityGateError(f"quality gate closed: {names}")
+        raise QualityGateError(f"quality gate closed: {names}", failed)
     return report

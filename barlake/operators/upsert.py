@@ -47,13 +47,55 @@ def apply_changes(
     op: str = "op",
     delete: str = "d",
 ) -> DataFrame:
-    """D-11: the newest change of each key wins; deletes remove the row."""
+    """D-11: the newest change of each key wins; deletes remove the row. Null is a key like others."""
     latest = keep_latest(changes, keys, F.col(version))
-    kept = target.join(latest.select(*keys), keys, "left_anti")
+    kept = null_safe_join(target, latest, keys, "left_anti")
     alive = latest.filter(F.col(op) != delete)
     return kept.unionByName(alive.select(*target.columns)).select(*target.columns)
 
 
+def merge_statement(
+    target: str, source: str, keys: list[str], columns: list[str], partition_cols: tuple[str, ...] = ()
+) -> str:
+    """K-5 as one MERGE, for tables of a catalog that can update rows.
+
+    Null is a key like others. Naming the partition columns, which follow from the key, lets the
+    table prune what it reads.
+    """
+    quoted = lambda name: "`" + name.replace("`", "``") + "`"
+    matched = [f"t.{quoted(c)} <=> s.{quoted(c)}" for c in (*keys, *partition_cols)]
+    updates = [f"t.{quoted(c)} = s.{quoted(c)}" for c in columns if c not in keys]
+    names = ", ".join(quoted(c) for c in columns)
+    values = ", ".join(f"s.{quoted(c)}" for c in columns)
+    update = f" WHEN MATCHED THEN UPDATE SET {', '.join(updates)}" if updates else ""
+    return (
+        f"MERGE INTO {target} t USING {source} s ON {' AND '.join(matched)}{update}"
+        f" WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
+    )
+
+
+def supports_merge(spark: SparkSession, table: str) -> bool:
+    """Whether the catalog's table takes row-level changes; file tables do not."""
+    provider = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'").first()
+    plain = {"parquet", "orc", "csv", "json", "text", "avro", "hive"}
+    return provider is not None and provider["data_type"].lower() not in plain
+
+
+def merge_table(
+    spark: SparkSession, table: str, source: DataFrame, keys: list[str], partition_cols: tuple[str, ...] = ()
+) -> None:
+    """K-5 into a catalog table that can; raises for one that cannot."""
+    if not supports_merge(spark, table):
+        raise ValueError(f"{table} takes no MERGE; use merge_upsert on its folder")
+    check_unique(source, keys)
+    view = f"merge_source_{uuid.uuid4().hex}"
+    source.createOrReplaceTempView(view)
+    try:
+        spark.sql(merge_statement(table, view, keys, source.columns, partition_cols))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """A semi or anti join for which null equals null."""
     side = right.select(*[F.col(c).alias(f"__{c}") for c in keys])

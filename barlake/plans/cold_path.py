@@ -88,6 +88,19 @@ class Lake:
     def assets(self) -> str:
         return self._under("silver/dim_assets")
 
+    @property
+    def star(self) -> str:
+        """Where the tables of the star schema lie."""
+        return self._under("silver")
+
+    @property
+    def dim_date(self) -> str:
+        return self._under("silver/dim_date")
+
+    @property
+    def alerts(self) -> str:
+        return self._under("gold/stale_feeds")
+
     @property
     def gold(self) -> str:
         return self._under("gold/daily_prices")
@@ -96,6 +109,10 @@ class Lake:
     def indicators(self) -> str:
         return self._under("gold/crypto_indicators")
 
+    @property
+    def settled_indicators(self) -> str:
+        return self._under("gold/settled_indicators")
+
     @property
     def predictions(self) -> str:
         return self._under("gold/daily_predictions")

@@ -4,6 +4,7 @@
     spark-submit barlake/plans/jobs.py cold-path --root s3a://bucket/lake --servers broker:9092
     spark-submit barlake/plans/jobs.py hot-path  --root s3a://bucket/lake --servers broker:9092
     spark-submit barlake/plans/jobs.py maintain  --root s3a://bucket/lake
+    spark-submit barlake/plans/jobs.py freshness --root s3a://bucket/lake --servers broker:9092
     spark-submit barlake/plans/jobs.py predict   --root s3a://bucket/lake --model-version v1
 
 ``--messages`` reads messages from a folder of JSON files instead of a broker.
@@ -18,14 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake import schemas
-from barlake.operators import maintenance
+from barlake.operators import accounting, maintenance, redelivery
 from barlake.operators.bars import with_fetch_date
 from barlake.plans import cold_path, predictions
 from barlake.session import build_session, pin_session
 from barlake.sources import dimensions, messages, tables
-from barlake.sources.jdbc import JdbcTarget, upsert_jdbc
+from barlake.sources.jdbc import JdbcTarget, create_serving_tables, upsert_jdbc
 from barlake.storage import has_files
-from barlake.streaming import hot_path
+from barlake.streaming import freshness, hot_path
 
 GOLD_KEYS = ["symbol", "fetch_date"]
 
@@ -41,9 +42,14 @@ def parser() -> argparse.ArgumentParser:
     arguments.add_argument("--jdbc-url", help="serving database; without it serving is Parquet")
     arguments.add_argument("--jdbc-driver", default="org.postgresql.Driver")
     arguments.add_argument("--jdbc-dialect", default="postgresql")
-    arguments.add_argument("--interval", default="10 seconds", help="hot-path trigger")
+    arguments.add_argument("--jdbc-user")
+    arguments.add_argument("--jdbc-password-file", help="file that holds the password")
+    arguments.add_argument("--database", help="catalog database to declare the star schema in")
+    arguments.add_argument("--interval", default="10 seconds", help="trigger of the streams")
+    arguments.add_argument("--silence", type=int, default=120, help="seconds without a tick")
+    arguments.add_argument("--settled", action="store_true", help="hot path: append complete windows")
     arguments.add_argument("--model-version", default="v1", help="a new name for each training")
-    arguments.add_argument("--drain", action="store_true", help="hot path: stop when drained")
+    arguments.add_argument("--drain", action="store_true", help="streams: stop when drained")
     return arguments
 
 
@@ -58,18 +64,39 @@ def _stream(spark: SparkSession, options, starting_offsets: str) -> DataFrame:
 def _database(options) -> JdbcTarget | None:
     if not options.jdbc_url:
         return None
-    return JdbcTarget(options.jdbc_url, options.jdbc_driver, options.jdbc_dialect)
+    password = None
+    if options.jdbc_password_file:
+        with open(options.jdbc_password_file) as file:
+            password = file.read().rstrip("\n")
+    return JdbcTarget(
+        options.jdbc_url, options.jdbc_driver, options.jdbc_dialect, options.jdbc_user, password
+    )
 
 
 def setup(spark: SparkSession, lake: cold_path.Lake, options) -> None:
-    """Seed the asset dimension from the symbols config.
+    """Declare the tables, write the date dimension, seed the assets from the symbols config.
 
     Bars of a symbol that was unknown so far reach the serving table with the
-    next sync, hence all months become due.
+    next sync, hence all months become due. With a database the star schema is declared over the
+    lake's folders; with a serving database its tables are created there. Repeating it is harmless.
     """
+    if options.database:
+        tables.create_star_schema(spark, options.database, lake.star)
+    database = _database(options)
+    if database is not None:
+        create_serving_tables(spark, database)
+    if not has_files(spark, lake.dim_date):
+        tables.replace_partitions(dimensions.generate_dim_date(spark), lake.dim_date, ["year"])
     assets = dimensions.read_symbols(spark, options.symbols)
     tables.seed(assets, lake.assets, schemas.DIM_ASSETS_DDL, ["symbol"], ["asset_type"])
     cold_path.mark_due(cold_path.stored_fact(spark, lake), lake)
+    _recover(spark, lake, options)
+
+
+def _recover(spark: SparkSession, lake: cold_path.Lake, options) -> None:
+    if options.database:
+        tables.create_star_schema(spark, options.database, lake.star)
+        tables.recover_star_schema(spark, options.database, lake.star)
 
 
 def cold(spark: SparkSession, lake: cold_path.Lake, options) -> None:
@@ -84,20 +111,41 @@ def cold(spark: SparkSession, lake: cold_path.Lake, options) -> None:
         options.topics.split(","),
         write,
     )
+    _recover(spark, lake, options)
+    accounting.load_report(spark, lake.load_counts, lake.dropped_symbols).filter(
+        "dropped_bars > 0"
+    ).orderBy(F.desc("batch_id"), "step", "reason").show(20, truncate=False)
 
 
 def hot(spark: SparkSession, lake: cold_path.Lake, options) -> None:
+    ticks = hot_path.tick_stream(_stream(spark, options, "latest"))
+    interval = None if options.drain else options.interval
+    if options.settled:
+        hot_path.start_settled_path(
+            hot_path.settled_indicators(ticks),
+            lake.settled_indicators,
+            lake.checkpoint("settled_path"),
+            interval,
+        ).awaitTermination()
+        return
     database = _database(options)
     write = (
         hot_path.parquet_writer(lake.indicators)
         if database is None
         else hot_path.jdbc_writer(database, "crypto_indicators")
     )
-    ticks = hot_path.tick_stream(_stream(spark, options, "latest"))
     hot_path.start_hot_path(
-        hot_path.hot_indicators(ticks),
-        write,
-        lake.checkpoint("hot_path"),
+        hot_path.hot_indicators(ticks), write, lake.checkpoint("hot_path"), interval
+    ).awaitTermination()
+
+
+def fresh(spark: SparkSession, lake: cold_path.Lake, options) -> None:
+    """Append an alert for every symbol that falls silent, once per silence."""
+    ticks = hot_path.tick_stream(_stream(spark, options, "latest"))
+    freshness.write_alerts(
+        freshness.silence_alerts(ticks, options.silence),
+        lake.alerts,
+        lake.checkpoint("freshness"),
         None if options.drain else options.interval,
     ).awaitTermination()
 
@@ -128,6 +176,9 @@ def maintain(spark: SparkSession, lake: cold_path.Lake, options) -> None:
         (path, "compact", lambda p=path, c=columns, d=ddl: step(p, c, d))
         for path, (columns, ddl) in layouts.items()
     ]
+    if has_files(spark, lake.offsets):
+        offsets = lambda: redelivery.compact_intervals(spark, lake.offsets)
+        steps.append((lake.offsets, "merge intervals", offsets))
     done = maintenance.maintain(spark, steps)
     done.show(truncate=False)
     # One row per table.
@@ -150,6 +201,7 @@ JOBS = {
     "hot-path": hot,
     "maintain": maintain,
     "predict": predict,
+    "freshness": fresh,
 }
 
 

@@ -394,6 +394,13 @@ def statements() -> dict[str, str]:
             " GROUP BY ALL HAVING count(*) > 1"
         ),
         "quality_report": _suppliers(QUALITY),
+        "closed_gate": _suppliers(
+            """SELECT check_name, failed, total, CAST(0 AS BIGINT) AS stored_bars FROM (
+                 SELECT unnest(['open_in_range', 'close_in_range', 'volume_not_negative']) AS check_name,
+                        unnest([count(*) FILTER (day(fetch_date) = 5), count(*) FILTER (day(fetch_date) = 5),
+                                count(*) FILTER (day(fetch_date) = 6)]) AS failed,
+                        unnest([count(*), count(*), count(*)]) AS total FROM sbars) WHERE failed > 0"""
+        ),
         "invalid_dates": (
             "SELECT t AS date_text, count(*) AS row_count FROM (SELECT year(l_shipdate) || '-' ||"
             " lpad(CAST(month(l_shipdate) + 3 AS VARCHAR), 2, '0') || '-' ||"
@@ -689,6 +696,13 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT 'gold', 1, 'no_asset', count(*), count(*) FILTER (NOT listed),
                    count(DISTINCT o_custkey) FILTER (NOT listed) FROM f
             UNION ALL SELECT 'gold', 1, 'no_date', count(*), 0, 0 FROM f""",
+        "catalog_fact": _events(FACT_SELECT, RETURNS),
+        "stored_vwap": _sql(
+            f"SELECT symbol, {DATE_KEY} AS date_key, steady(CASE WHEN sum(quantity) > 0 THEN"
+            " sum(price * quantity) / sum(quantity) ELSE avg(price) END, 6) AS vwap"
+            " FROM ticks GROUP BY symbol, fetch_date",
+            TICKS,
+        ),
         "redelivered_fact": _events(FACT_SELECT, RETURNS),
         "offset_intervals": _sql(
             """SELECT topic, partition, min(seq) AS first_offset, max(seq) AS last_offset FROM (

@@ -6,6 +6,7 @@ rounded, so that another engine can be compared row by row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -339,14 +340,34 @@ def quality_report(spark, sf_dir):
     calendar = dimensions.generate_dim_date(spark).select(
         F.to_date("full_date").alias("fetch_date")
     )
-    return (
-        quality.bars_report(bars)
-        .unionByName(quality.coverage_report(bars, calendar, "fetch_date"))
-        .unionByName(
-            quality.timeliness_report(
-                bars, "fetch_date", F.lit("2001-11-05 00:00:00").cast("timestamp"), 86_400
-            )
-        )
+    return quality.table_report(
+        bars,
+        ops.BAR_KEYS,
+        quality.bar_conditions(),
+        (calendar, "fetch_date", "warn"),
+        ("fetch_date", F.lit("2001-11-05 00:00:00").cast("timestamp"), 86_400, "warn"),
+    )
+
+
+@query
+def closed_gate(spark, sf_dir):
+    """Q-8: what closes the gate before a load, and what the table holds behind it"""
+    lake = cold_path.Lake(scratch_path(spark, "lake"))
+    day = F.dayofmonth("fetch_date")
+    bars = supplier_bars(spark, sf_dir).withColumns(
+        {
+            "low_price": F.when(day == 5, F.col("high_price") * 2).otherwise(F.col("low_price")),
+            "volume": F.when(day == 6, -1).otherwise(F.col("volume")),
+        }
+    )
+    try:
+        cold_path.upsert_bars(spark, lake, bars)
+        failed = []
+    except quality.QualityGateError as error:
+        failed = error.failed  # a row per check
+    report = spark.createDataFrame(failed, quality.REPORT_DDL).select("check_name", "failed", "total")
+    return report.crossJoin(
+        cold_path.stored_fact(spark, lake).agg(F.count(F.lit(1)).alias("stored_bars"))
     )
 
 
@@ -690,10 +711,7 @@ def volatility(spark, sf_dir):
 @query
 def price_ratios(spark, sf_dir):
     """W-10: close against SMA and VWAP"""
-    ticks = fx.event_ticks(spark, sf_dir)
-    bars = ops.daily_ohlcv(ticks).join(
-        ind.daily_vwap(ticks, ops.trade_date()), ops.BAR_KEYS, "inner"
-    )
+    bars = ops.bars_with_vwap(fx.event_ticks(spark, sf_dir))
     names = ["price_sma_5_ratio", "price_vwap_ratio"]
     frame = ind.with_price_ratios(bars, 5, "vwap")
     return rounded(frame.select("symbol", "fetch_date", *names), *names)
@@ -983,6 +1001,33 @@ def redelivered_fact(spark, sf_dir):
     )
 
 
+@query
+def stored_vwap(spark, sf_dir):
+    """A-5, W-10: VWAP of stored bars that took in their ticks in two loads"""
+    lake = cold_path.Lake(scratch_path(spark, "lake"))
+    sent = fx.tick_messages(spark, sf_dir)
+    load = cold_path.silver_batch(lake, cold_path.TOPICS)
+    for batch in (0, 1):
+        load(sent.filter((F.col("offset") % 1000 < 500) == (batch == 0)), batch)
+    bars = cold_path.stored_fact(spark, lake).select("symbol", "date_key", ops.vwap().alias("vwap"))
+    return rounded(bars, "vwap")
+
+
+@query
+def catalog_fact(spark, sf_dir):
+    """K-3, S-8: the declared fact table after two loads into its folder"""
+    lake = cold_path.Lake(scratch_path(spark, "lake"))
+    database = f"star_{uuid.uuid4().hex}"
+    tables.create_star_schema(spark, database, lake.star)
+    sent = fx.tick_messages(spark, sf_dir)
+    load = cold_path.silver_batch(lake, cold_path.TOPICS)
+    for batch in (0, 1):
+        load(sent.filter((F.col("offset") % 1000 < 500) == (batch == 0)), batch)
+        tables.recover_star_schema(spark, database, lake.star)
+    fact = tables.read_table(spark, f"{database}.fact_daily_prices")
+    return rounded(fact.select(*ops.FACT_COLUMNS), "daily_return", "price_range")
+
+
 @query
 def offset_intervals(spark, sf_dir):
     """T-8: the intervals that stand for a batch with gaps"""

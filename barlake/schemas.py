@@ -43,11 +43,11 @@ FACT_DDL = (
     " close_price DOUBLE, volume BIGINT, daily_return DOUBLE, price_range DOUBLE"
 )
 
-# The stored fact also keeps what later ticks of the same day merge with, the
-# last batch a bar took in, and the partition key.
+# The stored fact also keeps what later ticks of the same day merge with (the sums also make
+# the VWAP), the last batch a bar took in, and the partition key.
 FACT_TABLE_DDL = (
     f"{FACT_DDL}, volume_exact DOUBLE, open_key DECIMAL(38,0), close_key DECIMAL(38,0),"
-    " tick_count BIGINT, batch_id BIGINT, month_key INT"
+    " tick_count BIGINT, price_quantity DOUBLE, price_sum DOUBLE, batch_id BIGINT, month_key INT"
 )
 
 GOLD_DDL = (

@@ -27,6 +27,23 @@ def create_star_schema(spark: SparkSession, database: str, location: str | None
         )
 
 
+def recover_partitions(spark: SparkSession, database: str, table: str) -> None:
+    """Tell the catalog which partitions the folder has now, and forget what was cached of it.
+
+    Jobs write folders; a table that was declared over one sees new partitions only after this.
+    """
+    name = f"{database}.{table}"
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
+def recover_star_schema(spark: SparkSession, database: str, location: str) -> None:
+    """``recover_partitions`` for the tables whose folder exists."""
+    for table in STAR_TABLES:
+        if has_files(spark, f"{location.rstrip('/')}/{table}"):
+            recover_partitions(spark, database, table)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """S-8: scan by catalog name."""
     return spark.read.table(name)

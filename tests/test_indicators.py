@@ -126,3 +126,22 @@ def test_base_time(spark):
     df = ticks(spark, [("A", 1.0, 1.0, 5_000, 0)])
     (window,) = ind.sliding_indicators(df, 10, 10).collect()
     assert window.window_start.timestamp() * 1000 == BASE_MS or window.window_end is not None
+
+
+def test_ema_over_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ind, "EMA_DIGITS", 16)
+    closes = [100 + (i * 37) % 23 for i in range(400)]
+    for n in (2, 5, 20):
+        got = ind.with_ema(bar_series(spark, closes), n).orderBy("i").collect()
+        mean, expected = closes[0], []
+        for i, close in enumerate(closes):
+            mean = close if i == 0 else mean + (close - mean) * 2 / (n + 1)
+            expected.append(mean)
+        assert [r[f"ema_{n}"] for r in got] == pytest.approx(expected, rel=1e-12)
+
+
+def test_ema_of_length_one_and_after_a_null(spark):
+    assert [r.ema_1 for r in ind.with_ema(bar_series(spark, [3, 1, 2]), 1).orderBy("i").collect()] == [3.0, 1.0, 2.0]
+    bars = bar_series(spark, [3, 1, 2, 4]).withColumn("close_price", F.when(F.col("close_price") != 2, F.col("close_price")))
+    got = [r.ema_3 for r in ind.with_ema(bars, 3).orderBy("i").collect()]
+    assert got == [3.0, 2.0, None, None]

@@ -117,3 +117,25 @@ def test_null_partitions_are_kept_whatever_finds_them(spark, folder, monkeypatch
     target = spark.createDataFrame([("a", 1, None, 1), ("b", 1, "x", None), ("c", 1, "x", 1)], two)
     source = spark.createDataFrame([("z", 1, None, 1), ("y", 1, "x", None)], two)
     assert {r.k for r in upsert.touched_rows(target, source, ["p", "q"]).collect()} == {"a", "b"}
+
+
+def test_merge_statement_and_who_takes_it(spark):
+    statement = upsert.merge_statement("db.t", "src", ["symbol", "a`b"], ["symbol", "a`b", "volume"], ("month_key",))
+    assert statement == (
+        "MERGE INTO db.t t USING src s ON t.`symbol` <=> s.`symbol` AND t.`a``b` <=> s.`a``b`"
+        " AND t.`month_key` <=> s.`month_key` WHEN MATCHED THEN UPDATE SET t.`volume` = s.`volume`"
+        " WHEN NOT MATCHED THEN INSERT (`symbol`, `a``b`, `volume`) VALUES (s.`symbol`, s.`a``b`, s.`volume`)"
+    )
+    spark.sql("CREATE TABLE IF NOT EXISTS plain_rows (symbol STRING) USING parquet")
+    try:
+        assert not upsert.supports_merge(spark, "plain_rows")
+        with pytest.raises(ValueError, match="merge_upsert"):
+            upsert.merge_table(spark, "plain_rows", spark.table("plain_rows"), ["symbol"])
+    finally:
+        spark.sql("DROP TABLE plain_rows")
+
+
+def test_changes_of_a_null_key(spark):
+    target = spark.createDataFrame([(None, 1), ("A", 2)], "symbol string, volume int")
+    changes = spark.createDataFrame([(None, 9, 1, "u"), ("A", 0, 1, "d")], "symbol string, volume int, version int, op string")
+    assert upsert.apply_changes(target, changes, ["symbol"]).collect() == [(None, 9)]
