@@ -6,13 +6,22 @@ row appeared and disappeared; ``valid_to`` is null while the row is current.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.operators.upsert import complete_pending, merge_upsert, touched_rows
-from barlake.sources.tables import read_parquet_or_empty
+from barlake.operators.maintenance import content_hash
+from barlake.operators.upsert import (
+    complete_pending,
+    discard_staging,
+    merge_upsert,
+    staged_path,
+    touched_rows,
+)
+from barlake.sources.tables import read_parquet_or_empty, replace_partitions
+from barlake.storage import has_files, path_exists, remove_tree, rename
 
 FROM, TO = "valid_from", "valid_to"
 
@@ -149,6 +158,56 @@ def union_layouts(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+LAYOUT = "layout"
+
+
+def complete_rewrite(spark: SparkSession, old_path: str, new_path: str, partition_cols: list[str]) -> bool:
+    """Finish a rewrite that died after staging; one that died before leaves nothing behind.
+
+    The staged rows go last, so however often it dies, the old folder is never read again once they are whole.
+    """
+    staged = staged_path(new_path, LAYOUT)
+    whole = path_exists(spark, f"{staged}/_SUCCESS")
+    if whole:
+        replace_partitions(spark.read.parquet(staged), new_path, partition_cols)
+        remove_tree(spark, old_path)
+    discard_staging(spark, new_path, LAYOUT)
+    return whole
+
+
+def rewrite_layout(
+    spark: SparkSession,
+    old_path: str,
+    new_path: str,
+    partition_cols: list[str],
+    old_ddl: str,
+    new_ddl: str,
+    convert: Callable[[DataFrame], DataFrame],
+) -> bool:
+    """D-8: move the rows of a folder with an old layout into one partitioned anew, and drop the old one.
+
+    ``convert`` gives old rows the columns of the new layout; columns it does not give are null. Rows of
+    the new folder stay: the partitions that old rows fall into are staged whole, compared with
+    what they were made from, and replaced. Gives whether there was anything to move.
+    """
+    if complete_rewrite(spark, old_path, new_path, partition_cols) or not has_files(spark, old_path):
+        return False
+    new = read_parquet_or_empty(spark, new_path, new_ddl)
+    moved = convert(spark.read.schema(old_ddl).parquet(old_path))
+    moved = new.limit(0).unionByName(moved, allowMissingColumns=True)
+    moved = moved.select(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in new.columns])
+    both = touched_rows(new, moved, partition_cols).unionByName(moved)
+    # Staged without partitions of its own; compared before its marker counts.
+    staging = f"{staged_path(new_path, LAYOUT)}-unchecked"
+    both.write.mode("overwrite").parquet(staging)
+    copied = spark.read.schema(new.schema).parquet(staging)
+    if content_hash(copied) != content_hash(both):
+        discard_staging(spark, new_path, LAYOUT)
+        raise RuntimeError(f"the staged copy of {old_path} differs from its source")
+    rename(spark, staging, staged_path(new_path, LAYOUT))
+    return complete_rewrite(spark, old_path, new_path, partition_cols)
+
+
 def drop_columns(df: DataFrame, *names: str) -> DataFrame:
     """D-7: a dropped column is left out on read; the files stay as they are."""
     return df.drop(*names)

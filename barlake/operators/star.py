@@ -46,5 +46,9 @@ def bars_without_date(bars: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def federated_join(lake: DataFrame, remote: DataFrame, key: str) -> DataFrame:
-    """J-6: lake rows with the columns of a table read over JDBC."""
+    """J-6: lake rows with the columns of a table read over JDBC.
+
+    An ordinary join. Only what Spark's JDBC source pushes down (columns and filters) runs
+    on the other side.
+    """
     return lake.join(remote, key, "inner")

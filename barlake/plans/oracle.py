@@ -469,12 +469,33 @@ def statements() -> dict[str, str]:
             " CASE WHEN month_key >= 199901 THEN 'feed' END AS source FROM keyed",
             KEYED,
         ),
+        "rewritten_layout": _suppliers(
+            "SELECT symbol, date_key, volume, month_key,"
+            " CASE WHEN month_key >= 199901 THEN 'feed' END AS source,"
+            " 1 AS runs_that_moved, FALSE AS old_folder_left FROM keyed",
+            KEYED,
+        ),
+        "described_fact": """
+            SELECT CAST(position AS INTEGER) AS position, col_name, data_type,
+                   CASE WHEN col_name IN ('daily_return', 'price_range', 'open_key', 'close_key', 'tick_count',
+                                          'price_quantity', 'price_sum', 'batch_id') THEN 1.0 ELSE 0.0 END::DOUBLE AS null_rate
+            FROM (SELECT unnest(range(16)) AS position, unnest(['symbol', 'date_key', 'open_price', 'high_price',
+                    'low_price', 'close_price', 'volume', 'daily_return', 'price_range', 'volume_exact', 'open_key',
+                    'close_key', 'tick_count', 'price_quantity', 'price_sum', 'batch_id']) AS col_name,
+                  unnest(['string', 'int', 'double', 'double', 'double', 'double', 'bigint', 'double', 'double',
+                    'double', 'decimal(38,0)', 'decimal(38,0)', 'bigint', 'double', 'double', 'bigint']) AS data_type
+                  UNION ALL SELECT 16, 'month_key', 'int') WHERE (SELECT count(*) FROM lineitem) > 0""",
         "seeded_assets": (
             "SELECT 'P' || p_partkey AS symbol, p_name AS name, lower(p_type) AS asset_type,"
             " 'USD' AS currency FROM part"
         ),
         "hot_indicators": _sql("SELECT * FROM windows", TICKS, WINDOWS),
         "hot_indicators_stream": _sql("SELECT * FROM windows", TICKS, WINDOWS),
+        "late_windows": _sql(
+            "SELECT *, TRUE AS late_ticks_noticed FROM windows",
+            TICKS.replace("FROM events)", "FROM events WHERE NOT (day(ts) < 15 AND event_id % 20 = 0))"),
+            WINDOWS,
+        ),
         "settled_indicators_stream": _sql(
             """SELECT * FROM windows
                WHERE window_end <= (SELECT make_timestamp((max(trade_time) - 600000) * 1000) FROM ticks)""",
@@ -648,8 +669,14 @@ def statements() -> dict[str, str]:
             )
             for name, label in (("volatility", "next_range"), ("close", "next_close"))
         },
+        # Forecast and outcome are columns of one row, so no join is needed.
         "forecast_vs_actual": _suppliers(
-            "SELECT * FROM compared", SUPPLIER_RETURNS, PREDICTIONS, COMPARED
+            "SELECT CAST(fetch_date AS TIMESTAMP) AS time, symbol, CASE WHEN r > 0 THEN 1 ELSE 0 END AS"
+            " predicted_direction, CASE WHEN r > 0 THEN 0.6::DOUBLE ELSE 0.4::DOUBLE END AS probability,"
+            " steady(close_price, 6) AS actual_close,"
+            " CASE WHEN close_price > prev_close THEN 1 ELSE 0 END AS actual_direction"
+            f" FROM (SELECT *, lag(daily_return) {_TIED}) AS r FROM srets) WHERE day(fetch_date) % 5 <> 0",
+            SUPPLIER_RETURNS,
         ),
         "forecast_vs_actual_panel": _suppliers(
             "SELECT CAST(fetch_date AS TIMESTAMP) AS time, symbol, predicted_direction, probability,"

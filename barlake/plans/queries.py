@@ -25,7 +25,7 @@ from barlake.plans import fixtures as fx
 from barlake.plans import predictions
 from barlake.session import pin_session
 from barlake.sources import dimensions, messages, tables, vendors
-from barlake.storage import scratch_path
+from barlake.storage import path_exists, scratch_path
 from barlake.streaming import freshness, hot_path, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -556,9 +556,11 @@ def orphan_partitions(spark, sf_dir):
     )
 
 
-@query
-def evolved_layout(spark, sf_dir):
-    """D-7, D-8: old files without a column and under another partitioning"""
+LAYOUT_DDL = f"{KEYED_DDL}, source STRING, year INT"
+
+
+def two_layouts(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Folders of bars: older ones by month and without a column, newer ones by year."""
     root = scratch_path(spark, "layout")
     bars = keyed_bars(spark, sf_dir)
     tables.append(bars.filter(F.col("month_key") < 199901), f"{root}/by_month", ["month_key"])
@@ -566,13 +568,50 @@ def evolved_layout(spark, sf_dir):
         {"year": F.floor(F.col("month_key") / 100).cast("int"), "source": F.lit("feed")}
     )
     tables.append(newer, f"{root}/by_year", ["year"])
+    return f"{root}/by_month", f"{root}/by_year"
+
+
+@query
+def evolved_layout(spark, sf_dir):
+    """D-7, D-8: old files without a column and under another partitioning"""
+    by_month, by_year = two_layouts(spark, sf_dir)
     both = hist.union_layouts(
-        spark.read.schema(KEYED_DDL).parquet(f"{root}/by_month"),
-        spark.read.schema(f"{KEYED_DDL}, source STRING, year INT").parquet(f"{root}/by_year"),
+        spark.read.schema(KEYED_DDL).parquet(by_month),
+        spark.read.schema(LAYOUT_DDL).parquet(by_year),
     )
     return hist.drop_columns(both, "year")
 
 
+@query
+def rewritten_layout(spark, sf_dir):
+    """D-8: the older folder moved into the newer one, by a second run nothing more"""
+    by_month, by_year = two_layouts(spark, sf_dir)
+    year = F.floor(F.col("month_key") / 100).cast("int")
+    moved = [
+        hist.rewrite_layout(
+            spark, by_month, by_year, ["year"], KEYED_DDL, LAYOUT_DDL, lambda old: old.withColumn("year", year)
+        )
+        for _ in range(2)
+    ]
+    stored = spark.read.schema(LAYOUT_DDL).parquet(by_year)
+    return hist.drop_columns(stored, "year").withColumns(
+        {"runs_that_moved": F.lit(sum(moved)), "old_folder_left": F.lit(path_exists(spark, by_month))}
+    )
+
+
+@query
+def described_fact(spark, sf_dir):
+    """D-7: the schema of a stored table, with the null rate of each of its columns"""
+    lake = cold_path.Lake(scratch_path(spark, "lake"))
+    bars = ops.with_key_of_date(supplier_bars(spark, sf_dir)).withColumn(
+        "month_key", month_key(F.col("date_key"))
+    )
+    tables.append(bars.drop("fetch_date"), lake.fact, ["month_key"])
+    stored = cold_path.stored_fact(spark, lake)
+    rates = quality.completeness(stored, stored.columns)
+    return tables.describe(stored).join(rates, F.col("col_name") == F.col("column_name")).drop("column_name")
+
+
 @query
 def seeded_assets(spark, sf_dir):
     """K-3, K-4, K-2, S-8: seeding twice adds nothing"""
@@ -621,6 +660,38 @@ def hot_indicators_stream(spark, sf_dir):
     return without_zone(rounded(stored, "sma", "vwap"), "window_start", "window_end")
 
 
+@query
+def late_windows(spark, sf_dir):
+    """T-3, T-5, T-6: three batches on a timer, the last one behind the watermark and noticed"""
+    root = scratch_path(spark, "late")
+    sent = fx.tick_messages(spark, sf_dir)
+    early, late = F.dayofmonth("timestamp") < 15, F.col("offset") % 20 == 0
+    for part in (early & ~late, ~early, early & late):
+        sent.filter(part).coalesce(1).write.mode("append").json(f"{root}/broker")
+    ticks = hot_path.tick_stream(messages.file_stream(spark, f"{root}/broker", max_files_per_batch=1))
+    dropped = hot_path.LateRows()
+    spark.streams.addListener(dropped)
+    try:
+        running = hot_path.start_hot_path(
+            hot_path.hot_indicators(ticks),
+            hot_path.parquet_writer(f"{root}/indicators", "day"),
+            f"{root}/checkpoint",
+            interval="1 second",
+        )
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
+        # Progress reaches the listener a little later than the rows reach the table.
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(dropped)
+    noticed = dropped.dropped.get(str(running.id), 0) > 0
+    stored = spark.read.schema(schemas.INDICATORS_DDL).parquet(f"{root}/indicators").drop("window_part")
+    windows = without_zone(rounded(stored, "sma", "vwap"), "window_start", "window_end")
+    return windows.withColumn("late_ticks_noticed", F.lit(noticed))
+
+
 @query
 def settled_indicators_stream(spark, sf_dir):
     """T-3, T-4: panes and windows as two stateful aggregates, windows appended when complete"""

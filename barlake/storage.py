@@ -26,6 +26,12 @@ def remove_tree(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop_path, True)
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, hadoop_path = _file_system(spark, old)
+    if not fs.rename(hadoop_path, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"could not rename {old} to {new}")
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether the folder holds at least one data file, at any depth."""
     if not path_exists(spark, path):

@@ -1,6 +1,9 @@
+import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from barlake.operators import history as hist
+from barlake.storage import path_exists
 
 DDL = "k INT, v STRING"
 
@@ -76,3 +79,57 @@ def test_stored_history_equals_the_expression(spark, folder):
         )
     stored = spark.read.schema(ddl).parquet(path).select(*expected.columns)
     assert rows(stored, "k", "valid_from") == rows(expected, "k", "valid_from")
+
+
+OLD_DDL, NEW_DDL = "k INT, v STRING, month INT", "k INT, v STRING, extra STRING, year INT"
+
+
+def layouts(spark, folder):
+    old, new = f"{folder}/old", f"{folder}/new"
+    spark.createDataFrame([(1, "a", 202311), (2, "b", 202402)], OLD_DDL).write.partitionBy("month").parquet(old)
+    spark.createDataFrame([(3, "c", "x", 2024), (4, "d", "y", 2025)], NEW_DDL).write.partitionBy("year").parquet(new)
+    return old, new
+
+
+def rewrite(spark, old, new):
+    year = F.floor(F.col("month") / 100)
+    return hist.rewrite_layout(
+        spark, old, new, ["year"], OLD_DDL, NEW_DDL, lambda rows: rows.withColumn("year", year).drop("month")
+    )
+
+
+WHOLE = [(1, "a", None, 2023), (2, "b", None, 2024), (3, "c", "x", 2024), (4, "d", "y", 2025)]
+
+
+def test_layout_is_rewritten_once(spark, folder):
+    old, new = layouts(spark, folder)
+    assert [rewrite(spark, old, new), rewrite(spark, old, new)] == [True, False]
+    assert rows(spark.read.schema(NEW_DDL).parquet(new), "k") == WHOLE
+    assert not path_exists(spark, old) and not path_exists(spark, f"{new}__layout")
+
+
+@pytest.mark.parametrize("broken", ["rename", "replace_partitions", "remove_tree", "discard_staging"])
+def test_next_run_completes_a_rewrite(spark, folder, monkeypatch, broken):
+    old, new = layouts(spark, folder)
+
+    def die(*args):
+        raise OSError("driver lost")
+
+    # The first call of all, to discard what an earlier run left, must go through.
+    calls, real = [], getattr(hist, broken)
+    allowed = 1 if broken == "discard_staging" else 0
+    with monkeypatch.context() as patched:
+        patched.setattr(hist, broken, lambda *a: real(*a) if calls.append(a) or len(calls) <= allowed else die())
+        with pytest.raises(OSError):
+            rewrite(spark, old, new)
+    rewrite(spark, old, new)
+    rewrite(spark, old, new)
+    assert rows(spark.read.schema(NEW_DDL).parquet(new), "k") == WHOLE
+    assert not path_exists(spark, old)
+
+
+def test_old_folder_alone_and_none(spark, folder):
+    old, new = layouts(spark, folder)
+    assert rewrite(spark, old, f"{folder}/fresh")
+    assert rows(spark.read.schema(NEW_DDL).parquet(f"{folder}/fresh"), "k") == WHOLE[:2]
+    assert not rewrite(spark, f"{folder}/none", new)
