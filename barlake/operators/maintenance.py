@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barlake.operators.upsert import (
     complete_pending,
     discard_staging,
+    stage_partitions,
     staged_path,
     touched_rows,
 )
@@ -98,7 +99,7 @@ def compact(
         return before, before
     chosen = touched_rows(table, crowded, partition_cols)
     staged = staged_path(path, COMPACTION)
-    chosen.write.mode("overwrite").parquet(staged)
+    stage_partitions(chosen, path, partition_cols, COMPACTION)
     rows = spark.read.schema(chosen.schema).parquet(staged)
     if content_hash(rows) != content_hash(chosen):
         discard_staging(spark, path, COMPACTION)

@@ -1,8 +1,8 @@
 """Upserts into plain Parquet tables (K-5, D-11).
 
-The merge rewrites only the partitions the source touches. It is written to a
-staging folder next to the table first and copied over by a dynamic partition
-overwrite; a run that dies in between is completed by the next one. One writer
+The merge rewrites only the partitions the source touches. It is written once, to a
+staging folder next to the table and laid out like it, whose partition folders then
+take the place of the table's; a run that dies in between is completed by the next one. One writer
 per table at a time.
 """
 
@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators.quality import duplicate_keys, keep_latest
-from barlake.sources.tables import replace_partitions
-from barlake.storage import has_files, path_exists, remove_tree
+from barlake.sources.tables import gathered, replace_partitions
+from barlake.storage import has_files, move_partitions, path_exists, remove_tree
 
 # Up to this many touched partitions also prune the scan of the target, as literals.
 MAX_LITERAL_PARTITIONS = 2000
@@ -150,8 +150,17 @@ def discard_staging(spark: SparkSession, path: str, job: str = "staging") -> Non
     remove_tree(spark, _staging_root(path, job))
 
 
+def stage_partitions(rows: DataFrame, path: str, partition_cols: list[str], job: str = "staging") -> None:
+    """Write what is to replace the partitions of its rows, laid out as the table is."""
+    staged = gathered(rows, partition_cols)
+    staged.write.mode("overwrite").partitionBy(*partition_cols).parquet(staged_path(path, job))
+
+
 def _publish(spark: SparkSession, staged: str, path: str, partition_cols: list[str]) -> None:
-    replace_partitions(spark.read.parquet(staged), path, partition_cols)
+    moved = move_partitions(spark, staged, path, len(partition_cols))
+    if not moved and has_files(spark, staged):
+        # Staged without partition folders, as releases before did.
+        replace_partitions(spark.read.parquet(staged), path, partition_cols)
 
 
 def complete_pending(
@@ -195,5 +204,5 @@ def merge_upsert(
         merged = merge_rows(touched_rows(target, staged, partition_cols), staged, keys)
     else:
         merged = staged
-    merged.write.mode("overwrite").parquet(staged_path(path))
+    stage_partitions(merged, path, partition_cols)
     complete_pending(spark, path, partition_cols)

@@ -26,6 +26,26 @@ def remove_tree(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop_path, True)
 
 
+def move_partitions(spark: SparkSession, source: str, target: str, depth: int) -> int:
+    """Put the partition folders of one table in the place of those of another; gives their number.
+
+    Only names change, no row is read. Each folder replaces its counterpart by itself, and those already moved are
+    no longer in the source, so a run that dies is completed by repeating it.
+    """
+    fs, root = _file_system(spark, source)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    found = fs.globStatus(path(f"{source.rstrip('/')}/{'/'.join(['*=*'] * depth)}")) or []
+    base = fs.makeQualified(root).toString().rstrip("/")
+    for status in found:
+        folder = status.getPath()
+        place = path(target.rstrip("/") + folder.toString()[len(base) :])
+        fs.mkdirs(place.getParent())
+        fs.delete(place, True)
+        if not fs.rename(folder, place):
+            raise OSError(f"could not move {folder.toString()}")
+    return len(found)
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     fs, hadoop_path = _file_system(spark, old)
     if not fs.rename(hadoop_path, spark._jvm.org.apache.hadoop.fs.Path(new)):

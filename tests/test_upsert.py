@@ -1,3 +1,6 @@
+import shutil
+from pathlib import Path
+
 import pytest
 from helpers import rows
 
@@ -139,3 +142,27 @@ def test_changes_of_a_null_key(spark):
     target = spark.createDataFrame([(None, 1), ("A", 2)], "symbol string, volume int")
     changes = spark.createDataFrame([(None, 9, 1, "u"), ("A", 0, 1, "d")], "symbol string, volume int, version int, op string")
     assert upsert.apply_changes(target, changes, ["symbol"]).collect() == [(None, 9)]
+
+
+def test_a_merge_that_died_between_two_partitions_is_completed(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    load(spark, path, [(1, "a", 1), (2, "b", 2), (3, "c", None)])
+    real, calls = upsert.move_partitions, []
+
+    def die_after_one(spark_, source, target, depth):
+        # The second folder stays in the staging area.
+        calls.append(real(spark_, source, target, depth) if calls else None)
+        if len(calls) == 1:
+            fs_source = next(p for p in sorted(Path(source).iterdir()) if "=" in p.name)
+            place = Path(target) / fs_source.name
+            shutil.rmtree(place)
+            fs_source.rename(place)
+            raise OSError("driver lost")
+        return calls[-1]
+
+    with monkeypatch.context() as patched:
+        patched.setattr(upsert, "move_partitions", die_after_one)
+        with pytest.raises(OSError):
+            load(spark, path, [(1, "A", 1), (2, "B", 2), (4, "D", None)])
+        load(spark, path, [(5, "e", 1)])
+    assert stored(spark, path) == [(1, "A", 1), (2, "B", 2), (3, "c", None), (4, "D", None), (5, "e", 1)]
