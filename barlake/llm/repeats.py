@@ -206,20 +206,22 @@ def compared(found: DataFrame, compare: Callable, schema: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.Table] = []
+        held = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             waiting.append(pa.Table.from_batches([batch]))
-            if sum(t.nbytes for t in waiting) < BLOCK_BYTES:
+            held += waiting[-1].nbytes
+            # The last anchor may go on in the next batch; nothing is joined while there is but one.
+            if held < BLOCK_BYTES or waiting[0]["anchor"][0] == batch["anchor"][batch.num_rows - 1]:
                 continue
-            # The last anchor may go on in the next batch.
             table = pa.concat_tables(waiting).combine_chunks()
             anchor = table["anchor"].to_numpy()
             end = int(np.searchsorted(anchor, anchor[-1]))
             if end:
                 yield from compare(table.slice(0, end).combine_chunks())
                 table = table.slice(end).combine_chunks()
-            waiting = [table]
+            waiting, held = [table], table.nbytes
         if waiting:
             yield from compare(pa.concat_tables(waiting).combine_chunks())
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from barlake.llm import repeats
 from barlake.llm.scratch import Scratch
-from barlake.llm.text import column, cover, runs, utf8
+from barlake.llm.text import column, cover, list_array, runs, utf8
 
 SPACE = r"[\x20\x09-\x0D]+"
 NOBODY = np.iinfo(np.int64).max
@@ -39,49 +39,56 @@ class SuffixAutomaton:
         self.length = [0]
         self.least = [NOBODY]
 
-    def _state(self, length: int, edges: dict, link: int) -> int:
-        self.next.append(edges)
-        self.length.append(length)
-        self.link.append(link)
-        self.least.append(NOBODY)
-        return len(self.next) - 1
-
     def _split(self, state: int, token, target: int) -> int:
         """The part of ``target`` that is one longer than ``state``, as a state of its own."""
-        if self.length[target] == self.length[state] + 1:
-            return target
-        clone = self._state(self.length[state] + 1, dict(self.next[target]), self.link[target])
-        self.link[target] = clone
-        while state >= 0 and self.next[state].get(token) == target:
-            self.next[state][token] = clone
-            state = self.link[state]
+        edges, link = self.next, self.link
+        clone = len(edges)
+        edges.append(dict(edges[target]))
+        self.length.append(self.length[state] + 1)
+        self.least.append(NOBODY)
+        link.append(link[target])
+        link[target] = clone
+        while state >= 0 and edges[state].get(token) == target:
+            edges[state][token] = clone
+            state = link[state]
         return clone
 
     def add(self, tokens: list, owner: int) -> None:
-        last, edges, link = 0, self.next, self.link
+        edges, link, length, least = self.next, self.link, self.length, self.least
+        last = 0
         for token in tokens:
             target = edges[last].get(token)
             if target is not None:
-                last = self._split(last, token, target)
+                last = target if length[target] == length[last] + 1 else self._split(last, token, target)
             else:
-                state = self._state(self.length[last] + 1, {}, 0)
+                state = len(edges)
+                edges.append({})
+                length.append(length[last] + 1)
+                least.append(NOBODY)
+                link.append(0)
                 at = last
-                while at >= 0 and token not in edges[at]:
-                    edges[at][token] = state
+                while at >= 0:
+                    ahead = edges[at]
+                    if token in ahead:
+                        target = ahead[token]
+                        whole = length[target] == length[at] + 1
+                        link[state] = target if whole else self._split(at, token, target)
+                        break
+                    ahead[token] = state
                     at = link[at]
-                if at >= 0:
-                    link[state] = self._split(at, token, edges[at][token])
                 last = state
-            if owner < self.least[last]:
-                self.least[last] = owner
+            if owner < least[last]:
+                least[last] = owner
 
     def finish(self) -> None:
-        """Hand the owners on to the shorter suffixes."""
-        least, link = self.least, self.link
-        for state in np.argsort(-np.array(self.length), kind="stable").tolist():
-            up = link[state]
-            if up >= 0 and least[state] < least[up]:
-                least[up] = least[state]
+        """Hand the owners on to the shorter suffixes, from the longest states to the shortest."""
+        least, link, length = np.array(self.least), np.array(self.link), np.array(self.length)
+        order = np.argsort(length, kind="stable")
+        bounds = np.searchsorted(length[order], np.arange(1, length[order[-1]] + 2))
+        for lo, hi in zip(bounds[-2::-1], bounds[:0:-1], strict=True):
+            states = order[lo:hi]
+            np.minimum.at(least, link[states], least[states])
+        self.least = least.tolist()
 
     def owners(self, tokens: list, size: int) -> list[int]:
         """The smallest owner of the window of ``size`` tokens that starts at each place."""
@@ -123,37 +130,43 @@ def _compare(length: int):
         group = np.unique(anchor[first_row], return_inverse=True)[1]
         several = np.bincount(group)[group] > 1
         automaton = SuffixAutomaton()
-        tokens = {i: distinct[i].split() for i in np.flatnonzero(several).tolist()}
+        numbers: dict[bytes, int] = {}
+        number = numbers.setdefault
+        tokens = {
+            i: [number(word, len(numbers)) for word in distinct[i].split()] for i in np.flatnonzero(several).tolist()
+        }
         for i, words in tokens.items():
             automaton.add(words, int(owner[i]))
         automaton.finish()
-        starts, ends, rows = [], [], []
         begin = block["start"].to_numpy()
-        seen: dict[int, np.ndarray] = {}
         mine = np.where(known, rank, -1)
         # The holder with the smallest id loses something only where another passage is earlier.
-        for row in np.flatnonzero(several[content] | (owner[content] < mine)).tolist():
-            i = int(content[row])
-            if i not in seen:
-                count = distinct[i].count(b" ") + 2 - length
-                seen[i] = (
-                    np.array(automaton.owners(tokens[i], length), np.int64)
-                    if i in tokens
-                    else np.full(count, owner[i], np.int64)
-                )
-            earlier = np.flatnonzero(seen[i] < mine[row])
-            if len(earlier):
-                lo, hi = runs(cover(len(seen[i]) + length - 1, earlier, length))
-                rows.append(row)
-                starts.append(lo + begin[row])
-                ends.append(hi + begin[row])
-        at, kind = pa.array(rows, pa.int64()), pa.list_(pa.int64())
+        rows = np.flatnonzero(several[content] | (owner[content] < mine))
+        # Windows of each passage, and their smallest and largest owners.
+        windows = np.fromiter((d.count(b" ") for d in distinct), np.int64, len(distinct)) + 2 - length
+        low, high = owner.copy(), owner.copy()
+        seen: dict[int, np.ndarray] = {}
+        for i in tokens:
+            seen[i] = np.array(automaton.owners(tokens[i], length), np.int64)
+            low[i], high[i] = seen[i].min(), seen[i].max()
+        rows = rows[low[content[rows]] < mine[rows]]
+        partly = high[content[rows]] >= mine[rows]
+        whole, rest = rows[~partly], rows[partly]
+        starts, ends, counts = [begin[whole]], [begin[whole] + windows[content[whole]] + length - 1], []
+        for row in rest.tolist():
+            earlier = seen[int(content[row])] < mine[row]
+            lo, hi = runs(cover(len(earlier) + length - 1, np.flatnonzero(earlier), length))
+            counts.append(len(lo))
+            starts.append(lo + begin[row])
+            ends.append(hi + begin[row])
+        at = pa.array(np.concatenate((whole, rest)))
+        spans = np.concatenate((np.ones(len(whole), np.int64), np.array(counts, np.int64)))
         yield pa.RecordBatch.from_arrays(
             [
                 block["t1"].combine_chunks().take(at),
                 block["t2"].combine_chunks().take(at),
-                pa.array(starts, kind),
-                pa.array(ends, kind),
+                list_array(np.concatenate(starts), spans, pa.int64()),
+                list_array(np.concatenate(ends), spans, pa.int64()),
             ],
             ["t1", "t2", "starts", "ends"],
         )
