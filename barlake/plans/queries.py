@@ -18,6 +18,7 @@ from barlake.operators import bars as ops
 from barlake.operators import forecasting as fc
 from barlake.operators import history as hist
 from barlake.operators import indicators as ind
+from barlake.operators import isolation
 from barlake.operators import maintenance as maint
 from barlake.operators import accounting, panels, quality, redelivery, star, upsert
 from barlake.plans import cold_path
@@ -809,6 +810,21 @@ def volume_anomaly(spark, sf_dir):
     return rounded(frame.select("symbol", "fetch_date", "volume_z", "is_abnormal"), "volume_z")
 
 
+@query
+def isolated_bars(spark, sf_dir):
+    """W-15: unusual bars by return, range and volume together; every 500th volume is planted"""
+    bars = supplier_returns(spark, sf_dir).withColumn("planted", F.pmod(F.xxhash64(*ops.BAR_KEYS), F.lit(500)) == 0)
+    bars = bars.withColumn(
+        "log_volume", F.log1p(F.when(F.col("planted"), F.col("volume") * 1000000).otherwise(F.col("volume")).cast("double"))
+    )
+    features = ("daily_return", "price_range", "log_volume")
+    forest = isolation.fit_forest(bars, ops.BAR_KEYS, features)
+    scored = isolation.with_isolation(bars, ops.BAR_KEYS, forest)
+    return rounded(
+        scored.select(*ops.BAR_KEYS, "planted", "isolation_score", "is_isolated"), "isolation_score"
+    )
+
+
 @query
 def volume_ranks(spark, sf_dir):
     """W-9"""
