@@ -1,9 +1,10 @@
 """HTML extraction: the main text of pages, with site templates removed (operator 6).
 
 Each page is read once into elements. Every container's subtree gets a hash of its tags and text;
-Spark counts, per host and per section of it (every folder of the address), on how many different pages
-each hash occurs, and the subtrees that recur on many pages of their host or section are deleted, as are menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments by tag, role or class. What remains of the article (of
+Spark counts per host on how many different pages each hash occurs. Subtrees on ``LEAST_PAGES`` pages or
+more are deleted, whatever the size of the host, as are menus, headers, footers, sidebars, notices, adverts,
+forms, scripts, styles and reader comments by tag, role or class. Pages never meet by host: the counts are
+joined with single subtrees, and a page with the list of its own templates, which is no longer than the page. What remains of the article (of
 ``main`` or the body where a page has none) is cut into blocks, in page order.
 
 Headings, paragraphs, quotes and the like inside the article are content however often they recur: a
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,8 +28,7 @@ from pyspark.sql import functions as F
 
 from barlake.llm.text import column
 
-# A subtree is a template of a host or a section if it is on this share of its different pages, and on so many.
-SHARE = 0.3
+# A subtree is a template of a host if it is on so many of its different pages.
 LEAST_PAGES = 3
 
 TAG = re.compile(
@@ -87,8 +88,14 @@ class Page:
         self.marks: list[bool] = [False]
         # Pieces: element and text; a block element's start and end are pieces without text.
         self.pieces: list[tuple[int, str | None]] = []
+        self.open_tags: Counter[str] = Counter()
         self._read(source)
 
+    def _close(self, stack: list[int], depth: int) -> None:
+        for element in stack[depth:]:
+            self.open_tags[self.tags[element]] -= 1
+        del stack[depth:]
+
     def _open(self, tag: str, attributes: str, stack: list[int]) -> None:
         if tag not in INLINE:
             closes = CLOSED_BY.get(tag)
@@ -96,7 +103,7 @@ class Page:
                 for depth in range(len(stack) - 1, 0, -1):
                     name = self.tags[stack[depth]]
                     if name in closes:
-                        del stack[depth:]
+                        self._close(stack, depth)
                         break
                     if name in BARRIERS:
                         break
@@ -104,11 +111,12 @@ class Page:
             for depth in range(len(stack) - 1, 0, -1):
                 name = self.tags[stack[depth]]
                 if name == "p":
-                    del stack[depth:]
+                    self._close(stack, depth)
                     break
                 if name not in INLINE:
                     break
         self.tags.append(tag)
+        self.open_tags[tag] += 1
         self.parents.append(stack[-1])
         self.marks.append(bool(attributes) and _marked(attributes, tag))
         stack.append(len(self.tags) - 1)
@@ -130,10 +138,11 @@ class Page:
                 continue
             tag = tag.lower()
             if match[1] or match[4]:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if self.tags[stack[depth]] == tag:
-                        del stack[depth:]
-                        break
+                if self.open_tags[tag]:
+                    depth = len(stack) - 1
+                    while self.tags[stack[depth]] != tag:
+                        depth -= 1
+                    self._close(stack, depth)
                 if tag not in INLINE:
                     self.pieces.append((stack[-1], None))
                 continue
@@ -245,91 +254,82 @@ def host(url: Column) -> Column:
     return F.lower(address)
 
 
-def folder(url: Column) -> Column:
-    """The folder of an address: its path up to the last slash, without empty parts."""
-    path = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*/)", 1)
-    return F.array_join(F.array_remove(F.split(path, "/"), ""), "/")
+def _page(html_col: str) -> list[Column]:
+    """A 128-bit key of a page's source; copies are one page."""
+    return [
+        F.xxhash64(column(html_col)).alias("page1"),
+        F.xxhash64(F.lit("other"), column(html_col)).alias("page2"),
+    ]
 
 
-def _sections(folder_col: str) -> Column:
-    """A folder and all folders above it; the empty one is the whole host."""
-    parts = F.array_remove(F.split(folder_col, "/"), "")
-    return F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+PAGE_KEYS = ["place", "page1", "page2"]
 
 
-def site_templates(
-    pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES, url_col: str = "url", html_col: str = "html"
-) -> DataFrame:
-    """Per host and folder with pages, the hashes of the subtrees that recur in it or in a folder above
-    it: ``host``, ``folder``, ``templates``.
-
-    A page has a bounded number of subtrees and a template takes its share of pages, so
-    the list of a section is bounded by its pages' mean size, not by their number.
-    """
+def _subtrees(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    """``place`` (a hash of the host), page and ``hashes`` of the subtrees of every page row."""
     rows = pages.select(
-        host(column(url_col)).alias("host"),
-        folder(column(url_col)).alias("folder"),
-        F.xxhash64(column(html_col)).alias("page"),
-        column(html_col).alias("html"),
+        F.xxhash64(host(column(url_col))).alias("place"), *_page(html_col), column(html_col).alias("html")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [Page(h).candidates() if h else [] for h in batch["html"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch["host"], batch["folder"], batch["page"], pa.array(found, pa.list_(pa.int64()))],
-                ["host", "folder", "page", "hashes"],
+                [*(batch[c] for c in PAGE_KEYS), pa.array(found, pa.list_(pa.int64()))], [*PAGE_KEYS, "hashes"]
             )
 
-    found = rows.mapInArrow(run, "host string, folder string, page long, hashes array<long>")
-    seen = found.select("host", "page", F.explode(_sections("folder")).alias("section"), "hashes")
-    seen = seen.select("host", "section", "page", F.explode("hashes").alias("hash"))
-    counts = seen.groupBy("host", "section", "hash").agg(F.count_distinct("page").alias("n")).filter(F.col("n") >= least)
-    places = rows.select("host", "folder", "page").distinct()
-    placed = places.select("host", "folder", "page", F.explode(_sections("folder")).alias("section"))
-    sizes = placed.groupBy("host", "section").agg(F.count_distinct("page").alias("n_pages"))
-    common = counts.join(sizes, ["host", "section"]).filter(F.col("n") >= share * F.col("n_pages"))
-    folders = placed.select("host", "folder", "section").distinct()
-    return (
-        folders.join(common.select("host", "section", "hash"), ["host", "section"])
-        .groupBy("host", "folder")
-        .agg(F.collect_set("hash").alias("templates"))
-    )
+    return rows.mapInArrow(run, "place long, page1 long, page2 long, hashes array<long>")
+
+
+def _counted(subtrees: DataFrame, least: int) -> DataFrame:
+    """``place`` and ``hash`` of the subtrees that are on ``least`` different pages of a host."""
+    seen = subtrees.select("place", "page1", F.explode("hashes").alias("hash")).distinct()
+    return seen.groupBy("place", "hash").agg(F.count("*").alias("n_pages")).filter(F.col("n_pages") >= least)
+
+
+def site_templates(
+    pages: DataFrame, least: int = LEAST_PAGES, url_col: str = "url", html_col: str = "html"
+) -> DataFrame:
+    """``host``, ``hash`` and ``n_pages`` of the subtrees that recur on pages of their host."""
+    hosts = pages.select(host(column(url_col)).alias("host")).distinct()
+    counted = _counted(_subtrees(pages, url_col, html_col), least)
+    named = hosts.withColumn("place", F.xxhash64("host"))
+    return counted.join(named, "place").select("host", "hash", "n_pages")
+
+
+def page_templates(
+    pages: DataFrame, least: int = LEAST_PAGES, url_col: str = "url", html_col: str = "html"
+) -> DataFrame:
+    """Per host and page with any, the hashes of its own subtrees that are templates."""
+    subtrees = _subtrees(pages, url_col, html_col)
+    single = subtrees.dropDuplicates(PAGE_KEYS).select(*PAGE_KEYS, F.explode("hashes").alias("hash"))
+    common = _counted(subtrees, least).select("place", "hash")
+    return single.join(common, ["place", "hash"]).groupBy(*PAGE_KEYS).agg(F.collect_set("hash").alias("templates"))
 
 
 def main_text(
     pages: DataFrame,
-    share: float = SHARE,
     least: int = LEAST_PAGES,
     key_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
 ) -> DataFrame:
     """Per page row: ``key``, ``url`` and ``text``."""
-    templates = site_templates(pages, share, least, url_col, html_col)
+    templates = page_templates(pages, least, url_col, html_col)
     rows = pages.select(
         column(key_col).alias("key"),
         column(url_col).alias("url"),
         column(html_col).alias("html"),
-        host(column(url_col)).alias("host"),
-        folder(column(url_col)).alias("folder"),
+        F.xxhash64(host(column(url_col))).alias("place"),
+        *_page(html_col),
     )
-    joined = rows.join(templates, ["host", "folder"], "left").select("key", "url", "html", "templates")
+    joined = rows.join(templates, PAGE_KEYS, "left").select("key", "url", "html", "templates")
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists: dict[int, set[int]] = {}
-            texts, last, known = [], None, set()
-            for source, mine in zip(batch["html"].to_pylist(), batch["templates"], strict=True):
-                if mine.is_valid:
-                    values = mine.values.to_pylist()
-                    if values != last:
-                        last, known = values, set(values)
-                    lists = known
-                else:
-                    lists = set()
-                texts.append(Page(source).text(lists) if source else "")
+            rows = zip(batch["html"].to_pylist(), batch["templates"].to_pylist(), strict=True)
+            texts = [Page(source).text(set(mine or ())) if source else "" for source, mine in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch["key"], batch["url"], pa.array(texts, pa.string())], ["key", "url", "text"]
             )

@@ -16,6 +16,7 @@ A null text is empty: no words, no detections, score 0. Rows are judged one by o
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -236,9 +237,18 @@ def detect(text: str) -> list[tuple[str, int, int, int, int]]:
 def kept_detections(matches: Iterable[tuple[Rule, int, int]]) -> list[tuple[str, int, int, int, int]]:
     found = [(-rule.priority, start - end, start, rule.number, end, rule) for rule, start, end in matches]
     kept: list[tuple[str, int, int, int, int]] = []
+    # Kept intervals that lie in no other kept one, by start; their ends ascend as well, so the last
+    # that starts at or before a place reaches farthest.
+    starts: list[int] = []
+    ends: list[int] = []
     for _, _, start, _, end, rule in sorted(found, key=lambda f: f[:5]):
-        if not any(s <= start and end <= e for _, _, s, e, _ in kept):
-            kept.append((rule.label, rule.number, start, end, rule.priority))
+        at = bisect_right(starts, start)
+        if at and ends[at - 1] >= end:
+            continue
+        kept.append((rule.label, rule.number, start, end, rule.priority))
+        first = bisect_left(starts, start)
+        last = max(first, bisect_right(ends, end))
+        starts[first:last], ends[first:last] = [start], [end]
     return sorted(kept, key=lambda d: (d[2], d[3], d[1]))
 
 

@@ -101,3 +101,38 @@ def test_query(spark):
     for r in rows:
         url, source = wanted[r["page_id"]]
         assert (r["url"], r["text"], r["n_chars"]) == (url, article(source), len(article(source)))
+
+
+def test_boxes_without_a_telling_tag_go_by_their_count(spark):
+    """The given pages, each with a box of its host inside the article that no tag or class gives away."""
+    stored = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    hosts = {r["page_id"]: r["url"].split("/")[2] for r in stored}
+    rows = [
+        (r["page_id"], r["url"], r["html"].replace("<article>", f"<article><div><span>Box of {hosts[r['page_id']]}</span></div>"))
+        for r in stored
+    ]
+    different = {}
+    for key, _, source in rows:
+        different.setdefault(hosts[key], set()).add(source)
+    frame = pages(spark, rows).repartition(5)
+    got = {r["key"]: r["text"] for r in main_text(frame).collect()}
+    plain = {r["key"]: r["text"] for r in main_text(frame, least=10**9).collect()}
+    removed = 0
+    for (key, _, _), original in zip(rows, stored, strict=True):
+        box, text = f"Box of {hosts[key]}", article(original["html"])
+        assert plain[key] == f"{box}\n{text}"
+        recurs = len(different[hosts[key]]) >= 3
+        assert got[key] == (text if recurs else f"{box}\n{text}")
+        removed += recurs
+    assert removed > len(rows) / 2
+    counts = {}
+    for host, sources in different.items():
+        for source in sources:
+            for found in set(Page(source).candidates()):
+                counts[host, found] = counts.get((host, found), 0) + 1
+    wanted = {(h, found, n) for (h, found), n in counts.items() if n >= 3}
+    assert {tuple(r) for r in site_templates(frame).collect()} == wanted
+
+
+def test_end_tags_without_a_start_cost_nothing():
+    assert Page("<b>" * 30_000 + "x" + "</i>" * 30_000).text(set()) == "x"

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import Row
@@ -120,3 +121,28 @@ def test_query(spark):
         assert set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
         assert (r["score"] > 0) == bool(r["labels"]) and 0 <= r["score"] <= 1
     assert {"mit", "apache-2.0", "gpl-3.0", "cc-by-nc-4.0"} <= {x for r in rows for x in r["labels"].split(",")}
+
+
+def test_suppression_equals_a_plain_version_and_takes_many_matches():
+    def rule(number, priority):
+        return scan.Rule(number, str(number), None, priority, None)
+
+    def plain(matches):
+        found = sorted(((-r.priority, s - e, s, r.number, e, r) for r, s, e in matches), key=lambda f: f[:5])
+        kept = []
+        for _, _, s, _, e, r in found:
+            if not any(a <= s and e <= b for _, _, a, b, _ in kept):
+                kept.append((r.label, r.number, s, e, r.priority))
+        return sorted(kept, key=lambda d: (d[2], d[3], d[1]))
+
+    rng = random.Random(1)
+    for _ in range(200):
+        matches = []
+        for n in range(rng.randrange(25)):
+            start = rng.randrange(30)
+            matches.append((rule(n, rng.choice([50, 70, 90])), start, start + rng.randrange(1, 12)))
+        assert scan.kept_detections(matches) == plain(matches)
+    many = [(rule(n % 600, 50 + n % 40), 7 * n, 7 * n + 20) for n in range(100_000)]
+    begun = time.process_time()
+    assert scan.kept_detections(many)
+    assert time.process_time() - begun < 10
