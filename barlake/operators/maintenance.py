@@ -15,18 +15,19 @@ from barlake.operators.upsert import (
     staged_path,
     touched_rows,
 )
+from barlake.storage import remove_tree
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 RESULT_DDL = "table_name STRING, step STRING, before BIGINT, after BIGINT, error STRING"
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """Data files below a path. The content column is never read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
+        .option("pathGlobFilter", pattern)
         .load(path)
         .select(F.col("path").alias("file_path"), "modificationTime", "length")
     )
@@ -154,6 +155,36 @@ def committed_files(table: DataFrame) -> DataFrame:
     return table.select(F.url_decode(address).alias("file_path")).distinct()
 
 
+def sink_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files that a stream has committed to a folder.
+
+    A read of the folder itself follows the log that the sink keeps there.
+    """
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file_path"))
+
+
+def sink_orphans(
+    spark: SparkSession, path: str, pattern: str = "*.parquet", older_than: datetime | Column | None = None
+) -> DataFrame:
+    """D-6: files below a stream's folder that its log does not know, left by attempts that failed.
+
+    The folder is listed through a glob, as a plain read of it would show logged files only.
+    """
+    listed = list_files(spark, f"{path.rstrip('/')}/*", pattern)
+    if older_than is not None:
+        listed = listed.filter(F.col("modificationTime") < F.lit(older_than))
+    return listed.join(sink_files(spark, path), "file_path", "left_anti")
+
+
+def remove_orphans(spark: SparkSession, path: str, pattern: str, older_than: datetime | Column) -> tuple[int, int]:
+    """Delete them, a file at a time; files before and after."""
+    before = list_files(spark, f"{path.rstrip('/')}/*", pattern).count()
+    gone = 0
+    for row in sink_orphans(spark, path, pattern, older_than).select("file_path").toLocalIterator():
+        gone += remove_tree(spark, row["file_path"])
+    return before, before - gone
+
+
 def maintain(
     spark: SparkSession, steps: list[tuple[str, str, Callable[[], tuple[int, int]]]]
 ) -> DataFrame:

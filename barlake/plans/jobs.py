@@ -176,6 +176,12 @@ def maintain(spark: SparkSession, lake: cold_path.Lake, options) -> None:
         (path, "compact", lambda p=path, c=columns, d=ddl: step(p, c, d))
         for path, (columns, ddl) in layouts.items()
     ]
+    # Younger files may belong to an attempt that is still running.
+    settled_files = F.current_timestamp() - F.expr("INTERVAL 3 DAYS")
+    for path, pattern in ((lake.bronze, "*.json"), (lake.alerts, "*.parquet"), (lake.settled_indicators, "*.parquet")):
+        if has_files(spark, f"{path}/_spark_metadata"):
+            clean = lambda p=path, g=pattern: maintenance.remove_orphans(spark, p, g, settled_files)
+            steps.append((path, "remove orphans", clean))
     if has_files(spark, lake.offsets):
         offsets = lambda: redelivery.compact_intervals(spark, lake.offsets)
         steps.append((lake.offsets, "merge intervals", offsets))

@@ -541,17 +541,25 @@ def compacted_table(spark, sf_dir):
 
 @query
 def orphan_partitions(spark, sf_dir):
-    """D-6: the partitions in which a crashed write left files behind"""
-    path = scratch_path(spark, "orphans")
+    """D-6: the partitions with files that the sink of a stream does not know"""
+    root = scratch_path(spark, "orphans")
     bars = keyed_bars(spark, sf_dir)
-    tables.append(bars, path, ["month_key"])
-    manifest = scratch_path(spark, "manifest")
-    committed = maint.committed_files(spark.read.schema(KEYED_DDL).parquet(path))
-    committed.write.parquet(manifest)
-    tables.append(bars.filter(F.col("date_key") % 100 == 31), path, ["month_key"])
-    orphans = maint.orphan_files(spark, path, spark.read.parquet(manifest))
+    bars.write.parquet(f"{root}/source")
+    (
+        spark.readStream.schema(KEYED_DDL)
+        .parquet(f"{root}/source")
+        .writeStream.format("parquet")
+        .partitionBy("month_key")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{root}/table")
+        .awaitTermination()
+    )
+    # What an attempt leaves that fails before it commits.
+    tables.append(bars.filter(F.col("date_key") % 100 == 31), f"{root}/table", ["month_key"])
     return (
-        orphans.select(*maint.partition_of("file_path", ["month_key"]))
+        maint.sink_orphans(spark, f"{root}/table")
+        .select(*maint.partition_of("file_path", ["month_key"]))
         .distinct()
         .select(F.col("month_key").cast("int").alias("month_key"))
     )

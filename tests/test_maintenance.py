@@ -91,3 +91,20 @@ def test_partition_listing(spark, folder):
         (0, 100, 6),
         (1, 100, 6),
     ]
+
+
+def test_orphans_of_a_stream_are_found_and_removed(spark, folder):
+    path = f"{folder}/bronze + more"
+    source = f"{folder}/source"
+    spark.createDataFrame([("a b", 1), ("c", 2)], "p string, v int").write.json(source)
+    stream = spark.readStream.schema("p string, v int").json(source).writeStream.format("json").partitionBy("p")
+    stream.option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start(path).awaitTermination()
+    assert maint.sink_orphans(spark, path, "*.json").count() == 0
+    spark.createDataFrame([("c", 3)], "p string, v int").write.mode("append").partitionBy("p").json(path)
+    orphans = maint.sink_orphans(spark, path, "*.json").collect()
+    assert len(orphans) == 1 and "/p=c/" in orphans[0].file_path
+    assert maint.sink_orphans(spark, path, "*.json", datetime(2000, 1, 1)).count() == 0
+    before, after = maint.remove_orphans(spark, path, "*.json", F.current_timestamp() + F.expr("INTERVAL 1 DAY"))
+    assert before - after == 1
+    assert spark.read.schema("p string, v int").json(path).count() == 2
+    assert maint.sink_orphans(spark, path, "*.json").count() == 0
