@@ -9,7 +9,8 @@ distance are rejected.
 
 The transformed statistics are whole numbers (units of 1/``UNIT``), so that sums of them and of
 their products are exact and do not depend on the order of rows, and quantiles come from
-counts of whole numbers. A group never meets in one task: all of it is partial aggregates.
+counts of whole numbers. A group never meets in one task: sums are partial aggregates, and the joins with a
+group's estimate are spread over ``SALTS`` tasks.
 Distances within a text's statistics use 64-bit hashes of three-word windows.
 
 Nulls: a null text has no words; a null language or source is the group of the empty name.
@@ -135,6 +136,8 @@ def _groups(lang_col: str, source_col: str) -> list[Column]:
 
 
 KEYS = ["level", "g_lang", "g_source"]
+# Tasks over which the rows of one group are spread.
+SALTS = 64
 
 
 def _quantiles(counts: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
@@ -208,14 +211,19 @@ def _estimate(subset: DataFrame, inflate: float) -> DataFrame:
     return df.select(*KEYS, "n", *(f"m_{f}" for f in FEATURES), *(f"l_{a}_{b}" for a, b in pairs))
 
 
+def _salted(groups: DataFrame) -> DataFrame:
+    """A copy of every group's row for each salt, so that a large group's rows meet it in many tasks."""
+    return groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def _closest(rows: DataFrame, estimate: DataFrame, share: float) -> DataFrame:
     """The share of each group's rows that lies closest, ties at the border included."""
-    scored = rows.join(estimate.drop("n"), KEYS).withColumn(
+    scored = rows.join(_salted(estimate.drop("n")), [*KEYS, "__salt"]).withColumn(
         "__d", F.floor(F.log2(1 + distance()) * 64).cast("int")
     )
     counts = scored.groupBy(*KEYS, "__d").agg(F.count("*").alias("n"))
     border = _quantiles(counts, KEYS, "__d", {"__border": share})
-    return scored.select(*rows.columns, "__d").join(border, KEYS).filter("__d <= __border")
+    return scored.select(*rows.columns, "__d").join(_salted(border), [*KEYS, "__salt"]).filter("__d <= __border")
 
 
 def estimates(stats: DataFrame, share: float = SHARE, steps: int = STEPS, least: int = LEAST) -> DataFrame:
@@ -233,7 +241,8 @@ def estimates(stats: DataFrame, share: float = SHARE, steps: int = STEPS, least:
     rows = passed.select("g_lang", levels, *features()).select(
         F.col("e.level").alias("level"), "g_lang", F.col("e.s").alias("g_source"), *features()
     )
-    rows = _kept(rows, "quality-rows")
+    # The salts are fixed by writing them; they only say which task sees a row.
+    rows = _kept(rows.withColumn("__salt", F.floor(F.rand(1) * SALTS).cast("int")), "quality-rows")
     estimate = _kept(_start(rows), "quality-start").withColumn("n", F.lit(None).cast("long"))
     for _ in range(steps):
         estimate = _kept(_estimate(_closest(rows, estimate, share), CONSISTENCY), "quality-step")
@@ -279,10 +288,10 @@ def filter_documents(
 ) -> DataFrame:
     """The documents that pass, all their columns unchanged."""
     groups = _groups(lang_col, source_col)
-    inner = docs.select(*groups, column(text_col).alias("text"))
-    stats = _kept(with_statistics(inner).drop("text"), "quality-stats")
-    estimate = estimates(stats)
     row = F.struct(*(column(c) for c in docs.columns))
     whole = with_statistics(docs.select(row.alias("__row"), *groups, column(text_col).alias("__text")), "__text", "q_")
-    judged = with_verdict(whole, estimate, "q_", "__kept").filter("__kept")
+    # Rows are written with their statistics, which no text is read for again.
+    whole = _kept(whole.drop("__text"), "quality-rows-and-stats")
+    stats = whole.select("g_lang", "g_source", *(F.col(f"q_{n}").alias(n) for n in STATISTICS))
+    judged = with_verdict(whole, estimates(stats), "q_", "__kept").filter("__kept")
     return judged.select(*(F.col("__row")[c].alias(c) for c in docs.columns))
