@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,7 +89,7 @@ class _Postings:
     def row(self, names: list[str]) -> pa.RecordBatch:
         """The shard, with its documents in ascending order of id and its lists by term."""
         ids = pa.concat_arrays(self.ids)
-        order = pa.compute.sort_indices(ids).to_numpy()  # nulls last
+        order = pc.sort_indices(ids).to_numpy()  # nulls last
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         docs, terms, counts = (np.concatenate(x) for x in zip(*self.parts, strict=True))

@@ -23,7 +23,6 @@ from barlake.llm import (
     suffix_automaton,
     token_files,
 )
-from barlake.llm.scratch import Scratch
 from barlake.llm.text import read_table
 from barlake.storage import scratch_path
 
@@ -147,8 +146,7 @@ def op2_license_scan(spark, sf_dir):
 def op4_token_files(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     folder = scratch_path(spark, "token-files")
-    written = token_files.write_shards(docs, tokenizer_path("word_bpe_49k.json"), folder, end_id=2)
-    manifest = Scratch(spark).result(written, "token-manifest")
+    manifest = token_files.write_shards(docs, tokenizer_path("word_bpe_49k.json"), folder, end_id=2)
     return token_files.read_shards(manifest, folder).select(
         F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )

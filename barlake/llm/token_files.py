@@ -1,10 +1,11 @@
 """Token-id files: one compressed wavelet matrix per shard, in document order (operator 4).
 
-Documents are range-partitioned and sorted by id. Each task encodes its range and writes shards of
-about ``SHARD_TOKENS`` tokens, so its memory does not depend on the size of a range. A shard is one
-file: the documents' ids and lengths, then the wavelet matrix of all their tokens. Files
-have names of their own per attempt, and only those that a finished task returned are in
-the manifest, so lost executors leave at most files that nobody reads.
+Documents are range-partitioned and sorted by id. Each task encodes its range into shards of
+about ``SHARD_TOKENS`` tokens, so its memory does not depend on the size of a range. A shard is one compressed
+file: the documents' ids and lengths, then the wavelet matrix of all their tokens. Spark itself stores the
+shards, as binary values of a Parquet table: any path that Spark knows will do, and its commit
+protocol keeps what a lost executor wrote out of the table. ``token_counts`` and ``token_places`` look tokens up
+in the stored shards by rank and select, without spelling out the sequence.
 
 Texts are cut at ASCII white space, which no token spans; the tokenizers library encodes each
 distinct piece once. Nulls are empty texts with the end id alone. Rows that repeat an id follow each
@@ -16,24 +17,25 @@ from __future__ import annotations
 import os
 import struct
 import unicodedata
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.llm.text import chunks, column, utf8
 from barlake.llm.wavelet import WaveletMatrix
+from barlake.storage import has_files
 
 SHARD_TOKENS = 2_000_000
 CHUNK_BYTES = 1_000_000
 CACHE_PIECES = 1_000_000
 JOINED_PIECES = 2_000
+# Bytes of shards that a reader holds at once.
+ROW_GROUP = 16 << 20
 
 
 class PieceEncoder:
@@ -127,6 +129,10 @@ def unpack_shard(content: bytes) -> tuple[pa.Array, np.ndarray, WaveletMatrix]:
     return keys, index["n_tokens"].to_numpy(), WaveletMatrix.from_bytes(content[8 + size :])
 
 
+STORED = "part int, shard int, n_docs long, n_tokens long, content binary"
+MANIFEST = ["part", "shard", "n_docs", "n_tokens"]
+
+
 def write_shards(
     docs: DataFrame,
     vocabulary: str,
@@ -136,21 +142,21 @@ def write_shards(
     text_col: str = "text",
     shard_tokens: int = SHARD_TOKENS,
 ) -> DataFrame:
-    """Write the shards below ``folder`` (any path that Arrow's file systems know); returns the manifest.
+    """Write the shards to ``folder``, which must hold none yet; returns the manifest.
 
-    ``part`` and ``shard`` order the files; ``file`` is a name in the folder. Write the manifest
-    to a table before using it more than once: computing it writes the files.
+    ``part`` and ``shard`` order the shards.
     """
+    spark = docs.sparkSession
+    if has_files(spark, folder):
+        raise FileExistsError(f"{folder} holds files already")
     with open(vocabulary, "rb") as file:
-        content = docs.sparkSession.sparkContext.broadcast(file.read())
+        content = spark.sparkContext.broadcast(file.read())
     rows = docs.select(column(key_col).alias("key"), column(text_col).alias("text"))
     ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value)
-        system, path = fs.FileSystem.from_uri(folder)
-        system.create_dir(path, recursive=True)
-        part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
+        part = TaskContext.get().partitionId()
         held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         shard = 0
 
@@ -158,15 +164,12 @@ def write_shards(
             nonlocal shard
             keys = pa.concat_arrays([k for k, _, _ in held])
             counts, ids = (np.concatenate([h[i] for h in held]) for i in (1, 2))
-            name = f"part-{part:06d}-{shard:06d}-{attempt}.wmx"
-            with system.open_output_stream(f"{path}/{name}") as out:
-                out.write(pack_shard(keys, counts, ids, encoder.levels))
-            row = [[part], [shard], [name], [len(keys)], [len(ids)]]
-            kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+            row = [[part], [shard], [len(keys)], [len(ids)], [pack_shard(keys, counts, ids, encoder.levels)]]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             shard += 1
             held.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(v, k) for v, k in zip(row, kinds, strict=True)], ["part", "shard", "file", "n_docs", "n_tokens"]
+                [pa.array(v, k) for v, k in zip(row, kinds, strict=True)], [*MANIFEST, "content"]
             )
 
         for batch in batches:
@@ -179,25 +182,35 @@ def write_shards(
         if held:
             yield flush()
 
-    return ordered.mapInArrow(run, "part int, shard int, file string, n_docs long, n_tokens long")
+    # Shards are compressed already; one is a page, and a few are a row group.
+    stored = ordered.mapInArrow(run, STORED).write.option("compression", "none").option("parquet.block.size", ROW_GROUP)
+    stored.mode("append").parquet(folder)
+    return spark.read.schema(STORED).parquet(folder).select(*MANIFEST)
 
 
-def read_shards(manifest: DataFrame, folder: str, key: str = "long") -> DataFrame:
-    """Per document: ``key``, ``start`` (tokens of all documents before it), ``n_tokens`` and ``ids``,
-    little-endian 32-bit integers, all of it from the files."""
+def _shards(manifest: DataFrame, folder: str) -> DataFrame:
+    return manifest.sparkSession.read.schema(STORED).parquet(folder)
+
+
+def _starts(manifest: DataFrame) -> DataFrame:
+    """How many tokens stand before each shard."""
     parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     # One row per partition of the write, whatever the size of the data.
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_tokens")
     placed = manifest.withColumn("inside", inside).join(before, "part")
-    placed = placed.select("file", (F.col("before") + F.col("inside")).alias("start"))
+    return placed.select("part", "shard", (F.col("before") + F.col("inside")).alias("start"))
+
+
+def read_shards(manifest: DataFrame, folder: str, key: str = "long") -> DataFrame:
+    """Per document: ``key``, ``start`` (tokens of all documents before it), ``n_tokens`` and ``ids``,
+    little-endian 32-bit integers, all of it from the files."""
+    placed = _shards(manifest, folder).join(_starts(manifest), ["part", "shard"]).select("start", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, path = fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for name, start in zip(batch["file"].to_pylist(), batch["start"].to_pylist(), strict=True):
-                with system.open_input_stream(f"{path}/{name}") as file:
-                    keys, counts, matrix = unpack_shard(file.read())
+            for content, start in zip(batch["content"], batch["start"].to_pylist(), strict=True):
+                keys, counts, matrix = unpack_shard(content.as_py())
                 ids = matrix.values().astype("<u4")
                 ends = np.cumsum(counts)
                 raw = ids.tobytes()
@@ -207,7 +220,37 @@ def read_shards(manifest: DataFrame, folder: str, key: str = "long") -> DataFram
                     ["key", "start", "n_tokens", "ids"],
                 )
 
-    # Each file is one row here, so AQE would give all of them to one task; a stated number holds.
-    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = placed.repartition(tasks, "file")
-    return spread.mapInArrow(run, f"key {key}, start long, n_tokens long, ids binary")
+    return placed.mapInArrow(run, f"key {key}, start long, n_tokens long, ids binary")
+
+
+def token_counts(manifest: DataFrame, folder: str, tokens: list[int]) -> DataFrame:
+    """``token`` and ``occurrences`` in all shards, counted by rank."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch["content"]:
+                matrix = unpack_shard(content.as_py())[2]
+                counts = [matrix.count(token) for token in tokens]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens, pa.int32()), pa.array(counts, pa.int64())], ["token", "n"]
+                )
+
+    found = _shards(manifest, folder).select("content").mapInArrow(run, "token int, n long")
+    return found.groupBy("token").agg(F.sum("n").alias("occurrences"))
+
+
+def token_places(manifest: DataFrame, folder: str, token: int, key: str = "long") -> DataFrame:
+    """``place`` (tokens before it in all shards) and ``key`` (its document) of every occurrence, by select."""
+    placed = _shards(manifest, folder).join(_starts(manifest), ["part", "shard"]).select("start", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content, start in zip(batch["content"], batch["start"].to_pylist(), strict=True):
+                keys, counts, matrix = unpack_shard(content.as_py())
+                places = np.array(matrix.places(token), np.int64)
+                owners = np.searchsorted(np.cumsum(counts), places, side="right")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(places + start), keys.take(pa.array(owners))], ["place", "key"]
+                )
+
+    return placed.mapInArrow(run, f"place long, key {key}")

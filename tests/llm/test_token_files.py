@@ -85,3 +85,35 @@ def test_query(spark, library):
         ids = [*library.encode(doc["text"] or "", add_special_tokens=False).ids, 2]
         assert got[doc["doc_id"]] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+def test_lookups_in_stored_shards(spark, folder, library, monkeypatch):
+    monkeypatch.setattr(tf, "CHUNK_BYTES", 30)
+    rows = [Row(doc_id=i, text=f"word {i % 7} the word " * (i % 4)) for i in range(60)]
+    docs = spark.createDataFrame(rows)
+    manifest = tf.write_shards(docs, PATH, f"{folder}/shards", shard_tokens=40)
+    assert manifest.count() > 3
+    flat, owners = [], []
+    for row in rows:
+        ids = [*library.encode(row["text"]).ids, 2]
+        flat += ids
+        owners += [row["doc_id"]] * len(ids)
+    wanted = {t: flat.count(t) for t in {*flat[:20], 2, 40_000}}
+    got = {r["token"]: r["occurrences"] for r in tf.token_counts(manifest, f"{folder}/shards", list(wanted)).collect()}
+    assert got == wanted
+    for token in (flat[5], 2, 40_000):
+        places = sorted((r["place"], r["key"]) for r in tf.token_places(manifest, f"{folder}/shards", token).collect())
+        assert places == [(n, owners[n]) for n, t in enumerate(flat) if t == token]
+    with pytest.raises(FileExistsError):
+        tf.write_shards(docs, PATH, f"{folder}/shards")
+
+
+def test_a_path_that_only_spark_knows_and_other_keys(spark, folder):
+    """viewfs paths exist for Hadoop's file systems alone."""
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.tokens.link./out", f"file://{folder}")
+    docs = spark.createDataFrame([Row(name="b", text="one two"), Row(name="a", text=None), Row(name=None, text="x")])
+    where = "viewfs://tokens/out/shards"
+    manifest = tf.write_shards(docs, PATH, where, key_col="name")
+    got = sorted(tf.read_shards(manifest, where, key="string").collect(), key=lambda r: r["start"])
+    assert [(r["key"], r["n_tokens"]) for r in got] == [(None, 2), ("a", 1), ("b", 3)]
