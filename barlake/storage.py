@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,9 +66,32 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return False
 
 
+# Open scopes; a path belongs to all that are open when it is made.
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, keep: Callable[[], list[str]] = list) -> Iterator[None]:
+    """Remove the scratch paths made inside, but for those that ``keep`` names at the end.
+
+    For whoever writes the results that are still read from them; one thread at a time.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES[:] = [scope for scope in _SCOPES if scope is not made]
+        for path in set(made) - set(keep()):
+            remove_tree(spark, path)
 
 
 @contextmanager

@@ -177,3 +177,19 @@ def test_table_append_is_partitioned(spark, folder):
         (0, 3),
         (1, 3),
     ]
+
+
+def test_scratch_scope_removes_all_but_what_is_kept(spark):
+    from barlake import storage
+
+    kept = []
+    with storage.scratch_scope(spark, lambda: kept):
+        for name in ("a", "b"):
+            spark.range(1).write.parquet(path := storage.scratch_path(spark, name))
+            kept[:] = [path]
+        with storage.scratch_scope(spark):
+            spark.range(1).write.parquet(inner := storage.scratch_path(spark, "c"))
+        assert not storage.path_exists(spark, inner)
+    assert storage.path_exists(spark, kept[0])
+    outside = storage.scratch_path(spark, "d")
+    assert outside not in kept and storage._SCOPES == []
