@@ -31,6 +31,7 @@ from barlake.llm import bpe, decontamination, neardup, quality_rules, suffix_arr
 from barlake.llm.queries import tokenizer_path
 from barlake.llm.scratch import Scratch
 from barlake.llm.text import read_table
+from barlake.storage import remove_tree, scratch_scope
 
 PASSAGE_BYTES = 200
 
@@ -80,10 +81,18 @@ ORACLE_SQL = None
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of the last stage. What a stage worked with goes once its table is written, and that
+    table goes once the next one is."""
     scratch = Scratch(spark)
     docs = read_table(spark, sf_dir.rstrip("/"), "documents")
+    done: list[str] = []
     for name, stage in STAGES:
-        docs = scratch.result(stage(spark, docs, sf_dir.rstrip("/")), f"pipeline-{name}")
+        with scratch_scope(spark, lambda: done[-1:]):
+            docs = scratch.result(stage(spark, docs, sf_dir.rstrip("/")), f"pipeline-{name}")
+            done.append(scratch.last)
+        for path in done[:-1]:
+            remove_tree(spark, path)
+        del done[:-1]
     return docs
 
 

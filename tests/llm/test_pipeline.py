@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from barlake.llm.queries import registered
 from barlake.llm.quality_rules import judge
+from barlake.session import shared_dir
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -117,8 +119,11 @@ def test_matches_the_stages_one_by_one(spark, tables):
     for k, t in fourth:
         ids = library.encode(t, add_special_tokens=False).ids
         wanted[k] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), True)
+    before = set(Path(shared_dir(spark)).iterdir())
     got = {r["doc_id"]: tuple(r)[1:] for r in corpus_pipeline.run(spark, tables).collect()}
     assert got == wanted
+    left = set(Path(shared_dir(spark)).iterdir()) - before
+    assert [p.name.rsplit("-", 1)[0] for p in left] == ["pipeline-bpe"]
 
 
 def test_the_last_stage_keeps_the_token_ids(spark, folder):
