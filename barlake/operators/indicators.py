@@ -300,8 +300,9 @@ def with_ema(bars: DataFrame, n: int, column: str = "close_price") -> DataFrame:
         .orderBy("fetch_date")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    grown = F.sum(value * F.pow(F.lit(1 / decay), F.col("_offset"))).over(in_block)
-    local = numbered.withColumn("_local", grown * F.pow(F.lit(decay), F.col("_offset")))
+    # Both by powers of the same number, whose rounding then cancels out.
+    weight = F.pow(F.lit(decay), F.col("_offset"))
+    local = numbered.withColumn("_local", F.sum(value / weight).over(in_block) * weight)
     closing = F.when(F.col("_offset") == block - 1, F.col("_local"))
     before = F.last(closing, ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     carried = F.coalesce(before, F.lit(0.0)) * F.pow(F.lit(decay), F.col("_offset") + 1)

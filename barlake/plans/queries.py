@@ -707,7 +707,7 @@ def settled_indicators_stream(spark, sf_dir):
     root = scratch_path(spark, "settled")
     ticks = fx.event_columns(event_stream(spark, sf_dir)).withColumn("event_time", hot_path.event_time())
     hot_path.start_settled_path(
-        hot_path.settled_indicators(ticks, "10 minutes"), f"{root}/indicators", f"{root}/checkpoint", None
+        hot_path.settled_indicators(ticks, "10 minutes"), f"{root}/indicators", f"{root}/checkpoint", None, "day"
     ).awaitTermination()
     stored = spark.read.schema(schemas.INDICATORS_DDL).parquet(f"{root}/indicators").drop("window_part")
     return without_zone(rounded(stored, "sma", "vwap"), "window_start", "window_end")
