@@ -188,6 +188,7 @@ def forecast_vs_actual(
     )
     if lag_after_join:
         joined = joined.withColumn("previous_close", previous)
+    # The column names of the panel.
     return joined.select(
         F.col("fetch_date").cast("timestamp_ntz").alias("time"),
         "symbol",
