@@ -165,3 +165,15 @@ def test_kafka_needs_its_connector(spark):
 def test_event_time(spark):
     (row,) = ticks(spark, [("A", 1.0, 1.0, 0, 0)]).select(event_time().alias("t")).collect()
     assert row.t == datetime.fromtimestamp(BASE_MS / 1000)
+
+
+def test_late_windows_drops_a_tick_just_behind_the_first_watermark(spark, folder):
+    from barlake.plans import queries
+
+    rows = [(1, "01-14 23:58:40", 10.0), (20, "01-14 23:58:30", 50.0), (21, "01-16 12:00:00", 3.0), (22, "01-25 12:00:00", 4.0)]
+    spark.createDataFrame(
+        [(i, f"2024-{t}", 1, "a", v, '{"k": 1}') for i, t, v in rows],
+        "event_id long, ts string, user_id long, event_type string, value double, props string",
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{folder}/events.parquet")
+    got = queries.registered()["late_windows"](spark, folder).collect()
+    assert {r.sma for r in got} == {10.0, 3.0, 4.0} and all(r.late_ticks_noticed for r in got)
