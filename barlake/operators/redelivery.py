@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barlake.sources.tables import read_parquet_or_empty
+from barlake.sources.tables import gathered, read_parquet_or_empty
 from barlake.storage import remove_tree
 
 # Offsets in a block: as many as bits in one bitmap of ``bitmap_construct_agg``.
@@ -50,18 +50,51 @@ def offset_blocks(messages: DataFrame) -> DataFrame:
 
 
 def _overlaps(blocks: DataFrame, intervals: DataFrame) -> DataFrame:
-    """Stored intervals under the block each of them reaches into."""
-    stored = intervals.select(
-        *SOURCE, F.col("first_offset").alias("seen_first"), F.col("last_offset").alias("seen_last")
+    """Stored intervals under each of the blocks they reach into.
+
+    An interval is spelt out in blocks only inside the range of its source's blocks, so a long history costs
+    no more than the batch.
+    """
+    ranges = blocks.groupBy(*SOURCE).agg(F.min("block").alias("low"), F.max("block").alias("high"))
+    reached = intervals.select(
+        *SOURCE,
+        F.col("first_offset").alias("seen_first"),
+        F.col("last_offset").alias("seen_last"),
+        F.floor(F.col("first_offset") / BLOCK).cast("bigint").alias("from_block"),
+        F.floor(F.col("last_offset") / BLOCK).cast("bigint").alias("to_block"),
+    ).join(ranges, SOURCE)
+    steps = F.sequence(F.greatest("from_block", "low"), F.least("to_block", "high"))
+    stored = reached.filter((F.col("from_block") <= F.col("high")) & (F.col("to_block") >= F.col("low"))).select(
+        *SOURCE, F.explode(steps).alias("block"), "seen_first", "seen_last"
     )
     return (
         blocks.select(*BLOCK_KEYS, "first_offset", "last_offset")
-        .join(stored, SOURCE)
+        .join(stored, BLOCK_KEYS)
         .filter((F.col("seen_first") <= F.col("last_offset")) & (F.col("seen_last") >= F.col("first_offset")))
         .select(*BLOCK_KEYS, "seen_first", "seen_last")
     )
 
 
+def _taken_offsets(placed: DataFrame, seen: DataFrame) -> DataFrame:
+    """The offsets of messages that lie in one of their block's intervals.
+
+    Offsets and intervals of a block are sorted together: an offset is taken if an interval that starts no later
+    ends no earlier. Blocks can hold thousands of both, so they are not compared in pairs.
+    """
+    touched = seen.select(*BLOCK_KEYS).distinct()
+    offsets = placed.select(*BLOCK_KEYS, "offset").join(touched, BLOCK_KEYS, "left_semi")
+    both = offsets.select(
+        *BLOCK_KEYS, F.col("offset").alias("_at"), F.lit(None).cast("bigint").alias("_until")
+    ).unionByName(seen.select(*BLOCK_KEYS, F.col("seen_first").alias("_at"), F.col("seen_last").alias("_until")))
+    # Equal places are one range of the window, so an interval counts for the offset it starts at.
+    so_far = Window.partitionBy(*BLOCK_KEYS).orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    return (
+        both.withColumn("_reached", F.max("_until").over(so_far))
+        .filter(F.col("_until").isNull() & (F.col("_at") <= F.col("_reached")))
+        .select(*SOURCE, F.col("_at").alias("offset"))
+    )
+
+
 def fresh_messages(messages: DataFrame, blocks: DataFrame, intervals: DataFrame) -> DataFrame:
     """The messages whose offset is in no stored interval, one for each offset.
 
@@ -76,14 +109,7 @@ def fresh_messages(messages: DataFrame, blocks: DataFrame, intervals: DataFrame)
     columns = messages.columns
     placed = messages.withColumn("block", F.when(_has_place(), _block()))
     if known:
-        taken = seen.select(*[F.col(c).alias(f"seen_{c}") for c in BLOCK_KEYS], "seen_first", "seen_last")
-        same = (
-            (F.col("topic") == F.col("seen_topic"))
-            & (F.col("partition") == F.col("seen_partition"))
-            & (F.col("block") == F.col("seen_block"))
-            & F.col("offset").between(F.col("seen_first"), F.col("seen_last"))
-        )
-        placed = placed.join(taken, same, "left_anti")
+        placed = placed.join(_taken_offsets(placed, seen), [*SOURCE, "offset"], "left_anti")
     if again:
         flagged = placed.join(repeated.withColumn("_again", F.lit(True)), BLOCK_KEYS, "left")
         single = flagged.filter(F.col("_again").isNull())
@@ -109,7 +135,9 @@ def merged_intervals(intervals: DataFrame) -> DataFrame:
 
 def batch_intervals(messages: DataFrame, blocks: DataFrame) -> DataFrame:
     """The intervals of offsets of a batch, merged."""
-    whole = blocks.filter("n_offsets = last_offset - first_offset + 1").select(*SOURCE, "first_offset", "last_offset")
+    whole = blocks.filter("n_offsets = last_offset - first_offset + 1").select(
+        *BLOCK_KEYS, "first_offset", "last_offset"
+    )
     broken = blocks.filter("n_offsets < last_offset - first_offset + 1").select(*BLOCK_KEYS)
     # At most BLOCK offsets in a window.
     single = (
@@ -119,8 +147,12 @@ def batch_intervals(messages: DataFrame, blocks: DataFrame) -> DataFrame:
         .select(*BLOCK_KEYS, F.col("offset").alias("first_offset"), F.col("offset").alias("last_offset"))
         .distinct()
     )
-    islands = _islands(single, BLOCK_KEYS, "first_offset", "last_offset").drop("block")
-    return merged_intervals(whole.unionByName(islands))
+    islands = _islands(single, BLOCK_KEYS, "first_offset", "last_offset")
+    found = whole.unionByName(islands)
+    # Only ranges that reach a border of their block can go on in another one: two of a block at most.
+    inside = (F.pmod("first_offset", F.lit(BLOCK)) > 0) & (F.pmod("last_offset", F.lit(BLOCK)) < BLOCK - 1)
+    parts = found.withColumn("block", F.when(inside, F.col("block")))
+    return _islands(parts, BLOCK_KEYS, "first_offset", "last_offset").drop("block")
 
 
 def stored_intervals(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
@@ -132,8 +164,7 @@ def stored_intervals(spark: SparkSession, path: str, before_batch: int | None =
 def store_intervals(intervals: DataFrame, path: str, batch_id: int) -> None:
     """Replace the intervals of a batch."""
     (
-        intervals.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .coalesce(1)
+        gathered(intervals.withColumn("batch_id", F.lit(batch_id).cast("bigint")), ["batch_id"])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")

@@ -1,7 +1,8 @@
 import random
+import re
 
 import pytest
-from helpers import random_ticks, rows, ticks
+from helpers import plan_of, random_ticks, rows, ticks
 from pyspark.sql import functions as F
 from test_cold_path import TOPICS, fact, run, seed_assets
 from test_streaming import envelopes
@@ -84,3 +85,28 @@ def test_compaction_keeps_the_offsets_and_the_newest_batch(spark, folder):
     stored = redelivery.stored_intervals(spark, path)
     assert rows(stored.select("first_offset", "last_offset", "batch_id")) == [(1, 5, 2), (6, 7, 3), (9, 9, 2)]
     assert redelivery.compact_intervals(spark, path) == (3, 3)
+
+
+def test_windows_stay_inside_blocks_and_offsets_are_not_compared_in_pairs(spark):
+    plan = plan_of(taken(frame(spark, [5, 6, 9])))
+    specs = re.findall(r"windowspecdefinition\(([^)]*)", plan)
+    assert specs and all("block#" in spec for spec in specs)
+    messages, before = frame(spark, range(1, 90, 2)), taken(frame(spark, range(0, 90, 2))).withColumn("batch_id", F.lit(0))
+    fresh = redelivery.fresh_messages(messages, redelivery.offset_blocks(messages), before)
+    assert not re.search(r"LeftAnti,[^\n]*>=", plan_of(fresh))
+    assert fresh.count() == messages.count()
+
+
+def test_stored_intervals_are_written_by_more_than_one_task(spark, folder):
+    plans = spark.range(0, 1000, 1, 4).selectExpr("'a' AS topic", "0 AS partition", "2 * id AS first_offset", "2 * id AS last_offset")
+    with_conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
+    old = {k: spark.conf.get(k) for k in with_conf}
+    try:
+        for key, value in with_conf.items():
+            spark.conf.set(key, value)
+        redelivery.store_intervals(plans, folder + "/offsets", 3)
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    stored = redelivery.stored_intervals(spark, folder + "/offsets")
+    assert stored.count() == 1000 and len(stored.inputFiles()) > 1
