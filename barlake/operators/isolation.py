@@ -6,15 +6,19 @@ and the node or row, so a forest is the same wherever its rows lie. The sample o
 ``sample`` rows of smallest hash, a bound that belongs to the method; every row is scored.
 
 Trees grow level by level: a level is one aggregate over the samples, and its cuts, at most
-``trees * 2**level`` rows whatever the data, go to the driver and back as a broadcast table. Scoring joins
-each row with the cuts of each level and averages its path over the trees with a map-side combine.
+``trees * 2**level`` rows whatever the data, go to the driver and back as a broadcast table. Scoring walks batches
+of rows down all trees with numpy, in the tasks that read them.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -52,12 +56,15 @@ def mean_depth(size: float) -> float:
     return 1.0 if size == 2 else 2 * (math.log(size - 1) + GAMMA) - 2 * (size - 1) / size
 
 
+def _usable(values: list[Column]) -> list[Column]:
+    return [v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))) for v in values]
+
+
 def _complete(rows: DataFrame, keys: list[str], features: tuple[str, ...]) -> DataFrame:
     """Keys and an array of features of the rows that have all of them as finite numbers."""
     values = [F.col(c).cast("double") for c in features]
-    usable = [v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))) for v in values]
     kept = rows
-    for condition in usable:
+    for condition in _usable(values):
         kept = kept.filter(condition)
     return kept.select(*keys, F.array(*values).alias("x"))
 
@@ -121,31 +128,54 @@ def fit_forest(
     return Forest(features, trees, depth, sample, sorted(cuts), sorted(leaves))
 
 
+def _mean_path(forest: Forest) -> Callable[[Column], Column]:
+    """The mean path of a row's array of features over the trees.
+
+    The forest is a few arrays by tree and node, so a batch of rows walks down each tree at once; rows are neither
+    copied per tree nor shuffled.
+    """
+    shape = (forest.trees, 1 << (forest.depth + 1))
+    feature, cut, path = np.full(shape, -1), np.zeros(shape), np.full(shape, np.nan)
+    for tree, node, chosen, place in forest.cuts:
+        feature[tree, node], cut[tree, node] = chosen, place
+    # A leaf's path: its depth, and what cutting its sample rows further would have taken.
+    for tree, node, size in forest.leaves:
+        path[tree, node] = node.bit_length() - 1 + mean_depth(size)
+    depth = forest.depth
+
+    def walk(x: pd.Series) -> pd.Series:
+        total, reached = np.zeros(len(x)), np.zeros(len(x))
+        if len(x):
+            values = np.stack(x.to_numpy())
+            rows = np.arange(len(x))
+            for features, cuts, paths in zip(feature, cut, path, strict=True):
+                node = np.ones(len(x), dtype=np.int64)
+                for _ in range(depth):
+                    f = features[node]
+                    node = np.where(f >= 0, 2 * node + (values[rows, f] >= cuts[node]), node)
+                found = paths[node]
+                total += np.nan_to_num(found)
+                reached += ~np.isnan(found)
+        return pd.Series(total / np.maximum(reached, 1))
+
+    return F.pandas_udf(walk, "double")
+
+
 def with_isolation(
     rows: DataFrame, keys: list[str], forest: Forest, limit: float = 0.65
 ) -> DataFrame:
     """W-15: ``isolation_score`` (near 1: unusual, below 0.5: not) and its flag; rows with a
     missing feature have no score and are not flagged."""
-    spark = rows.sparkSession
-    complete = _complete(rows, keys, forest.features)
-    walking = complete.withColumns(
-        {"tree": F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))), "node": F.lit(1)}
-    )
-    for level in range(forest.depth):
-        cuts = [c for c in forest.cuts if c[1].bit_length() == level + 1]
-        if cuts:
-            walking = _descend(walking, spark.createDataFrame(cuts, CUTS_DDL))
-    # A leaf's path: its depth, and what cutting its sample rows further would have taken.
-    paths = [(tree, node, node.bit_length() - 1 + mean_depth(size)) for tree, node, size in forest.leaves]
-    leaves = spark.createDataFrame(paths, "tree INT, node INT, path DOUBLE")
+    values = [F.col(c).cast("double") for c in forest.features]
+    usable = reduce(lambda a, b: a & b, _usable(values))
     sizes: dict[int, int] = {}
     for tree, _, size in forest.leaves:
         sizes[tree] = sizes.get(tree, 0) + size
     # A small table gives smaller samples than asked for.
     usual = mean_depth(sum(sizes.values()) / len(sizes)) if sizes else 0.0
-    mean = (
-        walking.join(F.broadcast(leaves), ["tree", "node"]).groupBy(*keys).agg(F.avg("path").alias("_path"))
-    )
-    score = F.pow(F.lit(2.0), -F.col("_path") / usual) if usual else F.lit(None).cast("double")
-    scored = rows.join(mean, keys, "left").withColumn("isolation_score", score).drop("_path")
+    score = F.lit(None).cast("double")
+    if usual:
+        x = F.when(usable, F.array(*values)).otherwise(F.array(*[F.lit(0.0) for _ in values]))
+        score = F.when(usable, F.pow(F.lit(2.0), -_mean_path(forest)(x) / usual))
+    scored = rows.withColumn("isolation_score", score)
     return scored.withColumn("is_isolated", F.coalesce(F.col("isolation_score") > limit, F.lit(False)))

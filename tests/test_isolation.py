@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from helpers import plan_of
 from pyspark.sql import functions as F
 
 from barlake.operators import isolation as iso
@@ -94,3 +95,9 @@ def test_missing_features_equal_rows_and_no_rows(spark):
     assert not any(r.is_isolated for r in got.values())
     assert scores(same.limit(0)) == {}
     assert scores(odd)["A", 1].isolation_score is None
+
+
+def test_scoring_neither_copies_nor_shuffles_rows(spark):
+    data = frame(spark, 5, 60)
+    plan = plan_of(iso.with_isolation(data, ["symbol", "i"], iso.fit_forest(data, ["symbol", "i"], FEATURES, trees=3, sample=16)))
+    assert "Generate" not in plan and "Exchange" not in plan
