@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,6 +74,22 @@ def needs_compaction(sizes: DataFrame, target_bytes: int = TARGET_FILE_BYTES) ->
 
 COMPACTION = "compaction"
 
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession, files: int = 16) -> Iterator[None]:
+    """Partitioned writes inside keep up to so many files open in a task.
+
+    Otherwise a task first sorts all its rows by partition, and one that writes a large file holds all of it.
+    """
+    before = spark.conf.get(OPEN_FILES)
+    spark.conf.set(OPEN_FILES, files)
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_FILES, before)
+
 
 def compact(
     spark: SparkSession,
@@ -111,14 +128,15 @@ def compact(
         *[rows[c] for c in rows.columns],
         F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), "wanted").alias("_file"),
     )
-    (
-        spread.repartition(*partition_cols, "_file")
-        .drop("_file")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_cols)
-        .parquet(path)
-    )
+    with unsorted_writes(spark):
+        (
+            spread.repartition(*partition_cols, "_file")
+            .drop("_file")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_cols)
+            .parquet(path)
+        )
     discard_staging(spark, path, COMPACTION)
     return before, list_files(spark, path).count()
 

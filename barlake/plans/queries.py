@@ -530,7 +530,8 @@ def compacted_table(spark, sf_dir):
     bars = keyed_bars(spark, sf_dir).withColumn(
         "month_key", F.floor(F.col("month_key") / 100).cast("int")
     )
-    bars.repartition(8, "symbol", "date_key").write.partitionBy("month_key").parquet(path)
+    with maint.unsorted_writes(spark):
+        bars.repartition(8, "symbol", "date_key").write.partitionBy("month_key").parquet(path)
     step = ("bars", "compact", lambda: maint.compact(spark, path, ["month_key"], KEYED_DDL))
     done = maint.maintain(spark, [step, step])
     table = spark.read.schema(KEYED_DDL).parquet(path)

@@ -108,3 +108,12 @@ def test_orphans_of_a_stream_are_found_and_removed(spark, folder):
     assert before - after == 1
     assert spark.read.schema("p string, v int").json(path).count() == 2
     assert maint.sink_orphans(spark, path, "*.json").count() == 0
+
+
+def test_partitioned_writes_can_do_without_a_sort(spark, folder):
+    before = spark.conf.get(maint.OPEN_FILES)
+    with maint.unsorted_writes(spark):
+        spark.range(20).selectExpr("id", "id % 3 AS part").repartition(2).write.partitionBy("part").parquet(f"{folder}/t")
+        assert spark.conf.get(maint.OPEN_FILES) == "16"
+    assert spark.conf.get(maint.OPEN_FILES) == before
+    assert spark.read.parquet(f"{folder}/t").groupBy("part").count().orderBy("part").collect()[0]["count"] == 7
