@@ -209,11 +209,10 @@ def with_volatility(bars: DataFrame, n: int = 20) -> DataFrame:
 
 
 def with_price_ratios(bars: DataFrame, length: int = 20, vwap: str | None = None) -> DataFrame:
-    """W-10: close against its moving average and, given one, a VWAP column."""
-    bars = bars.withColumn(
-        f"price_sma_{length}_ratio",
-        F.try_divide("close_price", moving_average("close_price", length)),
-    )
+    """W-10: close against its moving average (W-6, if it is there already) and, given one, a VWAP column."""
+    known = f"sma_{length}"
+    mean = F.col(known) if known in bars.columns else moving_average("close_price", length)
+    bars = bars.withColumn(f"price_sma_{length}_ratio", F.try_divide(F.col("close_price"), mean))
     if vwap is not None:
         bars = bars.withColumn("price_vwap_ratio", F.try_divide("close_price", vwap))
     return bars
@@ -271,44 +270,75 @@ def with_rsi(bars: DataFrame, n: int = 14, high: float = 70.0, low: float = 30.0
 
 # How far a weight may grow inside one block of bars, as a power of ten; doubles reach 1e308.
 EMA_DIGITS = 200
+# What older blocks may weigh at most, as a negative power of ten, for averages that share their blocks.
+EMA_SHARED_DIGITS = 40
+
+
+def _ema_decay(n: int) -> float:
+    return 1 - 2.0 / (n + 1)
+
+
+def _ema_block(n: int) -> int:
+    """Bars in a block: as many as a double allows."""
+    return max(1, int(EMA_DIGITS / -math.log10(_ema_decay(n))))
 
 
 def with_ema(bars: DataFrame, n: int, column: str = "close_price") -> DataFrame:
-    """W-12: exponential moving average, weight 2/(n+1), seeded with the first bar.
+    """W-12: exponential moving average, weight 2/(n+1), seeded with the first bar; see ``with_emas``."""
+    return with_emas(bars, (n,), column)
+
+
+def with_emas(bars: DataFrame, lengths: tuple[int, ...], column: str = "close_price") -> DataFrame:
+    """W-12 for several lengths.
 
     A prefix scan on two levels, linear in the bars. Inside a block the average is a running sum of bars with
     growing weights, scaled back at each bar. The blocks are as long as a double allows
     (thousands of bars; a year has 366), so of the blocks before only the last one's closing average
-    still weighs anything: older bars count for less than 1e-200 of a price. A null price leaves the
-    average null from there on.
+    still weighs anything: older bars count for less than 1e-200 of a price, or 1e-40 where lengths share
+    the shortest of their blocks. A null price leaves the average null from there on.
+
+    Bars are sorted twice, to number them and by block; lengths that can share blocks share both sorts.
     """
-    alpha = 2.0 / (n + 1)
-    decay = 1 - alpha
-    name, ordered = f"ema_{n}", symbol_window()
+    ordered = symbol_window()
     so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
     complete = F.count(F.when(F.col(column).isNull(), 1)).over(so_far) == 0
-    if decay == 0:
-        return bars.withColumn(name, F.when(complete, F.col(column)))
-    block = max(1, int(EMA_DIGITS / -math.log10(decay)))
-    numbered = bars.withColumn("_row", F.row_number().over(ordered) - 1).withColumns(
-        {"_block": F.floor(F.col("_row") / block), "_offset": F.col("_row") % block}
-    )
-    # The first bar enters with full weight.
-    value = F.when(F.col("_row") == 0, F.col(column)).otherwise(F.col(column) * alpha)
+    long = [n for n in lengths if _ema_decay(n) > 0]
+    block = min((_ema_block(n) for n in long), default=1)
+    if any(min(EMA_SHARED_DIGITS, -_ema_block(n) * math.log10(_ema_decay(n))) > -block * math.log10(_ema_decay(n)) for n in long):
+        for n in lengths:
+            bars = with_emas(bars, (n,), column)
+        return bars
+    numbered = bars.withColumns({"_row": F.row_number().over(ordered) - 1, "_complete": complete})
+    numbered = numbered.withColumns({"_block": F.floor(F.col("_row") / block), "_offset": F.col("_row") % block})
     in_block = (
         Window.partitionBy("symbol", "_block")
         .orderBy("fetch_date")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    # Both by powers of the same number, whose rounding then cancels out.
-    weight = F.pow(F.lit(decay), F.col("_offset"))
-    local = numbered.withColumn("_local", F.sum(value / weight).over(in_block) * weight)
-    closing = F.when(F.col("_offset") == block - 1, F.col("_local"))
-    before = F.last(closing, ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    carried = F.coalesce(before, F.lit(0.0)) * F.pow(F.lit(decay), F.col("_offset") + 1)
-    return local.withColumn(name, F.when(complete, F.col("_local") + carried)).drop(
-        "_row", "_block", "_offset", "_local"
+    # The same order as by date alone, and the one that the rows are already in.
+    earlier = (
+        Window.partitionBy("symbol")
+        .orderBy("_block", "fetch_date")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    local = {}
+    for n in long:
+        # The first bar enters with full weight.
+        value = F.when(F.col("_row") == 0, F.col(column)).otherwise(F.col(column) * (2.0 / (n + 1)))
+        # Both by powers of the same number, whose rounding then cancels out.
+        weight = F.pow(F.lit(_ema_decay(n)), F.col("_offset"))
+        local[f"_local_{n}"] = F.sum(value / weight).over(in_block) * weight
+    scanned = numbered.withColumns(local) if local else numbered
+    found = {}
+    for n in lengths:
+        if n not in long:
+            found[f"ema_{n}"] = F.when(F.col("_complete"), F.col(column))
+            continue
+        closing = F.when(F.col("_offset") == block - 1, F.col(f"_local_{n}"))
+        before = F.last(closing, ignorenulls=True).over(earlier)
+        carried = F.coalesce(before, F.lit(0.0)) * F.pow(F.lit(_ema_decay(n)), F.col("_offset") + 1)
+        found[f"ema_{n}"] = F.when(F.col("_complete"), F.col(f"_local_{n}") + carried)
+    return scanned.withColumns(found).drop("_row", "_complete", "_block", "_offset", *local)
 
 
 def with_volume_anomaly(

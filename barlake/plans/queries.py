@@ -817,7 +817,7 @@ def rsi(spark, sf_dir):
 @query
 def ema(spark, sf_dir):
     """W-12"""
-    frame = ind.with_ema(ind.with_ema(supplier_bars(spark, sf_dir), 5), 20)
+    frame = ind.with_emas(supplier_bars(spark, sf_dir), (5, 20))
     return rounded(frame.select("symbol", "fetch_date", "ema_5", "ema_20"), "ema_5", "ema_20")
 
 

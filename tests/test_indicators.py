@@ -1,8 +1,9 @@
 import random
+import re
 
 import pandas as pd
 import pytest
-from helpers import BASE_MS, DAY_MS, random_ticks, rows, ticks
+from helpers import BASE_MS, DAY_MS, plan_of, random_ticks, rows, ticks
 from pyspark.sql import functions as F
 
 from barlake.functions.scalars import event_time
@@ -145,3 +146,15 @@ def test_ema_of_length_one_and_after_a_null(spark):
     bars = bar_series(spark, [3, 1, 2, 4]).withColumn("close_price", F.when(F.col("close_price") != 2, F.col("close_price")))
     got = [r.ema_3 for r in ind.with_ema(bars, 3).orderBy("i").collect()]
     assert got == [3.0, 2.0, None, None]
+
+
+def test_emas_of_several_lengths_share_two_sorts(spark):
+    bars = bar_series(spark, [float(i % 7 + 1) for i in range(40)])
+    both = ind.with_emas(bars, (5, 20, 1))
+    assert len(re.findall(r"(?m)^[ :+-]*(?:\*\(\d+\) )?Sort \[", plan_of(both))) <= 2
+    apart = ind.with_ema(ind.with_ema(bars, 5), 20)
+    for got, expected in zip(both.orderBy("i").collect(), apart.orderBy("i").collect(), strict=True):
+        assert (got.ema_5, got.ema_20, got.ema_1) == (expected.ema_5, expected.ema_20, got.close_price)
+    # Lengths whose weights fade too slowly for common blocks get their own.
+    slow = [r.ema_400 for r in ind.with_emas(bars, (2, 400)).orderBy("i").collect()]
+    assert slow == [r.ema_400 for r in ind.with_ema(bars, 400).orderBy("i").collect()]
