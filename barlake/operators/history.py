@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 
 from barlake.operators.maintenance import content_hash
 from barlake.operators.upsert import (
+    check_unique,
     complete_pending,
     discard_staging,
-    merge_upsert,
+    stage_partitions,
     staged_path,
     touched_rows,
 )
 from barlake.sources.tables import read_parquet_or_empty, replace_partitions
-from barlake.storage import has_files, path_exists, remove_tree, rename
+from barlake.storage import has_files, materialized, path_exists, remove_tree, rename
 
 FROM, TO = "valid_from", "valid_to"
 
@@ -104,13 +105,18 @@ def store_version(
 ) -> None:
     """Apply a batch to a stored history; only the partitions it touches are rewritten.
 
-    The partition columns must follow from the key.
+    The partition columns must follow from the key. The batch is written once, as its plan may be long; one
+    join gives the whole partitions, so they are staged without another merge.
     """
     complete_pending(spark, path, partition_cols)
     history = read_parquet_or_empty(spark, path, ddl)
-    touched = touched_rows(history, rows, partition_cols)
-    changes = version_changes(touched, rows, keys, version)
-    merge_upsert(spark, path, changes, [*keys, FROM], partition_cols, ddl)
+    with materialized(rows, "version") as batch:
+        if batch.isEmpty():
+            return
+        check_unique(batch, keys)
+        touched = touched_rows(history, batch, partition_cols)
+        stage_partitions(apply_version(touched, batch, keys, version), path, partition_cols)
+    complete_pending(spark, path, partition_cols)
 
 
 def versions(history: DataFrame) -> DataFrame:

@@ -476,9 +476,10 @@ HISTORY_DDL = (
 def bar_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three stored versions of the bars: most of them, every third changed, every fifth changed."""
     path = f"{scratch_path(spark, 'history')}/bars"
-    bars = keyed_bars(spark, sf_dir).select(
+    keyed = keyed_bars(spark, sf_dir).select(
         "symbol", "date_key", "volume", F.floor(F.col("date_key") / 10000).cast("int").alias("year_key")
     )
+    bars = stored_once(keyed, "keyed-bars")
     volume = F.col("volume")
     for version, rows in enumerate(
         (

@@ -133,3 +133,21 @@ def test_old_folder_alone_and_none(spark, folder):
     assert rewrite(spark, old, f"{folder}/fresh")
     assert rows(spark.read.schema(NEW_DDL).parquet(f"{folder}/fresh"), "k") == WHOLE[:2]
     assert not rewrite(spark, f"{folder}/none", new)
+
+
+def test_a_stored_batch_is_computed_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+    ddl = "k INT, v INT, valid_from BIGINT, valid_to BIGINT, part INT"
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    for version in (1, 2):
+        rows = spark.createDataFrame([(i, i * version, i % 2) for i in range(10)], "k int, v int, part int")
+        hist.store_version(
+            spark, f"{folder}/h", rows.mapInPandas(counted, rows.schema), ["k"], version, ["part"], ddl
+        )
+    assert seen.value == 20
+    assert sorted(r.v for r in hist.as_of(spark.read.schema(ddl).parquet(f"{folder}/h"), 2).collect()) == list(range(0, 20, 2))
