@@ -424,7 +424,7 @@ KEYED_DDL = "symbol STRING, date_key INT, volume BIGINT, month_key INT"
 def merge_upsert(spark, sf_dir):
     """K-5, J-5, K-12: two loads that overlap on every fourth day"""
     path = f"{scratch_path(spark, 'merge')}/bars"
-    bars = keyed_bars(spark, sf_dir)
+    bars = stored_once(keyed_bars(spark, sf_dir), "keyed-bars")
     first = bars.filter(F.col("date_key") % 2 == 0)
     second = bars.filter((F.col("date_key") % 2 == 1) | (F.col("date_key") % 4 == 0)).withColumn(
         "volume", F.col("volume") + 1000
