@@ -16,11 +16,20 @@ PREDICTION_PARTITIONS = ["month_key"]
 STORED_DDL = f"{schemas.PREDICTIONS_DDL}, month_key INT"
 
 
-def split_features(bars: DataFrame) -> DataFrame:
-    """Features with their split. Written once: the cut date and training read them many times."""
+LABELS = ["target", "next_close", "next_range"]
+
+
+def split_features(bars: DataFrame, settings: fc.ModelSettings | None = None) -> DataFrame:
+    """Features with their split. Written once: the cut date and training read them many times.
+
+    Only what models read is computed and written; the frame's other windows are left out.
+    """
     spark = bars.sparkSession
+    settings = settings or fc.ModelSettings()
+    frame = fc.feature_frame(bars)
+    needed = {"symbol", "fetch_date", *settings.features, *LABELS}
     path = scratch_path(spark, "features")
-    fc.feature_frame(bars).write.parquet(path)
+    frame.select(*[c for c in frame.columns if c in needed]).write.parquet(path)
     return fc.with_split(spark.read.parquet(path))
 
 
@@ -66,7 +75,7 @@ def predict_newest(
 ) -> None:
     """Train a version on stored bars and predict the day after each symbol's newest bar."""
     settings = settings or fc.ModelSettings()
-    frame = split_features(bars)
+    frame = split_features(bars, settings)
     train_version(frame, models, version, settings)
     newest = fc.predict_direction(
         fc.load_model(models, version),

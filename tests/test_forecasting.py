@@ -144,3 +144,14 @@ def test_panel_ranges_and_limits(spark):
     assert [(r.symbol, r.Volume, r.log10_volume) for r in got] == [("A", 100, 2.0), ("B", 0, None)]
     assert panels.price_panel(gold, start="2024-01-02").count() == 1
     assert panels.preview(gold, 2, ["fetch_date", "symbol"]).count() == 2
+
+
+def test_only_what_models_read_is_written(spark):
+    from barlake.plans import predictions
+
+    bars = spark.sql(
+        "SELECT 'A' AS symbol, date_add(DATE '2024-01-01', cast(id AS int)) AS fetch_date, 1.0D * id + 1 AS close_price,"
+        " id AS volume, 0.0D AS daily_return, 0.0D AS price_range FROM range(30)"
+    )
+    frame = predictions.split_features(bars)
+    assert set(frame.columns) == {"symbol", "fetch_date", *fc.FEATURES, *predictions.LABELS, "split"}
