@@ -7,18 +7,22 @@ shards, as binary values of a Parquet table: any path that Spark knows will do,
 protocol keeps what a lost executor wrote out of the table. ``token_counts`` and ``token_places`` look tokens up
 in the stored shards by rank and select, without spelling out the sequence.
 
-Texts are cut at ASCII white space, which no token spans; the tokenizers library encodes each
-distinct piece once. Nulls are empty texts with the end id alone. Rows that repeat an id follow each
+Texts are cut at ASCII white space, which no token spans, and between letters and signs; the tokenizers
+library encodes each distinct piece once. Nulls are empty texts with the end id alone. Rows that repeat an id follow each
 other in the order of their texts; rows without id come first.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +35,55 @@ from barlake.llm.wavelet import WaveletMatrix
 from barlake.storage import has_files
 
 SHARD_TOKENS = 2_000_000
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 4_000_000
 CACHE_PIECES = 1_000_000
 JOINED_PIECES = 2_000
 # Bytes of shards that a reader holds at once.
 ROW_GROUP = 16 << 20
 
 
+# Classes of bytes: white space, letters, other ASCII, the apostrophe, beyond ASCII.
+SPACE, LETTER, SIGN, APOSTROPHE, BEYOND = range(5)
+# What the cuts between letters and signs rely on; other vocabularies are cut at white space alone.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Words of a-z and the letters from U+00C0 to U+00FF, in any case: all are composed already.
+WORD = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
+def _byte_classes() -> np.ndarray:
+    out = np.full(256, BEYOND, np.uint8)
+    out[:128] = [SPACE if bytes([c]).isspace() else LETTER if bytes([c]).isalpha() else SIGN for c in range(128)]
+    out[ord("'")] = APOSTROPHE
+    return out
+
+
+def _edges(words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """By the classes of two neighbours (5 * first + second): whether a piece begins, or ends, between them."""
+    first, second = np.divmod(np.arange(25), 5)
+    sign = (first == SIGN) | (first == APOSTROPHE), (second == SIGN) | (second == APOSTROPHE)
+    # A run of letters ends before a sign, and begins after one, unless a contraction may have begun.
+    cut = ((first == LETTER) & sign[1] | (first == SIGN) & (second == LETTER)) & words
+    return (second != SPACE) & ((first == SPACE) | cut), (first != SPACE) & ((second == SPACE) | cut)
+
+
+CLASSES, CUTS = _byte_classes(), {words: _edges(words) for words in (False, True)}
+
+
+def _byte_symbols() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: printable ones as they are, others from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return dict(zip(shown, map(chr, shown), strict=True)) | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
 class PieceEncoder:
-    """Encodes texts with the tokenizers library, remembering pieces."""
+    """Encodes texts with the tokenizers library, remembering pieces.
+
+    Pieces lie between white space; where the vocabulary's pattern is ``WORDS``, they also end where a run
+    of letters does. A piece of letters alone is one word of the pattern, so its lower case goes right to the
+    library's model; all others go through the whole of the library.
+    """
 
     def __init__(self, content: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,6 +93,27 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.levels = max(1, (max(self.tokenizer.get_vocab(with_added_tokens=True).values())).bit_length())
+        known = json.loads(content)
+        self.added = [token["content"].encode() for token in known.get("added_tokens", [])]
+        steps = (known.get("normalizer") or {}).get("normalizers", [])
+        cuts = (known.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        self.words = (
+            [step["type"] for step in steps] == NORMALIZERS
+            and steps[1]["pattern"] == {"Regex": r"\s+"}
+            and [cut["type"] for cut in cuts] == ["Split", "ByteLevel"]
+            and (cuts[0]["pattern"], cuts[0]["invert"]) == ({"Regex": WORDS}, True)
+            and not cuts[1]["add_prefix_space"]
+            and not cuts[1]["use_regex"]
+        )
+        self.model, self.symbols = self.tokenizer.model, _byte_symbols()
+        self.forget()
+
+    def forget(self) -> None:
+        # The ids of a piece are those between two ends.
+        self.numbers: dict[bytes, int] = {}
+        self.ids, self.ends = array("I"), array("q")
+        # The ids of lower-cased words, and of the pieces that are to be numbered.
+        self.lower: dict[bytes, bytes] = {}
         self.cache: dict[bytes, bytes] = {}
 
     def _learn(self, pieces: list[bytes]) -> None:
@@ -80,29 +145,76 @@ class PieceEncoder:
         """Normalisation moves no place in it, and it holds no added token."""
         return "<|" not in text and text.isprintable() and (text.isascii() or unicodedata.is_normalized("NFC", text))
 
+    def _words(self, words: list[bytes]) -> Iterator[bytes]:
+        """The ids of pieces of ``WORD``."""
+        lower = b" ".join(words).decode().lower().encode().split(b" ")
+        new = [word for word in dict.fromkeys(lower) if word not in self.lower]
+        # A space is written as a symbol, too, and no word holds one.
+        symbols = b" ".join(new).decode("latin-1").translate(self.symbols).split(self.symbols[ord(" ")])
+        tokenize = self.model.tokenize
+        for word, text in zip(new, symbols if new else [], strict=True):
+            self.lower[word] = array("I", [token.id for token in tokenize(text)]).tobytes()
+        return map(self.lower.__getitem__, lower if words else [])
+
+    def _store(self, pieces: list[bytes], ids: list[bytes]) -> int:
+        """Number new pieces one after the other; returns the first number."""
+        first = len(self.ends)
+        self.numbers.update(zip(pieces, range(first, first + len(pieces)), strict=True))
+        self.ends.extend((np.cumsum([len(i) // 4 for i in ids]) + len(self.ids)).tolist())
+        self.ids.frombytes(b"".join(ids))
+        return first
+
+    def _number(self, pieces: list[bytes], words: bool) -> int:
+        """Encode and number new pieces."""
+        plain = list(filter(WORD.fullmatch, pieces)) if words else []
+        self.cache = dict(zip(plain, self._words(plain), strict=True))
+        rest = [piece for piece in pieces if piece not in self.cache]
+        for lo in range(0, len(rest), JOINED_PIECES):
+            self._learn(rest[lo : lo + JOINED_PIECES])
+        return self._store(pieces, [self.cache[piece] for piece in pieces])
+
+    def _pieces(self, data: bytes, words: bool) -> tuple[np.ndarray, pa.Array]:
+        """Where the pieces of ``data`` begin, and the pieces."""
+        raw = np.frombuffer(data, np.uint8)
+        kinds = CLASSES[raw]
+        if words:
+            lead = np.flatnonzero(raw == 0xC3)
+            lead = lead[(raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
+            kinds[lead] = kinds[lead + 1] = LETTER
+        pairs = np.concatenate(([SPACE], kinds)) * np.uint8(5) + np.concatenate((kinds, [SPACE]))
+        begins, ends = (np.flatnonzero(edge[pairs]) for edge in CUTS[words])
+        offsets = np.zeros(len(begins) + 1, np.int32)
+        np.cumsum(ends - begins, out=offsets[1:])
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(raw[kinds != SPACE])]
+        return begins, pa.Array.from_buffers(pa.binary(), len(begins), buffers)
+
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text followed by the end id, and the number of each text's ids."""
-        end = b"\n"  # no piece holds white space, so this one stands for the end of a text
-        parts = [text.split() for text in texts]
-        flat = [piece for part in parts for piece in (*part, end)]
-        coded = pa.array(flat, pa.binary()).dictionary_encode()
+        data = b" ".join((*texts, b""))
+        words = self.words and not any(token in data for token in self.added)
+        begins, pieces = self._pieces(data, words)
+        coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
-        self.cache[end] = np.array([end_id], "<u4").tobytes()
-        new = [piece for piece in distinct if piece not in self.cache]
-        for lo in range(0, len(new), JOINED_PIECES):
-            self._learn(new[lo : lo + JOINED_PIECES])
-        values = [self.cache[piece] for piece in distinct]
-        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        ids = np.frombuffer(b"".join(values), "<u4")
-        starts = np.cumsum(lengths) - lengths
-        indices = coded.indices.to_numpy()
-        taken = lengths[indices]
-        ends = np.cumsum(taken)
-        out = ids[np.repeat(starts[indices] - ends + taken, taken) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate(([0], ends))[np.cumsum([0, *(len(p) + 1 for p in parts)])]
-        return out, np.diff(bounds)
+        if len(self.numbers) > CACHE_PIECES:
+            self.forget()
+        # White space is no piece, so this one stands for the end of a text.
+        end = self.numbers.get(b" ")
+        if end is None:
+            end = self._store([b" "], [np.array([end_id], "<u4").tobytes()])
+        numbers = np.fromiter(map(self.numbers.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            numbers[new] = np.arange(len(new)) + self._number([distinct[i] for i in new.tolist()], words)
+        numbers = numbers[coded.indices.to_numpy()]
+        bounds = np.searchsorted(begins, np.cumsum([len(text) + 1 for text in texts]))
+        numbers = np.insert(numbers, bounds, end)
+        ids, ends = np.frombuffer(self.ids, np.uint32), np.frombuffer(self.ends, np.int64)
+        lasts = ends[numbers]
+        taken = lasts - np.where(numbers > 0, ends[numbers - 1], 0)
+        upto = np.cumsum(taken)
+        out = ids[np.repeat(lasts - upto, taken) + np.arange(upto[-1] if len(upto) else 0)]
+        stops = upto[bounds + np.arange(len(texts))] if len(texts) else np.zeros(0, np.int64)
+        return out, np.diff(stops, prepend=0)
 
 
 @lru_cache(maxsize=2)

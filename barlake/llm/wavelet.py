@@ -27,7 +27,7 @@ class WaveletMatrix:
     def build(cls, values: np.ndarray, levels: int) -> WaveletMatrix:
         planes, zeros = [], []
         for level in reversed(range(levels)):
-            ones = (values >> level) & 1 == 1
+            ones = values & values.dtype.type(1 << level) != 0
             planes.append(np.packbits(ones, bitorder="little"))
             low = values[~ones]
             zeros.append(len(low))

@@ -54,6 +54,23 @@ def test_pieces_encode_as_whole_texts(library):
         assert part.tolist() == [*want.ids, 2], text
 
 
+def test_words_and_signs_are_pieces_of_their_own(library):
+    with open(PATH, "rb") as file:
+        content = file.read()
+    texts = ["The cat's hat, the CAT; (hat)", "Été! été? ÉTÉ", "don't 'stop 't 'élan x.'s", "a×b÷c e\u0331h́ H\u0331 h\u0331", "a1b2"]
+    encoder = tf.PieceEncoder(content)
+    ids, _ = encoder.encode([t.encode() for t in texts], 2)
+    want = library.encode_batch(texts, add_special_tokens=False)
+    assert ids.tolist() == [i for e in want for i in (*e.ids, 2)]
+    assert {b"hat", b",", b"(", b"cat", "Été".encode(), b"!"} <= set(encoder.numbers) and b"hat," not in encoder.numbers
+    # Another pattern, whose pieces go on over signs: cut at white space alone.
+    other = tf.PieceEncoder(content.replace(rb"[^\\s\\p{L}\\p{N}]+", rb"[^\\s\\p{L}\\p{N}]{2}"))
+    assert encoder.words and not other.words
+    ids, _ = other.encode([texts[0].encode()], 2)
+    assert ids.tolist() == [*other.tokenizer.encode(texts[0], add_special_tokens=False).ids, 2]
+    assert b"hat," in other.numbers
+
+
 def test_files_round_trip_in_order(spark, folder, library, monkeypatch):
     monkeypatch.setattr(tf, "CHUNK_BYTES", 30)
     rows = [Row(doc_id=i * 7 % 101, text=f"Word {i} text" * (i % 5)) for i in range(101)]
