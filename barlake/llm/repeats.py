@@ -120,6 +120,13 @@ class Scheme:
     def passage(self, tokens, start: int, end: int) -> bytes:
         return b" ".join(tokens[start:end]) if self.words else tokens[start:end]
 
+    def passages(self, tokens, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """``passage`` for several ranges of one text."""
+        if self.words and len(starts):
+            bounds = np.cumsum([0, *map(len, tokens)]) + np.arange(len(tokens) + 1)
+            tokens, starts, ends = b" ".join(tokens), bounds[starts], bounds[ends] - 1
+        return [tokens[lo:hi] for lo, hi in zip(starts.tolist(), ends.tolist(), strict=True)]
+
 
 TEXT_KEYS = ["t1", "t2"]
 
@@ -151,7 +158,9 @@ def suspects(rows: DataFrame, scheme: Scheme, scratch: Scratch, hot: int = HOT)
             )
 
     seen = rows.select("t1", "t2", "text").mapInArrow(find, "t1 long, t2 long, anchors array<long>")
-    seen = seen.select("t1", "t2", F.explode("anchors").alias("anchor"))
+    # Counted and then joined with the counts: the texts are read and hashed once for both.
+    held = Scratch(rows.sparkSession)
+    seen = held.table(seen, "anchors").select("t1", "t2", F.explode("anchors").alias("anchor"))
     counts = seen.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
     lists = (
         seen.join(counts, "anchor")
@@ -164,7 +173,9 @@ def suspects(rows: DataFrame, scheme: Scheme, scratch: Scratch, hot: int = HOT)
     texts = rows.groupBy(*TEXT_KEYS).agg(
         F.count("*").alias("copies"), F.min("id").alias("id"), F.first("text").alias("text")
     )
-    return scratch.table(texts.join(lists, TEXT_KEYS), "suspects")
+    found = scratch.table(texts.join(lists, TEXT_KEYS), "suspects")
+    held.clear()
+    return found
 
 
 def passages(texts: DataFrame, scheme: Scheme) -> DataFrame:
@@ -174,16 +185,14 @@ def passages(texts: DataFrame, scheme: Scheme) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, anchor, start, lead, passage = [], [], [], [], []
+            found, passage = [], []
             for i, (text, wanted) in enumerate(zip(utf8(batch["text"]), batch["anchors"], strict=True)):
                 tokens = scheme.tokens(text)
                 hashes, places, first, last = scheme.anchors(tokens)
-                for j in np.flatnonzero(np.isin(hashes, wanted.values.to_numpy())).tolist():
-                    row.append(i)
-                    anchor.append(hashes[j])
-                    start.append(first[j])
-                    lead.append(places[j] - first[j])
-                    passage.append(scheme.passage(tokens, int(first[j]), int(last[j]) + scheme.length))
+                j = np.flatnonzero(np.isin(hashes, wanted.values.to_numpy()))
+                found.append((np.full(len(j), i), hashes[j], first[j], places[j] - first[j]))
+                passage += scheme.passages(tokens, first[j], last[j] + scheme.length)
+            row, anchor, start, lead = map(np.concatenate, zip(*found, strict=True)) if found else np.zeros((4, 0), np.int64)
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [

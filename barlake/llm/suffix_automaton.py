@@ -19,14 +19,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.llm import repeats
 from barlake.llm.scratch import Scratch
 from barlake.llm.text import column, cover, list_array, runs, utf8
 
-SPACE = r"[\x20\x09-\x0D]+"
 NOBODY = np.iinfo(np.int64).max
 
 
@@ -182,8 +181,27 @@ def _hot_spans(texts: DataFrame, scheme: repeats.Scheme) -> DataFrame:
     return found.withColumn("ends", F.transform("starts", lambda s: s + scheme.length))
 
 
-def words(text: Column) -> Column:
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
+def word_rows(rows: DataFrame) -> DataFrame:
+    """Of ``repeats.keyed`` rows: ``id, t1, t2``, ``n_words``, and ``own``, the words joined by spaces."""
+    key = rows.schema["id"].dataType.simpleString()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_words, own = [], []
+            # One text's words at a time: those of a batch would take many times its size.
+            for text in utf8(batch["text"]):
+                tokens = text.split()
+                n_words.append(len(tokens))
+                own.append(b" ".join(tokens))
+            kept = [batch[c] for c in ("id", "t1", "t2")]
+            left = pa.array(own, pa.binary()).view(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(n_words, pa.int64()), left], ["id", "t1", "t2", "n_words", "own"]
+            )
+
+    return rows.select("id", "t1", "t2", "text").mapInArrow(
+        count, f"id {key}, t1 long, t2 long, n_words long, own string"
+    )
 
 
 def repeated_words(
@@ -241,21 +259,14 @@ def repeated_words(
     return result
 
 
-def deduplicated(
-    docs: DataFrame, length: int = 13, key_col: str = "doc_id", text_col: str = "text", **more
-) -> DataFrame:
-    """Per document row: ``id``, ``n_words``, ``n_removed`` and ``kept``, its other words joined by spaces."""
-    repeated = repeated_words(docs, length, key_col=key_col, text_col=text_col, **more)
-    rows = repeats.keyed(docs, key_col, text_col).withColumn("own", words(F.col("text"))).select(
-        "id", "t1", "t2", F.size("own").cast("long").alias("n_words"), F.array_join("own", " ").alias("own")
-    )
-    joined = rows.join(
-        repeated.select("t1", "t2", "first_id", F.size("starts").alias("n_spans"), "starts", "ends", "kept"),
-        ["t1", "t2"],
-        "left",
-    )
+def left_over(rows: DataFrame, repeated: DataFrame, length: int) -> DataFrame:
+    """Rows of ``word_rows`` with what ``repeated_words`` found for their texts: ``id``, ``n_words``, ``n_removed`` and ``kept``.
+
+    ``own`` and ``kept`` may be digests, if both are; ``kept`` is null where nothing is left of a later copy.
+    """
+    joined = rows.join(repeated.select("t1", "t2", "first_id", "starts", "ends", "kept"), ["t1", "t2"], "left")
     later = F.coalesce(F.col("id") > F.col("first_id"), F.lit(False)) & (F.col("n_words") >= length)
-    first = F.coalesce(F.col("id") == F.col("first_id"), F.lit(False)) & (F.col("n_spans") > 0)
+    first = F.coalesce(F.col("id") == F.col("first_id"), F.lit(False)) & (F.size("starts") > 0)
     removed = F.aggregate(
         F.zip_with("ends", "starts", lambda e, s: e - s), F.lit(0).cast("long"), lambda total, n: total + n
     )
@@ -263,5 +274,22 @@ def deduplicated(
         "id",
         "n_words",
         F.when(later, F.col("n_words")).when(first, removed).otherwise(0).alias("n_removed"),
-        F.when(later, "").when(first, F.col("kept")).otherwise(F.col("own")).alias("kept"),
+        F.when(later, None).when(first, F.col("kept")).otherwise(F.col("own")).alias("kept"),
     )
+
+
+def deduplicated(
+    docs: DataFrame, length: int = 13, key_col: str = "doc_id", text_col: str = "text", **more
+) -> DataFrame:
+    """Per document row: ``id``, ``n_words``, ``n_removed`` and ``kept``, its other words joined by spaces."""
+    repeated = repeated_words(docs, length, key_col=key_col, text_col=text_col, **more)
+    left = left_over(word_rows(repeats.keyed(docs, key_col, text_col)), repeated, length)
+    return left.withColumn("kept", F.coalesce("kept", F.lit("")))
+
+
+def digests(docs: DataFrame, length: int = 13, key_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+    """As ``deduplicated``, with the SHA-256 of ``kept`` for it: no text is shuffled to say what is left of it."""
+    repeated = repeated_words(docs, length, key_col=key_col, text_col=text_col, **more)
+    rows = word_rows(repeats.keyed(docs, key_col, text_col)).withColumn("own", F.sha2("own", 256))
+    left = left_over(rows, repeated.withColumn("kept", F.sha2("kept", 256)), length)
+    return left.withColumn("kept", F.coalesce("kept", F.sha2(F.lit("").cast("binary"), 256)))

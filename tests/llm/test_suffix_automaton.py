@@ -1,11 +1,14 @@
 import hashlib
 import random
+from pathlib import Path
+from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
 
 from barlake.llm import repeats
 from barlake.llm import suffix_automaton as sam
 from barlake.llm.queries import registered
+from barlake.llm.scratch import Scratch
 
 
 def brute(docs, size):
@@ -81,6 +84,36 @@ def test_empty_table_and_clashing_columns(spark):
     assert sam.deduplicated(docs.limit(0)).collect() == []
 
 
+def test_digests_are_those_of_what_is_left(spark):
+    docs = odd_docs(5)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = sorted(map(tuple, sam.digests(frame, 6, gram=3).collect()), key=str)
+    assert rows == sorted(((k, n, m, hashlib.sha256(t.encode()).hexdigest()) for k, n, m, t in brute(docs, 6)), key=str)
+
+
+def test_texts_are_hashed_once(spark, monkeypatch):
+    plans = {}
+    table = Scratch.table
+
+    def kept(self, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return table(self, df, name)
+
+    monkeypatch.setattr(Scratch, "table", kept)
+    docs = odd_docs(6)
+    assert got(spark, docs, 6, gram=3) == brute(docs, 6)
+    assert "MapInArrow" not in plans["suspects"]
+
+
+def test_anchors_go_before_passages_are_cut(spark):
+    scratch = Scratch(spark)
+    rows = repeats.keyed(spark.createDataFrame(odd_docs(7), "doc_id long, text string"), "doc_id", "text")
+    texts = repeats.suspects(rows, repeats.Scheme(6, 3, True), scratch)
+    folder = Path(urlparse(scratch.paths[0]).path).parent
+    assert len(scratch.paths) == 1 and texts.count() > 0 and not list(folder.glob("*anchors*"))
+    scratch.clear()
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     docs = [(d["doc_id"], d["text"]) for d in spark.read.parquet(f"{sf}/documents.parquet").collect()]
