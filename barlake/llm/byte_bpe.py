@@ -33,6 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +41,9 @@ from pyspark.sql import types as T
 
 from barlake.llm.text import chunks, column, list_array, utf8
 
-# Characters of text in a chunk, and whose pieces are held at once; distinct words a task remembers.
-CHUNK_CHARS = 4_000_000
+# Characters of text in a chunk; bytes of text that are decoded and whose pieces are held at once; distinct words a
+# task remembers.
+CHUNK_CHARS = 1_000_000
 SPLIT_CHARS = 500_000
 WORDS = 400_000
 # Rows in a batch of the result, and bytes of the longest word that is folded.
@@ -263,6 +265,24 @@ def _ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.splitlines())}
 
 
+def chunk_rows(batches: Iterator[pa.RecordBatch], chunk: Numbering) -> Iterator[pa.RecordBatch]:
+    """The rows of ``chunk`` for batches whose last column is the text.
+
+    Texts are decoded a piece of the batch at a time, and no rows wait for the next batch, which they would keep whole.
+    """
+    for batch in batches:
+        *kept, text = range(batch.num_columns)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
+        for lo, hi in chunks(sizes, SPLIT_CHARS):
+            part = batch.slice(lo, hi - lo)
+            chunk.add(part.select(kept), [t.decode() for t in utf8(part.column(text))])
+            if chunk.chars >= CHUNK_CHARS:
+                yield chunk.row()
+        if chunk.parts:
+            yield chunk.row()
+        batch = part = None  # or they would stay while the next batch is read
+
+
 def _laid_out(codes: np.ndarray, counts: np.ndarray, words: Ids, merged: Ids) -> pa.Array:
     """The ids of each text from its codes."""
     ends = np.concatenate((words.ends, merged.ends + len(words.ids)))
@@ -298,18 +318,9 @@ def encode(
     }
     middle = T.StructType([T.StructField(n, kind) for n, kind in fields.items()])
     result = T.StructType([*kept, T.StructField(out_col, T.ArrayType(T.IntegerType()))])
-    size = len(names)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = Numbering(_ranks(content.value), regex.compile(pattern))
-        for batch in batches:
-            texts = [t.decode() for t in utf8(batch.column(size))]
-            for lo, hi in chunks([len(t) for t in texts], SPLIT_CHARS):
-                chunk.add(batch.slice(lo, hi - lo).select(range(size)), texts[lo:hi])
-                if chunk.chars >= CHUNK_CHARS:
-                    yield chunk.row()
-        if chunk.parts:
-            yield chunk.row()
+        yield from chunk_rows(batches, Numbering(_ranks(content.value), regex.compile(pattern)))
 
     def lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, merged = Ids(), Ids()
@@ -323,6 +334,7 @@ def encode(
                     counts = codes.value_lengths().to_numpy(zero_copy_only=False)
                     ids = _laid_out(codes.flatten().to_numpy(zero_copy_only=False), counts, words, merged)
                     yield pa.RecordBatch.from_arrays([*fields, ids], [*names, out_col])
+            batch = rows = fields = codes = ids = None
 
     given = df.select(
         *(column(n).alias(f"c{i}") for i, n in enumerate(names)), column(text_col).cast("string").alias("text")

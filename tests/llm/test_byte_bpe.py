@@ -105,3 +105,23 @@ def test_query(spark, library):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256((doc["text"] or "").encode()).hexdigest()
+
+
+def test_memory_of_numbering_does_not_grow_with_the_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+    import regex
+
+    texts = [f"the cat and the dog of text {n % 90} " * 300 for n in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1500)), pa.array(texts)], ["n", "text"])
+    size = sum(map(len, texts))
+    del texts
+    chunk = byte_bpe.Numbering(byte_bpe.read_ranks(PATH), regex.compile(PATTERN))
+    tracemalloc.start()
+    # All texts decoded at once take twice the batch.
+    rows = [(row.num_rows, len(row["rows"][0]), row.nbytes) for row in byte_bpe.chunk_rows(iter([batch]), chunk)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n for _, n, _ in rows) == 1500 and not chunk.parts
+    assert peak < size and max(n for _, _, n in rows) < size / 4, (peak, size)
