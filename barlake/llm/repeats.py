@@ -158,18 +158,23 @@ def suspects(rows: DataFrame, scheme: Scheme, scratch: Scratch, hot: int = HOT)
             )
 
     seen = rows.select("t1", "t2", "text").mapInArrow(find, "t1 long, t2 long, anchors array<long>")
-    # Counted and then joined with the counts: the texts are read and hashed once for both.
+    # Counted and then joined with the counts: the texts are read and hashed once for both. Beside an anchor goes the
+    # number of its row, half as long as the key of its text and ascending, so that it takes little room on the way.
     held = Scratch(rows.sparkSession)
-    seen = held.table(seen, "anchors").select("t1", "t2", F.explode("anchors").alias("anchor"))
+    stored = held.table(seen.withColumn("row", F.monotonically_increasing_id()), "anchors")
+    seen = stored.select("row", F.explode("anchors").alias("anchor"))
     counts = seen.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
     lists = (
         seen.join(counts, "anchor")
-        .groupBy(*TEXT_KEYS)
+        .groupBy("row")
         .agg(
             F.collect_set(F.when(F.col("n") <= hot, F.col("anchor"))).alias("anchors"),
             F.collect_set(F.when(F.col("n") > hot, F.col("anchor"))).alias("hot"),
         )
     )
+    # Rows of one text have the same anchors, so one of them stands for it.
+    first = stored.groupBy(*TEXT_KEYS).agg(F.min("row").alias("row"))
+    lists = lists.join(first, "row").drop("row")
     texts = rows.groupBy(*TEXT_KEYS).agg(
         F.count("*").alias("copies"), F.min("id").alias("id"), F.first("text").alias("text")
     )

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from pathlib import Path
 from urllib.parse import urlparse
 
@@ -105,6 +106,21 @@ def test_texts_are_hashed_once(spark, monkeypatch):
     assert "MapInArrow" not in plans["suspects"]
 
 
+def test_anchors_are_sent_with_a_row_number(spark, monkeypatch):
+    plans = {}
+    table = Scratch.table
+
+    def kept(self, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return table(self, df, name)
+
+    monkeypatch.setattr(Scratch, "table", kept)
+    docs = odd_docs(8)
+    assert got(spark, docs, 6, gram=3) == brute(docs, 6)
+    beside = re.findall(r"Generate explode\(anchors#\d+\), (?:\[([^\]]*)\])?", plans["suspects"])
+    assert beside and all("t1" not in columns and "t2" not in columns for columns in beside), beside
+
+
 def test_anchors_go_before_passages_are_cut(spark):
     scratch = Scratch(spark)
     rows = repeats.keyed(spark.createDataFrame(odd_docs(7), "doc_id long, text string"), "doc_id", "text")
