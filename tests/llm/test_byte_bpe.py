@@ -125,3 +125,61 @@ def test_memory_of_numbering_does_not_grow_with_the_batch():
     tracemalloc.stop()
     assert sum(n for _, n, _ in rows) == 1500 and not chunk.parts
     assert peak < size and max(n for _, _, n in rows) < size / 4, (peak, size)
+
+
+def test_fold_copies_no_arrays_for_short_words(spark):
+    docs = spark.createDataFrame([("x",)], "text string")
+    plan = byte_bpe.encode(docs, PATH, PATTERN)._jdf.queryExecution().optimizedPlan().toString()
+    # The fold took most of the CPU seconds with two slices and a lookup in a map of pairs for every merge.
+    assert "aggregate" in plan and not any(word in plan for word in ("flatten", "slice", "element_at"))
+
+
+def test_words_about_the_size_of_the_number(spark, library):
+    rng = random.Random(6)
+    kinds = ["etaoinsh", "aab", "的一是不了", "éèe", "=-"]
+    same(spark, library, ["".join(rng.choices(k, k=n)) for k in kinds for n in (6, 7, 18, 19, 20, 21, 22, 40, 63, 64, 65, 85) for _ in range(9)])
+
+
+def test_any_ranks(spark, tmp_path):
+    import base64
+
+    rng = random.Random(7)
+    for n in range(3):
+        # Most tokens cannot be reached by merging, and many rank below their parts.
+        tokens = list({"".join(rng.choices("abc", k=rng.randrange(2, 6))).encode() for _ in range(40)} | {b"ab", b"abc"})
+        rng.shuffle(tokens)
+        path = tmp_path / f"ranks{n}"
+        path.write_bytes(b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate([*(bytes([b]) for b in range(256)), *tokens])))
+        ranks = byte_bpe.read_ranks(str(path))
+        own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        texts = ["".join(rng.choices("aabbc ", k=rng.randrange(60))) for _ in range(200)]
+        docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+        for row in byte_bpe.encode(docs, str(path), PATTERN).collect():
+            assert row["ids"] == own.encode_ordinary(row["text"])
+
+
+def test_splitter_cuts_like_the_pattern():
+    import regex
+
+    rng, split, cut = random.Random(8), regex.compile(PATTERN), byte_bpe.Splitter().split
+    kinds = ["' rstvemld", "'a1 \n", " \t\n.'s", "'rele vdé1\u00a0\u2003\u3000x.", "'llrevestm\U0001f600"]
+    for kind in kinds:
+        for _ in range(40):
+            texts = ["".join(rng.choices(kind, k=rng.randrange(14))) for _ in range(60)]
+            pieces, counts = cut(texts)
+            wanted = [split.findall(text) for text in texts]
+            assert counts.tolist() == [len(w) for w in wanted]
+            assert pieces.to_pylist() == [p for w in wanted for p in w]
+    assert [part.tolist() if i else part.to_pylist() for i, part in enumerate(cut(["", ""]))] == [[], [0, 0]]
+    assert len(cut([])[0]) == 0
+
+
+def test_tables_of_the_vocabulary_are_small():
+    import tracemalloc
+
+    ranks = byte_bpe.read_ranks(PATH)
+    tracemalloc.start()
+    tokens = byte_bpe.Tokens(ranks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(tokens.bases) < 4 * len(ranks) and peak < 100_000_000, (len(tokens.bases), peak)
