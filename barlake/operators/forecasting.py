@@ -12,6 +12,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barlake.operators import boosting
 from barlake.operators import indicators as ind
 from barlake.operators.bars import symbol_window
 
@@ -93,9 +94,10 @@ class ModelSettings:
     seed: int = 42
 
 
-def _pipeline(settings: ModelSettings, estimator) -> Pipeline:
+def _fit(settings: ModelSettings, estimator, rows: DataFrame) -> PipelineModel:
+    """The pipeline that MLlib would fit, whose trees are grown over stored bins."""
     assembler = VectorAssembler(inputCols=settings.features, outputCol="features")
-    return Pipeline(stages=[assembler, estimator])
+    return PipelineModel([assembler, boosting.fit_boosted(estimator, rows, settings.features)])
 
 
 def _complete(frame: DataFrame, columns: list[str]) -> DataFrame:
@@ -112,7 +114,8 @@ def train_direction(train: DataFrame, settings: ModelSettings) -> PipelineModel:
         stepSize=settings.learning_rate,
         seed=settings.seed,
     )
-    return _pipeline(settings, estimator).fit(rows)
+    assembler = VectorAssembler(inputCols=settings.features, outputCol="features")
+    return Pipeline(stages=[assembler, estimator]).fit(rows)
 
 
 def train_regressor(train: DataFrame, label: str, settings: ModelSettings) -> PipelineModel:
@@ -125,7 +128,7 @@ def train_regressor(train: DataFrame, label: str, settings: ModelSettings) -> Pi
         stepSize=settings.learning_rate,
         seed=settings.seed,
     )
-    return _pipeline(settings, estimator).fit(rows)
+    return _fit(settings, estimator, rows)
 
 
 def next_days(dim_date: DataFrame) -> DataFrame:

@@ -95,13 +95,13 @@ def scratch_scope(spark: SparkSession, keep: Callable[[], list[str]] = list) ->
 
 
 @contextmanager
-def materialized(df: DataFrame, name: str) -> Iterator[DataFrame]:
+def materialized(df: DataFrame, name: str, options: dict[str, str] | None = None) -> Iterator[DataFrame]:
     """``df`` written to the shared folder and read back, gone afterwards.
 
     Unlike a cache it survives the loss of executors.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     try:
         yield df.sparkSession.read.schema(df.schema).parquet(path)
     finally:
