@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -114,8 +114,7 @@ def train_direction(train: DataFrame, settings: ModelSettings) -> PipelineModel:
         stepSize=settings.learning_rate,
         seed=settings.seed,
     )
-    assembler = VectorAssembler(inputCols=settings.features, outputCol="features")
-    return Pipeline(stages=[assembler, estimator]).fit(rows)
+    return _fit(settings, estimator, rows)
 
 
 def train_regressor(train: DataFrame, label: str, settings: ModelSettings) -> PipelineModel:
