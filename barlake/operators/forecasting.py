@@ -38,13 +38,13 @@ def feature_frame(
 ) -> DataFrame:
     """L-1: W-6, W-7, W-8, W-10 and W-11 over bars with returns.
 
-    Every window has the same partitioning and order: one shuffle, one sort.
+    Every window has the same partitioning and order: one shuffle, one sort. The averages share the past closes.
     """
-    frame = ind.with_moving_averages(bars)
+    frame = ind.with_moving_averages(ind.with_past_closes(bars, 19))
     frame = ind.with_lags(frame, LAG_COLUMNS, lags)
     frame = ind.with_volatility(ind.with_step_returns(frame, steps))
     frame = ind.with_rsi(ind.with_price_ratios(frame))
-    return with_targets(frame)
+    return with_targets(ind.without_past_closes(frame))
 
 
 def with_targets(bars: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -175,9 +176,41 @@ def moving_average(column: str, n: int) -> Column:
     return _full_frame(F.avg(column).over(_last_rows(n)), n, F.col(column))
 
 
+# Up to this length averages add up columns of past closes; a longer frame slides.
+MAX_LAGS = 32
+
+
+def _closes(n: int) -> list[Column]:
+    """The last n closes, oldest first; the columns of ``with_past_closes``."""
+    return [F.col("close_price" if k == 0 else f"_close_{k}") for k in reversed(range(n))]
+
+
+def with_past_closes(bars: DataFrame, n: int) -> DataFrame:
+    """The n closes before each bar, those that are not there yet.
+
+    A lag costs a row once, where a sliding frame adds up all its bars again for each row.
+    """
+    missing = [k for k in range(1, n + 1) if f"_close_{k}" not in bars.columns]
+    return bars.withColumns({f"_close_{k}": F.lag("close_price", k).over(symbol_window()) for k in missing})
+
+
+def without_past_closes(bars: DataFrame, but: DataFrame | None = None) -> DataFrame:
+    """Without those columns, but for the ones that ``but`` has."""
+    kept = but.columns if but is not None else []
+    return bars.drop(*[c for c in bars.columns if c.startswith("_close_") and c not in kept])
+
+
+def _mean(values: list[Column]) -> Column:
+    """Added up in order; null if one is."""
+    return reduce(lambda a, b: a + b, values) / len(values)
+
+
 def with_moving_averages(bars: DataFrame, lengths: tuple[int, ...] = (5, 10, 20)) -> DataFrame:
     """W-6"""
-    return bars.withColumns({f"sma_{n}": moving_average("close_price", n) for n in lengths})
+    if max(lengths, default=0) > MAX_LAGS:
+        return bars.withColumns({f"sma_{n}": moving_average("close_price", n) for n in lengths})
+    past = with_past_closes(bars, max(lengths, default=0) - 1)
+    return without_past_closes(past.withColumns({f"sma_{n}": _mean(_closes(n)) for n in lengths}), bars)
 
 
 def with_lags(bars: DataFrame, columns: dict[str, str], offsets: tuple[int, ...]) -> DataFrame:
@@ -233,12 +266,27 @@ def daily_vwap(ticks: DataFrame, day: Column) -> DataFrame:
     )
 
 
-def with_rsi(bars: DataFrame, n: int = 14, high: float = 70.0, low: float = 30.0) -> DataFrame:
-    """W-11: RSI from plain averages of the last n moves, and its signal.
+def _with_lagged_moves(bars: DataFrame, n: int) -> DataFrame:
+    """Number of the last n moves, and if there are n, their mean gain and loss, from past closes."""
+    past = with_past_closes(bars, n)
+    closes = _closes(n + 1)
+    pairs = zip(closes, closes[1:], strict=False)
+    past = past.withColumns({f"_move_{i}": later - before for i, (before, later) in enumerate(pairs)})
+    moves = [F.col(f"_move_{i}") for i in range(n)]
+    zero = F.lit(0.0)
+    known = reduce(lambda a, b: a & b, [c.isNotNull() for c in closes])
+    found = past.withColumns(
+        {
+            "_moves": F.when(known, n),
+            "_gains": _mean([F.greatest(m, zero) for m in moves]),
+            "_losses": _mean([F.greatest(-m, zero) for m in moves]),
+        }
+    )
+    return without_past_closes(found.drop(*[f"_move_{i}" for i in range(n)]), bars)
 
-    Without losses it is 100, without any move 50. The signal is -1 at or above
-    ``high``, 1 at or below ``low``, else 0.
-    """
+
+def _with_sliding_moves(bars: DataFrame, n: int) -> DataFrame:
+    """The same over a sliding frame."""
     move = F.col("close_price") - F.lag("close_price", 1).over(symbol_window())
     moves = bars.withColumn("_move", move).withColumns(
         {
@@ -248,13 +296,22 @@ def with_rsi(bars: DataFrame, n: int = 14, high: float = 70.0, low: float = 30.0
     )
     # greatest() skips nulls, so the first row must be excluded explicitly.
     frame = _last_rows(n)
-    moves = moves.withColumns(
+    return moves.withColumns(
         {
             "_moves": F.count("_move").over(frame),
             "_gains": F.avg(F.when(F.col("_move").isNotNull(), F.col("_gain"))).over(frame),
             "_losses": F.avg(F.when(F.col("_move").isNotNull(), F.col("_loss"))).over(frame),
         }
-    )
+    ).drop("_move", "_gain", "_loss")
+
+
+def with_rsi(bars: DataFrame, n: int = 14, high: float = 70.0, low: float = 30.0) -> DataFrame:
+    """W-11: RSI from plain averages of the last n moves, and its signal.
+
+    Without losses it is 100, without any move 50. The signal is -1 at or above
+    ``high``, 1 at or below ``low``, else 0.
+    """
+    moves = _with_lagged_moves(bars, n) if n < MAX_LAGS else _with_sliding_moves(bars, n)
     rsi = (
         F.when((F.col("_gains") == 0) & (F.col("_losses") == 0), 50.0)
         .when(F.col("_losses") == 0, 100.0)
@@ -264,7 +321,7 @@ def with_rsi(bars: DataFrame, n: int = 14, high: float = 70.0, low: float = 30.0
     value = F.col(f"rsi_{n}")
     signal = F.when(value >= high, -1).when(value <= low, 1).when(value.isNotNull(), 0)
     return with_value.withColumn("rsi_signal", signal).drop(
-        "_move", "_gain", "_loss", "_moves", "_gains", "_losses"
+        "_moves", "_gains", "_losses"
     )
 
 

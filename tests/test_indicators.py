@@ -7,6 +7,7 @@ from helpers import BASE_MS, DAY_MS, plan_of, random_ticks, rows, ticks
 from pyspark.sql import functions as F
 
 from barlake.functions.scalars import event_time
+from barlake.operators import forecasting as fc
 from barlake.operators import indicators as ind
 
 
@@ -158,3 +159,27 @@ def test_emas_of_several_lengths_share_two_sorts(spark):
     # Lengths whose weights fade too slowly for common blocks get their own.
     slow = [r.ema_400 for r in ind.with_emas(bars, (2, 400)).orderBy("i").collect()]
     assert slow == [r.ema_400 for r in ind.with_ema(bars, 400).orderBy("i").collect()]
+
+
+def test_past_closes_give_what_sliding_frames_give(spark):
+    closes = [1.1, 2.7, None, 4.2, 3.3, 3.3, 7.9, 0.1, 5.5, 6.4, 6.4, 6.4, 1.3, 2.2, None, 9.1, 8.7, 2.2, 2.9]
+    series = spark.createDataFrame(
+        [(s, i, None if c is None else c * k) for s, k in (("A", 1.0), ("B", -3.7)) for i, c in enumerate(closes)],
+        "symbol STRING, i INT, close_price DOUBLE",
+    ).selectExpr("*", "date_add(DATE '2024-01-01', i) AS fetch_date")
+    averages = ind.with_moving_averages(series, (1, 3, 5))
+    assert rows(averages) == rows(series.withColumns({f"sma_{n}": ind.moving_average("close_price", n) for n in (1, 3, 5)}))
+    for n in (1, 3, 14):
+        lagged, sliding = ind._with_lagged_moves(series, n), ind._with_sliding_moves(series, n)
+        full = [x.filter(f"_moves = {n}") for x in (lagged, sliding)]
+        assert rows(full[0]) == rows(full[1].select(full[0].columns))
+    assert {c for c in ind.with_rsi(averages, 3).columns} == {*averages.columns, "rsi_3", "rsi_signal"}
+
+
+def test_features_of_models_add_up_past_closes(spark):
+    bars = spark.range(3).selectExpr(
+        "cast(id AS string) AS symbol", "date_add(DATE '2024-01-01', cast(id AS int)) AS fetch_date", "id * 1.0D AS close_price",
+        "id AS volume", "id * 0.5D AS daily_return",
+    )
+    plan = plan_of(fc.feature_frame(bars).select("symbol", "fetch_date", *fc.FEATURES, "target"))
+    assert "lag(close_price" in plan and "currentrow$())" not in plan
